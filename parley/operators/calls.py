@@ -345,6 +345,11 @@ def sentiment_trend(calls: DataFrame, pc: DataFrame, period: str = "daily",
     return latest_periods(counts, n)
 
 
+def _entry(metric: str, label: Column, n: Column | None = None) -> Column:
+    fields = [F.lit(metric).alias("metric"), label.alias("label")]
+    return F.struct(*fields, *([n.alias("n")] if n is not None else []))
+
+
 def ingestion_statistics(flagged_calls: DataFrame) -> DataFrame:
     """Totals, per segment, per product and per stage, as (metric, label, n)."""
     grouped = (flagged_calls.groupBy("client_segment", "product").agg(
@@ -353,11 +358,10 @@ def ingestion_statistics(flagged_calls: DataFrame) -> DataFrame:
         F.count_if("preprocessed").alias("preprocessed"),
         F.count_if("enriched").alias("enriched")))
     metrics = F.array(
-        F.struct(F.lit("total").alias("metric"), F.lit("all").alias("label"),
-                 F.col("n").alias("n")),
-        F.struct(F.lit("segment"), F.col("client_segment"), F.col("n")),
-        F.struct(F.lit("product"), F.col("product"), F.col("n")),
-        *[F.struct(F.lit("stage"), F.lit(s), F.col(s))
+        _entry("total", F.lit("all"), F.col("n")),
+        _entry("segment", F.col("client_segment"), F.col("n")),
+        _entry("product", F.col("product"), F.col("n")),
+        *[_entry("stage", F.lit(s), F.col(s))
           for s in ("processed", "unprocessed", "preprocessed", "enriched")])
     return (grouped.select(F.explode(metrics).alias("m"))
             .groupBy("m.metric", "m.label").agg(F.sum("m.n").alias("n")))
@@ -369,14 +373,10 @@ def analytics_summary(calls: DataFrame, pc: DataFrame, start=None, end=None) ->
     cube = rows.groupBy("product", "overall_intent", "overall_sentiment").agg(
         F.count(F.lit(1)).alias("n"), F.min("call_timestamp").alias("first_call"),
         F.max("call_timestamp").alias("last_call"))
-    entry = [F.struct(F.lit("total").alias("metric"), F.lit("all").alias("label")),
-             F.struct(F.lit("product"), F.col("product")),
-             F.when(F.col("overall_intent").isin(*K.COMPLAINT_INTENTS),
-                    F.struct(F.lit("complaint").alias("metric"),
-                             F.col("overall_intent").alias("label"))),
-             F.when(F.col("overall_sentiment").isNotNull(),
-                    F.struct(F.lit("sentiment").alias("metric"),
-                             F.col("overall_sentiment").alias("label")))]
+    intent, sentiment = F.col("overall_intent"), F.col("overall_sentiment")
+    entry = [_entry("total", F.lit("all")), _entry("product", F.col("product")),
+             F.when(intent.isin(*K.COMPLAINT_INTENTS), _entry("complaint", intent)),
+             F.when(sentiment.isNotNull(), _entry("sentiment", sentiment))]
     exploded = cube.withColumn("m", F.explode(F.array_compact(F.array(*entry))))
     out = exploded.groupBy("m.metric", "m.label").agg(
         F.sum("n").alias("n_calls"), F.min("first_call").alias("first_call"),

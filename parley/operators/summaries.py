@@ -1,4 +1,9 @@
-"""Summarisation of long conversations: noise removal, salience, extraction, quality."""
+"""Summarisation of long conversations: noise removal, salience, extraction, quality.
+
+Stages whose rows are read several times afterwards (filtered turns, scored
+turns, chunks) are written once to the shared folder: it keeps plans small,
+avoids repeating the fold over each call, and survives lost executors.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +18,7 @@ from parley.functions import vectors as V
 from parley.operators import turns as O
 from parley.operators.search import keyword_scores, terms
 from parley.plans.ordered import block_of, dense_position
+from parley.plans.workspace import written
 
 
 # --- noise ------------------------------------------------------------------
@@ -21,7 +27,7 @@ def noise_filter(turns: DataFrame, aggressive: bool = False) -> DataFrame:
     very short turns, in that order."""
     out = O.filter_procedural(O.trim_opening_closing(turns), aggressive)
     out = out.withColumn("text", X.clean_fillers(F.col("text")))
-    return O.drop_short_turns(O.remove_repetitions(out))
+    return O.drop_short_turns(O.remove_repetitions(out, bound=turns))
 
 
 def noise_filter_full(turns: DataFrame, aggressive: bool = False) -> DataFrame:
@@ -52,42 +58,41 @@ def noise_reduction_stats(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 # --- salience ---------------------------------------------------------------
-def _tfidf_row_sums(turns: DataFrame, max_features: int, keys=("call_id",),
-                    index: str = "turn_index") -> DataFrame:
-    """Sum of the unit-length TF-IDF vector of each turn within its own group.
+def turn_tfidf_score(turns: DataFrame, max_features: int = 100, keys=("call_id",),
+                     index: str = "turn_index", min_max: bool = False) -> DataFrame:
+    """`tfidf_score` of each turn within its group, scaled to 0..1.
 
-    Turns of groups without any term have no sum (NULL), other term-less turns 0.
+    A turn's value is the sum of its unit-length TF-IDF vector over the group's
+    `max_features` most frequent terms; 0.5 where the group has no terms at all.
+    Everything is keyed by (group, term) or (group, turn), so a long call spreads.
     """
     keys = list(keys)
     tf = (turns.select(*keys, index, F.explode(terms(F.col("text"), bigrams=False)).alias("term"))
           .groupBy(*keys, index, "term").agg(F.count(F.lit(1)).alias("tf")))
     w = Window.partitionBy(*keys).orderBy(F.desc("total"), "term")
-    vocab = (tf.groupBy(*keys, "term").agg(F.sum("tf").alias("total"),
-                                           F.count(F.lit(1)).alias("df"))
-             .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= max_features))
+    frequent = (tf.groupBy(*keys, "term").agg(F.sum("tf").alias("total"),
+                                              F.count(F.lit(1)).alias("df"))
+                .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= max_features))
     n = turns.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    vocab = vocab.join(n, keys).select(
+    vocab = frequent.join(n, keys).select(
         *keys, "term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
     weight = F.col("tf") * F.col("idf")
-    sums = (tf.join(vocab, [*keys, "term"]).groupBy(*keys, index).agg(
-        (F.sum(weight) / F.sqrt(F.sum(weight * weight))).alias("row_sum")))
-    known = vocab.groupBy(*keys).agg(F.lit(True).alias("has_terms"))
-    return (turns.join(sums, [*keys, index], "left").join(known, keys, "left")
-            .withColumn("row_sum", F.when(F.col("has_terms"),
-                                          F.coalesce("row_sum", F.lit(0.0)))).drop("has_terms"))
-
-
-def turn_tfidf_score(turns: DataFrame, max_features: int = 100, keys=("call_id",),
-                     index: str = "turn_index", min_max: bool = False) -> DataFrame:
-    """`tfidf_score` in 0..1 within the group; 0.5 where there are no terms at all."""
-    keys = list(keys)
-    summed = _tfidf_row_sums(turns, max_features, keys, index)
-    bounds = summed.groupBy(*keys).agg(F.max("row_sum").alias("hi"), F.min("row_sum").alias("lo"))
-    tiny = F.lit(1e-10)
-    scaled = ((F.col("row_sum") - F.col("lo")) / (F.col("hi") - F.col("lo") + tiny)
-              if min_max else F.col("row_sum") / (F.col("hi") + tiny))
-    return (summed.join(bounds, keys).withColumn("tfidf_score", F.round(
-        F.coalesce(scaled, F.lit(0.5)), 6)).drop("row_sum", "hi", "lo"))
+    sums = tf.join(vocab, [*keys, "term"]).groupBy(*keys, index).agg(
+        (F.sum(weight) / F.sqrt(F.sum(weight * weight))).alias("row_sum"))
+    bounds = sums.groupBy(*keys).agg(
+        F.max("row_sum").alias("hi"), F.min("row_sum").alias("lo"),
+        F.count(F.lit(1)).alias("n_with_terms"))
+    if min_max:
+        bounds = bounds.join(n, keys).withColumn(
+            "lo", F.when(F.col("n_with_terms") < F.col("n"), F.lit(0.0)).otherwise(F.col("lo")))
+    else:
+        bounds = bounds.withColumn("lo", F.lit(0.0))
+    value = F.coalesce(F.col("row_sum"), F.lit(0.0))
+    scaled = (value - F.col("lo")) / (F.col("hi") - F.col("lo") + F.lit(1e-10))
+    return (turns.join(sums, [*keys, index], "left")
+            .join(bounds.select(*keys, "hi", "lo"), keys, "left")
+            .withColumn("tfidf_score", F.round(F.coalesce(scaled, F.lit(0.5)), 9))
+            .drop("row_sum", "hi", "lo"))
 
 
 def _bonus(condition: Column, value: float) -> Column:
@@ -133,13 +138,15 @@ def extractive_turns(filtered: DataFrame, quality: str = "balanced",
                      target: int | None = None) -> DataFrame:
     """The selected turns; 500 words in fast mode, 2000 otherwise."""
     target = target or (500 if quality == "fast" else 2000)
-    return O.extractive_select(turn_salience(filtered), target)
+    scored = written(turn_salience(written(filtered, "filtered-turns")), "scored-turns")
+    return O.extractive_select(scored, target)
 
 
 def extractive_summary(turns: DataFrame, quality: str = "balanced",
                        target: int | None = None) -> DataFrame:
     """One text per call (and part of a very long call)."""
     chosen = extractive_turns(noise_filter(turns), quality, target)
+    chosen = written(chosen, "summary-turns")
     parts = turns.groupBy("call_id", block_of("turn_index").alias("part")).agg(
         F.count(F.lit(1)).alias("n"))
     parts = parts.join(O.run_summary(chosen), ["call_id", "part"], "left")
@@ -150,8 +157,8 @@ def extractive_summary(turns: DataFrame, quality: str = "balanced",
 def summary_metrics(turns: DataFrame, quality: str = "balanced",
                     target: int | None = None) -> DataFrame:
     """Words at each stage, compression and share of noise, per call."""
-    filtered = noise_filter(turns)
-    chosen = extractive_turns(filtered, quality, target)
+    filtered = written(noise_filter(turns), "filtered-turns")
+    chosen = written(extractive_turns(filtered, quality, target), "summary-turns")
     extracted = chosen.groupBy("call_id").agg(
         F.count(F.lit(1)).alias("final_turns"),
         F.sum(X.word_count(F.col("text"))).alias("extracted_tokens"))
@@ -172,12 +179,14 @@ def extractive_final_words(chosen: DataFrame) -> DataFrame:
 
 def hierarchical_segments(turns: DataFrame, max_words: int = 1500) -> DataFrame:
     """Filtered turns with their merged topic chunk."""
-    filtered = dense_position(noise_filter_full(turns), ["call_id"], "turn_index", "pos")
+    filtered = written(noise_filter_full(turns), "filtered-turns")
+    filtered = written(dense_position(filtered, ["call_id"], "turn_index", "pos"), "positions")
     chunked = O.semantic_chunks(filtered, position="pos")
     scored = chunked.withColumn("turn_score", T.importance_score(
         T.classify_intent(F.col("text")), T.analyze_sentiment(F.col("text")),
         F.size(T.high_keywords(F.col("text"))), F.size(T.medium_keywords(F.col("text"))),
         T.is_customer(F.col("speaker"))))
+    scored = written(scored, "chunked-turns")
     merged = O.merge_small_segments(O.segment_table(scored, F.col("turn_score")), max_words)
     return scored.join(merged.select("call_id", "segment", "chunk"), ["call_id", "segment"])
 
@@ -189,11 +198,12 @@ def hierarchical_summary(turns: DataFrame, max_words: int = 1500, per_segment: i
     Map step: the best turns of each segment within `per_segment` words, of
     which the first `keep` are quoted.  Reduce step: the texts in order.
     """
-    rows = hierarchical_segments(turns, max_words)
+    rows = written(hierarchical_segments(turns, max_words), "segment-turns")
     keys = ["call_id", "chunk"]
     ranked = dense_position(rows.drop("pos"), keys, "turn_index", "pos")
-    best = O.extractive_select(turn_salience_multi(ranked, keys, position="pos"), per_segment,
-                               keys=keys)
+    scored = written(turn_salience_multi(written(ranked, "ranked-turns"), keys,
+                                         position="pos"), "scored-turns")
+    best = O.extractive_select(scored, per_segment, keys=keys)
     w = Window.partitionBy(*keys).orderBy("turn_index")
     quoted = best.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= keep)
     line = F.concat(F.lit("["), F.upper("speaker"), F.lit("]: "), F.col("text"))

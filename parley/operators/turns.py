@@ -81,11 +81,12 @@ def _alike(a, b):
     return len(a & b) / len(a | b) if a and b else 0.0
 
 
-def remove_repetitions(turns: DataFrame, threshold: float = 0.85, look_back: int = 3) -> DataFrame:
+def remove_repetitions(turns: DataFrame, threshold: float = 0.85, look_back: int = 3,
+                       bound: DataFrame | None = None) -> DataFrame:
     """Drop turns too similar to one of the speaker's last kept turns.
 
     Keeping a turn depends on what was kept before, hence a fold per call and
-    speaker.
+    speaker.  `bound` is a cheaper table with at least the same positions.
     """
     def step(kept, text):
         grams = _trigram_set(text)
@@ -94,7 +95,8 @@ def remove_repetitions(turns: DataFrame, threshold: float = 0.85, look_back: int
         return [*kept, text][-look_back:], True
 
     keyed = turns.withColumn("__speaker", F.lower("speaker"))
-    out = fold(keyed, ["call_id", "__speaker"], "turn_index", ["text"], step, [], "__keep")
+    out = fold(keyed, ["call_id", "__speaker"], "turn_index", ["text"], step, [], "__keep",
+               bound=bound)
     return out.filter("__keep").drop("__keep", "__speaker")
 
 

@@ -101,18 +101,20 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column,
 
 
 def fold(df: DataFrame, keys: Sequence[str], order: str, inputs: Sequence[str],
-         step: Callable, initial, out: str, size: int = TURN_BLOCK) -> DataFrame:
+         step: Callable, initial, out: str, size: int = TURN_BLOCK,
+         bound: DataFrame | None = None) -> DataFrame:
     """Add a boolean column computed by an order-dependent fold over each key.
 
     `step(state, *inputs) -> (state, flag)` is a small pure function whose state
     is JSON.  Blocks are folded in parallel.  Each starts from the end state of
     the block before it; blocks whose start state turned out different are
     folded again until all starts agree, so the flags equal those of one
-    sequential pass.
+    sequential pass.  Whether any key is longer than a block is read from
+    `bound` (default: `df`), which must hold at least the same positions.
     """
     keys = list(keys)
     blocked = df.withColumn(BLOCK, block_of(order, size))
-    last = df.agg(F.max(order)).first()[0]
+    last = (df if bound is None else bound).agg(F.max(order)).first()[0]
     start = "__start"
     if last is None or last < size:
         rows = blocked.withColumn(start, F.lit(json.dumps(initial)))

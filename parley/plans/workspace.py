@@ -20,6 +20,7 @@ def build_session(app: str = "parley", cores: str = "*", shuffle_partitions: int
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               .config("spark.driver.memory", "12g")
                .config("spark.ui.enabled", "false"))
     for key, value in conf.items():
         builder = builder.config(key, value)
