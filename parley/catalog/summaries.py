@@ -31,7 +31,7 @@ def tfidf_views(prefix, source, keys="call_id", index="turn_index", features=100
  JOIN (SELECT {keys}, count(*) AS n FROM {source} GROUP BY ALL) USING ({keys}) WHERE rk <= {features}""",
          f"{prefix}_tf")
     view(f"{prefix}_sum", f"""SELECT s.*, CASE WHEN h.{k[0]} IS NULL THEN NULL ELSE coalesce(rs, 0::DOUBLE) END AS row_sum
- FROM {source} s LEFT JOIN (SELECT {keys}, {index}, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS rs
+ FROM {source} s LEFT JOIN (SELECT {keys}, {index}, round(sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)), 12) AS rs
   FROM {prefix}_tf JOIN {prefix}_idf USING ({keys}, term) GROUP BY ALL) USING ({keys}, {index})
  LEFT JOIN (SELECT DISTINCT {keys} FROM {prefix}_idf) h USING ({keys})""", f"{prefix}_idf")
     hi, lo = (f"{f}(row_sum) OVER (PARTITION BY {keys})" for f in ("max", "min"))

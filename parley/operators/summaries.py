@@ -78,7 +78,8 @@ def turn_tfidf_score(turns: DataFrame, max_features: int = 100, keys=("call_id",
         *keys, "term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1.0).alias("idf"))
     weight = F.col("tf") * F.col("idf")
     sums = tf.join(vocab, [*keys, "term"]).groupBy(*keys, index).agg(
-        (F.sum(weight) / F.sqrt(F.sum(weight * weight))).alias("row_sum"))
+        # rounded, so that equal turns stay equal when min and max are subtracted
+        F.round(F.sum(weight) / F.sqrt(F.sum(weight * weight)), 12).alias("row_sum"))
     bounds = sums.groupBy(*keys).agg(
         F.max("row_sum").alias("hi"), F.min("row_sum").alias("lo"),
         F.count(F.lit(1)).alias("n_with_terms"))
