@@ -40,11 +40,11 @@ view("benchmark_v", "SELECT * FROM benchmark")
 index_views("doc", "documents_v", "doc_id", "text")
 gram_views("item_tf", "benchmark_v", "item_id", "text")
 weight_view("item_w", "item_tf", "doc_idf")
-view("kw_scores", """SELECT i.k AS item_id, d.k AS doc_id, round(sum(i.w * d.w), 6) AS score
- FROM item_w i JOIN doc_w d USING (term) GROUP BY ALL HAVING round(sum(i.w * d.w), 6) > 0""", "item_w", "doc_w")
+view("kw_scores", """SELECT i.k AS item_id, d.k AS doc_id, round(sum(i.w * d.w), 9) AS score
+ FROM item_w i JOIN doc_w d USING (term) GROUP BY ALL HAVING round(sum(i.w * d.w), 9) > 0""", "item_w", "doc_w")
 TU.vector_views("doc_vec", "documents_v", "doc_id", "text")
 TU.vector_views("item_vec", "benchmark_v", "item_id", "text")
-view("vec_scores", """SELECT item_id, doc_id, coalesce(round(s, 6), 0::DOUBLE) AS score FROM (SELECT item_id FROM benchmark)
+view("vec_scores", """SELECT item_id, doc_id, coalesce(round(s, 9), 0::DOUBLE) AS score FROM (SELECT item_id FROM benchmark)
  CROSS JOIN (SELECT doc_id FROM documents) LEFT JOIN (SELECT i.k AS item_id, d.k AS doc_id, sum(i.x * d.x) AS s
   FROM item_vec i JOIN doc_vec d USING (slot) GROUP BY ALL) USING (item_id, doc_id)""", "item_vec", "doc_vec")
 
@@ -56,7 +56,7 @@ def top(source, k, q="item_id", d="doc_id"):
 
 def _merged(kw, sem, q="item_id", d="doc_id"):
     return f"""SELECT {q}, {d}, coalesce(a.score, 0::DOUBLE) AS keyword_score, coalesce(b.score, 0::DOUBLE) AS semantic_score,
- round(coalesce(a.score, 0::DOUBLE) * 0.3::DOUBLE + coalesce(b.score, 0::DOUBLE) * 0.7::DOUBLE, 6) AS score
+ round(coalesce(a.score, 0::DOUBLE) * 0.3::DOUBLE + coalesce(b.score, 0::DOUBLE) * 0.7::DOUBLE, 9) AS score
  FROM ({kw}) a FULL JOIN ({sem}) b USING ({q}, {d})"""
 
 
@@ -78,12 +78,12 @@ def tfidf_index(t):
     return S.tfidf_index(_docs(t), "doc_id", "text")
 
 
-@query(sql("SELECT item_id, doc_id, score, rank FROM (" + top("kw_scores", 10) + ")", "kw_scores"))
+@query(sql("SELECT item_id, doc_id, round(score, 6) AS score, rank FROM (" + top("kw_scores", 10) + ")", "kw_scores"))
 def keyword_search(t):
     return S.keyword_search(_items(t), "item_id", "item_text", _docs(t), "doc_id", "text")
 
 
-@query(sql("SELECT item_id, count(*) AS n_hits, max(score) AS best FROM kw_scores GROUP BY 1", "kw_scores"))
+@query(sql("SELECT item_id, count(*) AS n_hits, round(max(score), 6) AS best FROM kw_scores GROUP BY 1", "kw_scores"))
 def positive_score_filter(t):
     """All keyword hits (score above zero) of each query."""
     return S.keyword_scores(_items(t), "item_id", "item_text", _docs(t), "doc_id", "text").groupBy(
@@ -105,7 +105,7 @@ _DOT = ("list_sum([embedding[i]::DOUBLE * centroid[i] FOR i IN range(1, len(cent
 view("centroids", """SELECT label AS qid, list(m ORDER BY i) AS centroid FROM (SELECT label, i,
  round(avg(embedding[i]::DOUBLE), 9) AS m FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i
  FROM embeddings) GROUP BY ALL) GROUP BY label""")
-view("centroid_scores", f"SELECT qid::BIGINT AS qid, vec_id, round({_DOT}, 6) AS score FROM centroids CROSS JOIN embeddings",
+view("centroid_scores", f"SELECT qid::BIGINT AS qid, vec_id, round({_DOT}, 9) AS score FROM centroids CROSS JOIN embeddings",
      "centroids")
 
 
@@ -113,7 +113,7 @@ def _centroids(t):
     return label_centroids(t).withColumnRenamed("label", "qid")
 
 
-@query(sql("SELECT qid, vec_id, score, rank FROM (" + top("centroid_scores", 10, "qid", "vec_id") + ")",
+@query(sql("SELECT qid, vec_id, round(score, 6) AS score, rank FROM (" + top("centroid_scores", 10, "qid", "vec_id") + ")",
            "centroid_scores"))
 def vector_search(t):
     """The vectors closest to the centroid of each label."""
@@ -122,11 +122,11 @@ def vector_search(t):
 
 
 _SELF = ("SELECT a.vec_id AS qid, b.vec_id, round(list_sum([a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE "
-         "FOR i IN range(1, len(a.embedding) + 1)]) / (a.n * b.n), 6) AS score FROM e a CROSS JOIN e b")
+         "FOR i IN range(1, len(a.embedding) + 1)]) / (a.n * b.n), 9) AS score FROM e a CROSS JOIN e b")
 
 
 @query(sql("WITH e AS (SELECT vec_id, embedding, sqrt(list_sum([x::DOUBLE * x::DOUBLE FOR x IN embedding])) AS n "
-           f"FROM embeddings) SELECT qid, vec_id, score, rank FROM ({top('(' + _SELF + ')', 5, 'qid', 'vec_id')})"))
+           f"FROM embeddings) SELECT qid, vec_id, round(score, 6) AS score, rank FROM ({top('(' + _SELF + ')', 5, 'qid', 'vec_id')})"))
 def vector_score_join(t):
     """Every vector as a query: the five nearest of each."""
     e = t.table("embeddings")
@@ -134,13 +134,18 @@ def vector_score_join(t):
                            e.select("vec_id", F.col("embedding").alias("v")), "vec_id", "v", 5)
 
 
-@query(sql("SELECT item_id, doc_id, score, rank FROM (" + top("vec_scores", 10) + ")", "vec_scores"))
+@query(sql("SELECT item_id, doc_id, round(score, 6) AS score, rank FROM (" + top("vec_scores", 10) + ")", "vec_scores"))
 def semantic_search(t):
     items, docs = _embedded(t)
     return S.vector_search(items, "item_id", "item_vec", docs, "doc_id", "embedding")
 
 
-@query(sql(_merged(top("kw_scores", 20), top("vec_scores", 20)), "kw_scores", "vec_scores"))
+_SHOWN = ("item_id, doc_id, round(keyword_score, 6) AS keyword_score, "
+          "round(semantic_score, 6) AS semantic_score, round(score, 6) AS score")
+
+
+@query(sql(f"SELECT {_SHOWN} FROM ({_merged(top('kw_scores', 20), top('vec_scores', 20))})",
+           "kw_scores", "vec_scores"))
 def merge_rankings(t):
     items, docs = _embedded(t)
     kw = S.keyword_search(items, "item_id", "item_text", docs, "doc_id", "text", 20)
@@ -148,7 +153,7 @@ def merge_rankings(t):
     return S.merge_rankings(kw, sem, "item_id", "doc_id")
 
 
-@query(sql("SELECT * FROM (" + top(f"({_merged(top('kw_scores', 20), top('vec_scores', 20))})", 10) + ")",
+@query(sql(f"SELECT {_SHOWN}, rank FROM (" + top(f"({_merged(top('kw_scores', 20), top('vec_scores', 20))})", 10) + ")",
            "kw_scores", "vec_scores"))
 def hybrid_search(t):
     items, docs = _embedded(t)
@@ -170,7 +175,7 @@ def rrf_search(t):
     return S.rrf_merge(kw, sem, "item_id", "doc_id", k=10)
 
 
-@query(sql("SELECT item_id, doc_id, score, rank FROM (" + top(
+@query(sql("SELECT item_id, doc_id, round(score, 6) AS score, rank FROM (" + top(
     f"(SELECT x.item_id, x.doc_id, x.score FROM ({top('vec_scores', 20)}) x JOIN documents USING (doc_id) WHERE lang IN ('en', 'fr'))",
     10) + ")", "vec_scores"))
 def over_fetch(t):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from parley import constants as K
 from parley.functions import text as X
@@ -101,7 +102,8 @@ def apply_model(prompts: DataFrame, complete) -> DataFrame:
     is called per Arrow batch on the executors.  A failing batch yields an error
     text per row instead of failing the job.
     """
-    schema = prompts.schema.add("output", "string").add("error", "string")
+    schema = T_.StructType([*prompts.schema.fields, T_.StructField("output", T_.StringType()),
+                            T_.StructField("error", T_.StringType())])
 
     def run(batches):
         for pdf in batches:

@@ -1,6 +1,6 @@
 """Keyword, vector and hybrid search over tables of queries and documents.
 
-Scores are rounded to six decimals before ranking, so equal matches rank by id
+Scores are rounded to nine decimals before ranking, so equal matches rank by id
 on every run.
 """
 
@@ -16,6 +16,7 @@ from parley.operators.calls import search_documents_base
 from parley.operators.turns import rank_results
 from parley.plans.workspace import at_most, written
 
+DIGITS = 9
 # A query table up to this many rows is sent to every task; a larger one is joined.
 MAX_BROADCAST_QUERIES = 4096
 # Rows of documents and queries that meet in one task on the large path.
@@ -98,7 +99,7 @@ def keyword_scores(queries: DataFrame, query_id: str, query_text: str, docs: Dat
         # bounded: at most MAX_BROADCAST_QUERIES texts, terms from the vocabulary only
         asked = F.broadcast(asked)
     return (index.join(asked, "term").groupBy(doc_id, query_id).agg(
-        F.round(F.sum(F.col("wq") * F.col("weight")), 6).alias("score"))
+        F.round(F.sum(F.col("wq") * F.col("weight")), DIGITS).alias("score"))
         .filter(F.col("score") > 0))
 
 
@@ -131,7 +132,7 @@ def _unit(matrix):
 
 def _rounded_scores(vectors, queries):
     import numpy as np
-    return np.floor(_unit(vectors) @ queries.T * 1e6 + 0.5) / 1e6
+    return np.floor(_unit(vectors) @ queries.T * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
 
 
 def _best(scores, doc_ids, k):
@@ -267,7 +268,7 @@ def merge_rankings(keyword: DataFrame, semantic: DataFrame, query_id: str, doc_i
     kw, sem = (F.coalesce(c, F.lit(0.0)) for c in ("keyword_score", "semantic_score"))
     return both.select(query_id, doc_id, kw.alias("keyword_score"),
                        sem.alias("semantic_score"),
-                       F.round(kw * F.lit(keyword_weight) + sem * F.lit(semantic_weight), 6)
+                       F.round(kw * F.lit(keyword_weight) + sem * F.lit(semantic_weight), DIGITS)
                        .alias("score"))
 
 
@@ -288,7 +289,7 @@ def rrf_merge(first: DataFrame, second: DataFrame, query_id: str, doc_id: str,
     part = lambda df: df.select(query_id, doc_id,
                                 (F.lit(1.0) / (F.lit(constant) + F.col("rank"))).alias("s"))
     fused = part(first).unionByName(part(second)).groupBy(query_id, doc_id).agg(
-        F.round(F.sum("s"), 9).alias("score"))
+        F.round(F.sum("s"), DIGITS).alias("score"))
     return rank_results(fused, [query_id], "score", doc_id, k)
 
 

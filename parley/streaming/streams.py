@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from parley import constants as K
 from parley.operators.calls import analyze_segments, requires_enrichment
@@ -64,7 +65,8 @@ def run_latest(stream: DataFrame, label: str, keys) -> DataFrame:
     query = (stream.writeStream.outputMode("update").foreachBatch(upsert)
              .option("checkpointLocation", state).trigger(availableNow=True).start())
     query.awaitTermination()
-    written = spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
+    schema = ST.StructType([*stream.schema.fields, ST.StructField("batch", ST.LongType())])
+    written = spark.read.schema(schema).parquet(out)
     w = Window.partitionBy(*keys).orderBy(F.desc("batch"))
     return (written.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1)
             .drop("__r", "batch"))
