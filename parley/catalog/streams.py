@@ -1 +1,129 @@
-"""Registered below."""
+"""Streams: every query drains a stream over the tables and returns what it wrote."""
+
+from pyspark.sql import functions as F
+
+from parley import constants as K
+from parley.catalog.base import query
+from parley.catalog.sql_views import case_map, level_sql, r, sql, view
+from parley.plans.workspace import new_path
+from parley.sources import transcripts as S
+from parley.sources.views import as_query_log
+from parley.streaming import streams as R
+
+view("timed", """SELECT seg.*, call_timestamp + start_time * INTERVAL '1' SECOND AS event_time FROM seg
+JOIN (SELECT call_id, call_timestamp FROM calls) USING (call_id)""", "seg", "calls")
+
+
+def _turn_stream(t):
+    """Turns with event time, written as files and read back as a stream."""
+    rows = t.turns.join(t.calls.select("call_id", "call_timestamp"), "call_id").withColumn(
+        "event_time", F.timestamp_seconds(F.unix_seconds(F.col("call_timestamp").cast("timestamp"))
+                                          + F.col("start_time").cast("bigint")))
+    path = new_path(t.spark, "turn-files")
+    rows.write.parquet(path)
+    return R.read_table(t.spark, path, rows.schema)
+
+
+def _event_stream(t):
+    """The events table as a stream."""
+    schema = t.table("events").schema
+    raw = (t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .parquet(t.sf_dir))
+    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query(sql("""SELECT call_id, turn_index::BIGINT AS turn_index, printf('%s_SEG_%03d', call_id, turn_index) AS segment_id,
+ speaker, text, round(end_time - start_time, 6) AS duration FROM turns""", "turns"))
+def stream_ingest(t):
+    path = new_path(t.spark, "document-files")
+    S.write_documents(S.as_documents(t.turns, t.calls, t.truth).drop("part"), path)
+    turns = R.stream_ingest(R.read_transcripts(t.spark, path, one_per_file=False))
+    return R.run_to_table(turns, "ingested").select("call_id", "turn_index", "segment_id", "speaker",
+                                                    "text", "duration")
+
+
+@query(sql(f"""SELECT segment_id, call_id, intent, sentiment, {r('importance_score')} AS importance_score FROM seg WHERE is_critical""",
+           "seg"))
+def stream_triage(t):
+    return R.run_to_table(R.stream_triage(_turn_stream(t)), "alerts")
+
+
+_ISEV = case_map("intent", K.INTENT_SEVERITY, "0")
+
+
+@query(sql(f"""SELECT *, overall_importance IN ('critical', 'high') OR high_priority_segments >= 2 AS requires_enrichment FROM (
+ SELECT *, {level_sql('weighted_score')} AS overall_importance FROM (SELECT call_id, total_segments, high_priority_segments, overall_intent,
+  round(coalesce(c / nc, 0) / 1000000 * 0.7::DOUBLE + coalesce(a / na, 0) / 1000000 * 0.3::DOUBLE, 6) AS weighted_score FROM (
+  SELECT call_id, count(*) AS total_segments, count(*) FILTER (WHERE is_critical) AS high_priority_segments,
+   first(intent ORDER BY {_ISEV} DESC, turn_index) AS overall_intent,
+   sum(round(importance_score * 1000000)) FILTER (WHERE speaker = 'customer') AS c, nullif(count(*) FILTER (WHERE speaker = 'customer'), 0) AS nc,
+   sum(round(importance_score * 1000000)) FILTER (WHERE speaker = 'agent') AS a, nullif(count(*) FILTER (WHERE speaker = 'agent'), 0) AS na
+  FROM timed GROUP BY call_id HAVING max(event_time) + INTERVAL '5' MINUTE <= (SELECT max(event_time) FROM timed) - INTERVAL '10' MINUTE)))""",
+           "timed"))
+def stream_call_rollup(t):
+    """Calls that were silent for five minutes when the stream ended."""
+    return R.run_to_table(R.stream_call_rollup(_turn_stream(t)), "call-rollup")
+
+
+@query(sql(f"""SELECT call_id, time_bucket(INTERVAL '10' MINUTE, event_time) AS window_start, count(*) AS n_turns,
+ count(*) FILTER (WHERE is_critical) AS n_critical, {r('max(importance_score)')} AS max_importance FROM timed GROUP BY ALL""",
+           "timed"))
+def progressive_summary(t):
+    return R.run_latest(R.progressive_summary(_turn_stream(t)), "progress", ["call_id", "window_start"])
+
+
+@query()
+def progressive_summary_final(t):
+    return R.run_to_table(R.progressive_summary_final(_turn_stream(t)), "progress-final")
+
+
+def _cost_log(events):
+    return as_query_log(events).withColumn("cost", F.col("latency_ms") / 1000)
+
+
+_VOLUME = f"""count(*) AS n_events, count(*) FILTER (WHERE is_error) AS n_errors,
+ {r('count(*) FILTER (WHERE is_error) / count(*)')} AS error_rate, {r('sum((latency_ms / 1000)::DECIMAL(20, 6))::DOUBLE')} AS cost"""
+
+
+@query(sql(f"""SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, date_trunc('hour', ts)::TIMESTAMP + INTERVAL '1' HOUR AS window_end,
+ {_VOLUME} FROM query_log GROUP BY ALL""", "query_log"))
+def stream_volume(t):
+    return R.run_latest(R.stream_volume(_cost_log(_event_stream(t))), "volume", ["window_start"])
+
+
+@query(sql(f"""SELECT w AS window_start, w + INTERVAL '1' HOUR AS window_end, {_VOLUME} FROM (SELECT *,
+ time_bucket(INTERVAL '15' MINUTE, ts) - unnest([0, 15, 30, 45]) * INTERVAL '1' MINUTE AS w FROM query_log) GROUP BY ALL""",
+           "query_log"))
+def stream_volume_sliding(t):
+    return R.run_latest(R.stream_volume(_cost_log(_event_stream(t)), slide="15 minutes"),
+                        "volume-sliding", ["window_start"])
+
+
+@query(sql("""SELECT window_start, unnest([x FOR x IN [CASE WHEN e > 0.05::DOUBLE THEN 'HighErrorRate' END,
+ CASE WHEN c > 100::DOUBLE THEN 'CostSpike' END] IF x IS NOT NULL]) AS alert FROM (SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start,
+ count(*) FILTER (WHERE is_error) / count(*) AS e, sum((latency_ms / 1000)::DECIMAL(20, 6))::DOUBLE AS c FROM query_log GROUP BY 1)""",
+           "query_log"))
+def stream_alerts(t):
+    volume = R.run_latest(R.stream_volume(_cost_log(_event_stream(t))), "volume", ["window_start"])
+    return R.volume_alerts(volume)
+
+
+@query(sql("SELECT event_id, user_id, ts, event_type FROM events"))
+def stream_dedupe(t):
+    """Every event is delivered twice and kept once."""
+    twice = _event_stream(t).unionByName(_event_stream(t))
+    once = R.stream_dedupe(twice, "ts", keys=("event_id",))
+    return R.run_to_table(once.select("event_id", "user_id", "ts", "event_type"), "deduped")
+
+
+@query(sql(f"""SELECT period, n_rows, {r('mean')} AS mean, {r('spread')} AS spread, dominant FROM (SELECT *, sqrt(greatest(sq - mean * mean, 0)) AS spread
+ FROM (SELECT *, count(*) OVER w AS nb, sum(n_rows) OVER w / count(*) OVER w AS mean, sum(n_rows * n_rows) OVER w / count(*) OVER w AS sq FROM (
+  SELECT period, sum(n)::BIGINT AS n_rows, first(label ORDER BY n DESC, label) AS dominant FROM (SELECT date_trunc('day', call_timestamp)::TIMESTAMP AS period,
+   overall_intent AS label, count(*) AS n FROM both_calls GROUP BY ALL) GROUP BY 1)
+  WINDOW w AS (ORDER BY period ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))) WHERE nb >= 7 AND n_rows > mean + 2 * spread""",
+           "both_calls"))
+def volume_spikes(t):
+    rows = t.calls.join(t.pc.select("call_id", "overall_intent"), "call_id")
+    return R.volume_spikes(rows, "call_timestamp", "overall_intent")
+
+

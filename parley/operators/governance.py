@@ -95,6 +95,19 @@ def latency_percentiles(log: DataFrame, keys=("mode",), latency: str = "latency_
         F.col("p")[2].alias("p99"), "error_rate")
 
 
+def hourly_metrics(log: DataFrame, ts: str = "ts", latency: str = "latency_ms") -> DataFrame:
+    """Error rate, p99 latency, cost and cache hits per hour of an operation log.
+
+    `log` has (ts, is_error, latency, cost, cache_hit).
+    """
+    from parley.operators.calls import exact_sum
+    n = F.count(F.lit(1))
+    return log.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour")).agg(
+        (F.count_if("is_error") / n).alias("error_rate"),
+        (F.percentile_approx(latency, 0.99, 10000) / F.lit(1000.0)).alias("p99_seconds"),
+        exact_sum("cost", 9).alias("cost"), (F.count_if("cache_hit") / n).alias("cache_hit_rate"))
+
+
 def alert_rules(hourly: DataFrame) -> DataFrame:
     """Alerts that fire per hour.
 

@@ -66,6 +66,17 @@ def _pick(texts, index):
     return F.element_at(F.array(*[F.lit(t) for t in texts]), (index + 1).cast("int"))
 
 
+def as_query_log(events: DataFrame) -> DataFrame:
+    """Product events (a table or a stream) read as a log of questions."""
+    mode = (F.when(F.col("event_type") == "purchase", "deep")
+            .when(F.col("event_type") == "view", "balanced").otherwise("cheap"))
+    return events.select(
+        F.col("event_id").alias("query_id"), "ts", "user_id",
+        _pick(QUESTIONS, (F.col("event_id") * 5 + F.col("user_id")) % 16).alias("query_text"),
+        mode.alias("mode"), F.col("value").alias("latency_ms"),
+        (F.col("event_type") == "error").alias("is_error"))
+
+
 class Tables:
     """The driver's parquet tables and the views derived from them."""
 
@@ -125,14 +136,7 @@ class Tables:
 
     @cached_property
     def query_log(self) -> DataFrame:
-        mode = (F.when(F.col("event_type") == "purchase", "deep")
-                .when(F.col("event_type") == "view", "balanced").otherwise("cheap"))
-        return self.table("events").select(
-            F.col("event_id").alias("query_id"), "ts", "user_id",
-            _pick(QUESTIONS, (F.col("event_id") * 5 + F.col("user_id")) % 16)
-            .alias("query_text"),
-            mode.alias("mode"), F.col("value").alias("latency_ms"),
-            (F.col("event_type") == "error").alias("is_error"))
+        return as_query_log(self.table("events"))
 
     @cached_property
     def truth(self) -> DataFrame:
