@@ -148,8 +148,8 @@ FUNCTION_WORDS = {
 def detect_language(text: Column) -> Column:
     """The language with most function words; ties and no hits go to the first."""
     tokens = V.tokens(text)
-    hits = {lang: F.size(F.filter(tokens, lambda t, w=words: t.isin(*w)))
-            for lang, words in FUNCTION_WORDS.items()}
+    count = lambda words: F.size(F.filter(tokens, lambda t: t.isin(*words)))
+    hits = {lang: count(words) for lang, words in FUNCTION_WORDS.items()}
     best = F.greatest(*hits.values())
     out = F.when(hits["en"] == best, "en")
     for lang in ("de", "fr", "es"):
