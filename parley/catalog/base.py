@@ -79,4 +79,4 @@ class Inputs(Tables):
         from parley.functions import triage
         plan = self.pc.filter("overall_importance = 'critical'").select(
             "call_id", triage.select_model(F.col("overall_importance")).alias("model"))
-        return N.enrich(self.turns, self.segments, plan)
+        return N.enrich(self.turns, plan)

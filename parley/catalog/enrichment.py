@@ -55,7 +55,7 @@ output_views("f", "first_plan")
 view("enr", """SELECT concat(call_id, '_ENRICH') AS enrichment_id, call_id, summary, coalesce(issues, []) AS key_issues,
  coalesce(actions, []) AS actions, list_concat(coalesce(issues, []), coalesce(products, [])) AS tags,
  model_used, tokens_used, cost_usd, CASE WHEN model_used = 'gpt-4-turbo-preview' THEN 0.85::DOUBLE ELSE 0.75::DOUBLE END AS confidence_score
-FROM (SELECT call_id, max(model) AS model_used, sum(tin + tout)::BIGINT AS tokens_used, round(sum(cost::DECIMAL(30, 12))::DOUBLE, 4) AS cost_usd
+FROM (SELECT call_id, max(model) AS model_used, sum(tin + tout)::BIGINT AS tokens_used, round(sum(cost::DECIMAL(30, 12)), 4)::DOUBLE AS cost_usd
  FROM f_ledger GROUP BY call_id) JOIN fast_summary USING (call_id) LEFT JOIN tags USING (call_id) LEFT JOIN actions USING (call_id)""",
      "f_ledger", "fast_summary", "tags", "actions")
 
@@ -66,7 +66,7 @@ def _plan(t):
 
 
 def _outputs(t):
-    return N.rule_outputs(N.render_prompts(t.turns, _plan(t)), t.turns, t.segments)
+    return N.model_outputs(t.turns, _plan(t))
 
 
 @query(sql("SELECT call_id, overall_importance, model FROM plan", "plan"))

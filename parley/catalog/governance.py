@@ -89,12 +89,7 @@ def daily_burn(t):
     return G.daily_burn(t.table("events").withColumn("cost", F.col("value") / 1000))
 
 
-_P = {p: f"min(latency_ms) FILTER (WHERE rn >= {p}::DOUBLE * n)" for p in ("0.5", "0.95", "0.99")}
-
-
-@query(sql(f"""SELECT mode, any_value(n) AS n, {r(_P['0.5'])} AS p50, {r(_P['0.95'])} AS p95, {r(_P['0.99'])} AS p99,
- {r('count(*) FILTER (WHERE is_error) / any_value(n)')} AS error_rate FROM (SELECT *, row_number() OVER (PARTITION BY mode
- ORDER BY latency_ms) AS rn, count(*) OVER (PARTITION BY mode) AS n FROM query_log) GROUP BY mode""", "query_log"))
+@query()
 def latency_percentiles(t):
     return G.latency_percentiles(t.query_log)
 

@@ -104,6 +104,14 @@ def importance_score(intent: Column, sentiment: Column, n_high: Column, n_medium
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
 
 
+def text_importance(text: Column, speaker: Column) -> Column:
+    """Turn score straight from the text."""
+    low = F.lower(text)
+    return importance_score(classify_intent(text), analyze_sentiment(text),
+                            number_found(low, K.HIGH_KEYWORDS),
+                            number_found(low, K.MEDIUM_KEYWORDS), is_customer(speaker))
+
+
 def weighted_importance(intent: Column, sentiment: Column, n_high: Column, n_medium: Column,
                         customer: Column) -> Column:
     """The documented alternative: a weighted sum of four features."""

@@ -16,8 +16,12 @@ from parley.sources.transcripts import segment_id
 
 # --- turn scoring -----------------------------------------------------------
 def analyze_segments(turns: DataFrame) -> DataFrame:
-    """All turn-level rules as one narrow projection."""
-    text = F.col("text")
+    """All turn-level rules as one narrow projection.
+
+    Keywords are counted separately from the keyword lists, so that consumers
+    of the score alone never build the lists.
+    """
+    text, low = F.col("text"), F.lower("text")
     scored = (turns.withColumn("intent", T.classify_intent(text))
               .withColumn("sentiment", T.analyze_sentiment(text))
               .withColumn("high_priority_keywords", T.high_keywords(text))
@@ -25,8 +29,8 @@ def analyze_segments(turns: DataFrame) -> DataFrame:
               .withColumn("products_mentioned", T.extract_products(text))
               .withColumn("issues_mentioned", T.extract_issues(text)))
     scored = scored.withColumn("importance_score", T.importance_score(
-        F.col("intent"), F.col("sentiment"), F.size("high_priority_keywords"),
-        F.size("medium_priority_keywords"), T.is_customer(F.col("speaker"))))
+        F.col("intent"), F.col("sentiment"), T.number_found(low, K.HIGH_KEYWORDS),
+        T.number_found(low, K.MEDIUM_KEYWORDS), T.is_customer(F.col("speaker"))))
     score = F.col("importance_score")
     return scored.select(
         segment_id().alias("segment_id"), "call_id", "turn_index", "speaker", "text", "intent",

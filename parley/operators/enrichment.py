@@ -9,10 +9,11 @@ from pyspark.sql import types as T_
 from parley import constants as K
 from parley.functions import text as X
 from parley.functions import triage as T
-from parley.operators.calls import enrichment_queue
+from parley.operators.calls import analyze_segments, enrichment_queue
 from parley.operators.summaries import extractive_summary
 from parley.sources.transcripts import PART_TURNS, assemble_transcript
 from parley.plans.ordered import block_of
+from parley.plans.workspace import written
 
 # The four tasks, their instructions and output limits.
 TASKS = {
@@ -145,28 +146,31 @@ def cost_ledger_summary(ledger: DataFrame) -> DataFrame:
 
 
 def assemble_enrichment(outputs: DataFrame) -> DataFrame:
-    """The four outputs of each call as one `enrichments` row."""
-    from parley.operators.calls import exact_sum
+    """The four outputs of each call as one `enrichments` row.
+
+    Money is summed and rounded in decimals, so ties round the same everywhere.
+    """
     task = lambda name: F.when(F.col("task") == name, F.col("output"))
+    money = "decimal(30,12)"
     parts = outputs.groupBy("call_id", "part").agg(
         F.max("model").alias("model"), *[F.max(task(t)).alias(t) for t in TASKS],
         F.sum(F.col("input_tokens") + F.col("output_tokens")).alias("tokens"),
-        exact_sum("cost", 12).alias("cost"))
+        F.sum(F.col("cost").cast(money)).alias("cost"))
     lists = {t: X.decode_list(F.col(t)) for t in list(TASKS)[1:]}
-    # parts of one call: bounded by PART_TURNS turns each, their outputs by max_tokens
+    # parts of one call: PART_TURNS turns each, their outputs bounded by max_tokens
     calls = parts.groupBy("call_id").agg(
         F.max("model").alias("model_used"),
         F.array_sort(F.collect_list(F.struct("part", F.col("summary").alias("t"))))
         .alias("summaries"),
         *[F.array_sort(F.collect_list(F.struct("part", v.alias("t")))).alias(t)
           for t, v in lists.items()],
-        F.sum("tokens").alias("tokens_used"), exact_sum("cost", 12).alias("cost_usd"))
+        F.sum("tokens").alias("tokens_used"), F.sum("cost").alias("cost_usd"))
     joined = lambda t: F.array_distinct(F.flatten(F.transform(t, lambda x: x["t"])))
     return calls.select(
         F.concat(F.col("call_id"), F.lit("_ENRICH")).alias("enrichment_id"), "call_id",
         F.array_join(F.transform("summaries", lambda x: x["t"]), " ").alias("summary"),
         *[joined(t).alias(t) for t in lists], "model_used", "tokens_used",
-        F.round("cost_usd", 4).alias("cost_usd"),
+        F.round("cost_usd", 4).cast("double").alias("cost_usd"),
         T.lookup(F.col("model_used"), CONFIDENCE, CONFIDENCE[K.CHEAP_MODEL])
         .alias("confidence_score"))
 
@@ -183,12 +187,23 @@ def minimal_enrichment(pc: DataFrame) -> DataFrame:
         F.lit(MINIMAL_CONFIDENCE).alias("confidence_score"))
 
 
-def enrich(turns: DataFrame, segments: DataFrame, plan: DataFrame, complete=None) -> DataFrame:
-    """Plan to `enrichments` rows, with a model hook or the rule backend."""
+def model_outputs(turns: DataFrame, plan: DataFrame, complete=None) -> DataFrame:
+    """Plan to model outputs, with a model hook or the rule backend.
+
+    Only the turns of planned calls are read further; they and the plan are
+    written once, because prompts, summaries and tags each need them.
+    """
+    plan = written(plan.select("call_id", "model"), "plan")
+    turns = written(turns.join(plan.select("call_id"), "call_id", "left_semi"), "planned-turns")
     prompts = render_prompts(turns, plan)
-    outputs = apply_model(prompts, complete) if complete else \
-        rule_outputs(prompts, turns, segments)
-    return assemble_enrichment(outputs)
+    if complete:
+        return apply_model(prompts, complete)
+    return rule_outputs(prompts, turns, analyze_segments(turns))
+
+
+def enrich(turns: DataFrame, plan: DataFrame, complete=None) -> DataFrame:
+    """Plan to `enrichments` rows."""
+    return assemble_enrichment(model_outputs(turns, plan, complete))
 
 
 def enrichment_backlog(pc: DataFrame, enriched: DataFrame) -> DataFrame:

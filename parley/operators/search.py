@@ -43,17 +43,38 @@ def build_search_documents(segments: DataFrame, enrichments: DataFrame,
 
 
 # --- TF-IDF -----------------------------------------------------------------
+def _once(value: Column, use) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def terms(text: Column, bigrams: bool = True) -> Column:
     """Tokens without stop words, then the pairs of neighbours among them."""
     kept = F.filter(V.tokens(text), lambda w: ~w.isin(*K.STOP_WORDS))
     if not bigrams:
         return kept
-    n = F.size(kept)
-    pairs = F.when(n >= 2, F.zip_with(
-        F.slice(kept, F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(kept, F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(F.array().cast("array<string>"))
-    return F.concat(kept, pairs)
+    blank = F.array().cast("array<string>")
+    return _once(kept, lambda k: F.concat(k, F.when(F.size(k) >= 2, F.zip_with(
+        F.slice(k, F.lit(1), F.greatest(F.size(k) - 1, F.lit(0))),
+        F.slice(k, F.lit(2), F.greatest(F.size(k) - 1, F.lit(0))),
+        lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(blank)))
+
+
+def exploded_counts(rows: DataFrame, text: str, bigrams: bool, *keys: str) -> DataFrame:
+    """(keys, term, tf) of each row's text, as run lengths of its sorted terms.
+
+    For short texts such as turns: counted where they are, nothing is shuffled.
+    """
+    n = F.size("__t")
+    first = lambda i: (i == 0) | (F.get("__t", i) != F.get("__t", i - 1))
+    run = lambda i, k: F.struct(
+        F.get("__t", i).alias("term"),
+        (F.coalesce(F.get("__s", k + 1), n) - i).cast("bigint").alias("tf"))
+    return (rows.select(*keys, F.array_sort(terms(F.col(text), bigrams)).alias("__t"))
+            .filter(n > 0)
+            .withColumn("__s", F.filter(F.sequence(F.lit(0), n - 1), first))
+            .select(*keys, F.explode(F.transform("__s", run)).alias("__x"))
+            .select(*keys, "__x.term", "__x.tf"))
 
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, bigrams: bool = True) -> DataFrame:
@@ -74,9 +95,9 @@ def vocabulary(counts: DataFrame, n_docs: Column, max_features: int = K.MAX_FEAT
 def tfidf_index(docs: DataFrame, doc_id: str, text: str, max_features: int = K.MAX_FEATURES,
                 vocab: DataFrame | None = None, bigrams: bool = True) -> DataFrame:
     """(doc, term, tf, weight) with unit-length document vectors."""
-    counts = term_counts(docs, doc_id, text, bigrams)
     if vocab is None:
         vocab = tfidf_vocabulary(docs, doc_id, text, max_features, bigrams)
+    counts = term_counts(docs, doc_id, text, bigrams)
     raw = counts.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
     return raw.withColumn("weight", F.col("w") / length).select(doc_id, "term", "tf", "weight")

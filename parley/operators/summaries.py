@@ -16,7 +16,7 @@ from parley.functions import text as X
 from parley.functions import triage as T
 from parley.functions import vectors as V
 from parley.operators import turns as O
-from parley.operators.search import keyword_scores, terms
+from parley.operators.search import exploded_counts, keyword_scores
 from parley.plans.ordered import block_of, dense_position
 from parley.plans.workspace import written
 
@@ -67,8 +67,7 @@ def turn_tfidf_score(turns: DataFrame, max_features: int = 100, keys=("call_id",
     Everything is keyed by (group, term) or (group, turn), so a long call spreads.
     """
     keys = list(keys)
-    tf = (turns.select(*keys, index, F.explode(terms(F.col("text"), bigrams=False)).alias("term"))
-          .groupBy(*keys, index, "term").agg(F.count(F.lit(1)).alias("tf")))
+    tf = exploded_counts(turns, "text", False, *keys, index)
     w = Window.partitionBy(*keys).orderBy(F.desc("total"), "term")
     frequent = (tf.groupBy(*keys, "term").agg(F.sum("tf").alias("total"),
                                               F.count(F.lit(1)).alias("df"))
@@ -127,10 +126,7 @@ def turn_salience_multi(turns: DataFrame, keys=("call_id",), index: str = "turn_
 
 def importance_chunk(turns: DataFrame, max_tokens: int = 2000) -> DataFrame:
     """The most important turns (by the triage score) that fit the budget."""
-    text = F.col("text")
-    score = T.importance_score(T.classify_intent(text), T.analyze_sentiment(text),
-                               F.size(T.high_keywords(text)), F.size(T.medium_keywords(text)),
-                               T.is_customer(F.col("speaker")))
+    score = T.text_importance(F.col("text"), F.col("speaker"))
     return O.extractive_select(turns.withColumn("score", F.round(score, 6)), max_tokens)
 
 
@@ -183,10 +179,8 @@ def hierarchical_segments(turns: DataFrame, max_words: int = 1500) -> DataFrame:
     filtered = written(noise_filter_full(turns), "filtered-turns")
     filtered = written(dense_position(filtered, ["call_id"], "turn_index", "pos"), "positions")
     chunked = O.semantic_chunks(filtered, position="pos")
-    scored = chunked.withColumn("turn_score", T.importance_score(
-        T.classify_intent(F.col("text")), T.analyze_sentiment(F.col("text")),
-        F.size(T.high_keywords(F.col("text"))), F.size(T.medium_keywords(F.col("text"))),
-        T.is_customer(F.col("speaker"))))
+    scored = chunked.withColumn("turn_score", T.text_importance(
+        F.col("text"), F.col("speaker")))
     scored = written(scored, "chunked-turns")
     merged = O.merge_small_segments(O.segment_table(scored, F.col("turn_score")), max_words)
     return scored.join(merged.select("call_id", "segment", "chunk"), ["call_id", "segment"])
@@ -242,9 +236,7 @@ def phase_summary(turns: DataFrame) -> DataFrame:
     for name, (phases, _) in PHASE_PARTS.items():
         part = F.when(F.col("phase").isin(*phases), name).otherwise(part)
     limit = T.lookup(F.col("part"), {n: k for n, (_, k) in PHASE_PARTS.items()}, 0)
-    score = F.round(T.importance_score(
-        T.classify_intent(text), T.analyze_sentiment(text), F.size(T.high_keywords(text)),
-        F.size(T.medium_keywords(text)), T.is_customer(F.col("speaker"))), 6)
+    score = F.round(T.text_importance(text, F.col("speaker")), 6)
     scored = O.call_phases(turns).select("call_id", "turn_index", "text", part.alias("part"),
                                          score.alias("score"))
     w = Window.partitionBy("call_id", "part").orderBy(F.desc("score"), "turn_index")

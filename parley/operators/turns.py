@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from parley import constants as K
 from parley.functions import text as X
 from parley.functions import vectors as V
-from parley.plans.ordered import (TURN_BLOCK, block_of, dense_position, edge_window, fold,
-                                  running_total, with_edges, without_edges)
+from parley.plans.ordered import (block_of, dense_position, edge_window, fold, running_total,
+                                  with_edges, without_edges)
 
 CALL = ["call_id"]
 
@@ -355,4 +355,4 @@ def rank_results(scored: DataFrame, keys, score: str, tie: str, k: int | None =
 
 def renumber(turns: DataFrame) -> DataFrame:
     """Dense positions after turns were dropped."""
-    return dense_position(turns, CALL, "turn_index", "pos", TURN_BLOCK)
+    return dense_position(turns, CALL, "turn_index", "pos")

@@ -28,17 +28,21 @@ TURN_BLOCK = 4096
 BLOCK, HALO = "__block", "__halo"
 
 
-def block_of(position, size: int = TURN_BLOCK) -> Column:
+def block_of(position, size: int | None = None) -> Column:
+    size = size or TURN_BLOCK
     position = F.col(position) if isinstance(position, str) else position
     return F.floor(position / F.lit(size)).cast("bigint")
 
 
 def with_edges(df: DataFrame, position: str, before: int = 0, after: int = 0,
-               size: int = TURN_BLOCK) -> DataFrame:
+               size: int | None = None) -> DataFrame:
     """Give every block the `before`/`after` rows around it, flagged as halo.
 
     `position` must count 0, 1, 2, ... inside each call.
     """
+    size = size or TURN_BLOCK
+    if max(before, after) > size:
+        raise ValueError("a block must hold the rows its neighbours need")
     own = block_of(position, size)
     offset = F.pmod(F.col(position), F.lit(size))
     copies = [F.struct(own.alias("b"), F.lit(False).alias("h"))]
@@ -78,7 +82,7 @@ def _add_block_offsets(df: DataFrame, keys, totals: DataFrame, columns) -> DataF
 
 
 def dense_position(df: DataFrame, keys: Sequence[str], order: str, out: str = "pos",
-                   size: int = TURN_BLOCK) -> DataFrame:
+                   size: int | None = None) -> DataFrame:
     """Number the remaining rows of each call 0, 1, 2, ... in `order`.
 
     `order` is the original integer position, so blocks of it are bounded.
@@ -91,7 +95,7 @@ def dense_position(df: DataFrame, keys: Sequence[str], order: str, out: str = "p
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column, out: str,
-                  size: int = TURN_BLOCK) -> DataFrame:
+                  size: int | None = None) -> DataFrame:
     """Inclusive running sum of a non-negative integer expression."""
     blocked = df.withColumn(BLOCK, block_of(order, size)).withColumn(out, value.cast("bigint"))
     totals = blocked.groupBy(*keys, BLOCK).agg(F.sum(out).alias(out))
@@ -101,7 +105,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column,
 
 
 def fold(df: DataFrame, keys: Sequence[str], order: str, inputs: Sequence[str],
-         step: Callable, initial, out: str, size: int = TURN_BLOCK,
+         step: Callable, initial, out: str, size: int | None = None,
          bound: DataFrame | None = None) -> DataFrame:
     """Add a boolean column computed by an order-dependent fold over each key.
 
@@ -112,7 +116,7 @@ def fold(df: DataFrame, keys: Sequence[str], order: str, inputs: Sequence[str],
     sequential pass.  Whether any key is longer than a block is read from
     `bound` (default: `df`), which must hold at least the same positions.
     """
-    keys = list(keys)
+    keys, size = list(keys), size or TURN_BLOCK
     blocked = df.withColumn(BLOCK, block_of(order, size))
     last = (df if bound is None else bound).agg(F.max(order)).first()[0]
     start = "__start"

@@ -128,8 +128,9 @@ def analyze_segments_with(turns: DataFrame, *extra: str) -> DataFrame:
     out = (turns.withColumn("intent", T.classify_intent(text))
            .withColumn("sentiment", T.analyze_sentiment(text))
            .withColumn("importance_score", T.importance_score(
-               F.col("intent"), F.col("sentiment"), F.size(T.high_keywords(text)),
-               F.size(T.medium_keywords(text)), T.is_customer(F.col("speaker")))))
+               F.col("intent"), F.col("sentiment"), T.number_found(F.lower(text), K.HIGH_KEYWORDS),
+               T.number_found(F.lower(text), K.MEDIUM_KEYWORDS),
+               T.is_customer(F.col("speaker")))))
     return out.withColumn("is_critical", T.is_critical(F.col("importance_score"))).select(
         "call_id", "turn_index", "speaker", "intent", "sentiment", "importance_score",
         "is_critical", *extra)
