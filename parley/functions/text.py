@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,9 +23,7 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    clean = squeeze(text)
-    return F.when(clean == "", F.lit(0)).otherwise(
-        F.length(clean) - F.length(F.replace(clean, F.lit(" "), F.lit(""))) + 1)
+    return F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
 
 
 def approx_tokens(text: Column) -> Column:
@@ -46,7 +42,8 @@ def decode_list(text: Column) -> Column:
 
 # --- noise ------------------------------------------------------------------
 def any_pattern(text: Column, patterns) -> Column:
-    return reduce(lambda a, b: a | b, [matches(text, p) for p in patterns])
+    """True when one of the patterns occurs; a single pass over the text."""
+    return matches(text, "(?:" + "|".join(patterns) + ")")
 
 
 def is_greeting(text: Column) -> Column:

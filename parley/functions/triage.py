@@ -38,13 +38,14 @@ def number_found(text: Column, words) -> Column:
 
 
 def lookup(key: Column, table: dict, default) -> Column:
-    """A small constant table as a CASE expression."""
-    items = iter(table.items())
-    k, v = next(items)
-    out = F.when(key == k, F.lit(v))
-    for k, v in items:
-        out = out.when(key == k, F.lit(v))
-    return out.otherwise(F.lit(default))
+    """A small constant table.
+
+    One reference to the key: a filter on the result can then be pushed below
+    the projection without repeating the key's expression per entry.
+    """
+    pairs = [F.lit(x) for pair in table.items() for x in pair]
+    found = F.try_element_at(F.create_map(*pairs), key)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def classify_intent(text: Column) -> Column:
@@ -59,11 +60,15 @@ def classify_intent(text: Column) -> Column:
 
 
 def analyze_sentiment(text: Column) -> Column:
-    neg = F.regexp_count(text, F.lit("(?i)" + K.NEGATIVE_RX))
-    pos = F.regexp_count(text, F.lit("(?i)" + K.POSITIVE_RX))
-    return (F.when(neg >= 2, "very_negative").when(neg >= 1, "negative")
-            .when(pos >= 2, "very_positive").when(pos >= 1, "positive")
-            .otherwise("neutral"))
+    """Two or more, one, or no negative words decide first, then positive ones.
+
+    Each count is used once, as a coordinate of a constant 3 x 3 table.
+    """
+    count = lambda rx: F.least(F.regexp_count(text, F.lit("(?i)" + rx)), F.lit(2))
+    table = (["neutral", "positive", "very_positive"] + ["negative"] * 3
+             + ["very_negative"] * 3)
+    place = count(K.NEGATIVE_RX) * 3 + count(K.POSITIVE_RX) + 1
+    return F.element_at(F.array(*[F.lit(x) for x in table]), place)
 
 
 def high_keywords(text: Column) -> Column:

@@ -140,9 +140,7 @@ def fold(df: DataFrame, keys: Sequence[str], order: str, inputs: Sequence[str],
                     current, state = key, json.loads(row[len(keys) + 1])
                 state, flag = step(state, *row[len(keys) + 2:])
                 flags.append(bool(flag))
-            pdf = pdf[names]
-            pdf[out] = flags
-            yield pdf
+            yield pdf[names].assign(**{out: flags})
 
     return (rows.repartition(*keys, BLOCK).sortWithinPartitions(*keys, BLOCK, order)
             .mapInPandas(flag_rows, schema))
