@@ -11,6 +11,11 @@ from parley import constants as K
 TOKEN_RX = r"[\p{L}\p{N}_]+"
 
 
+def once(value: Column, use) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
                        F.lit(0.0), lambda s, x: s + x)

@@ -147,14 +147,13 @@ FUNCTION_WORDS = {
 
 def detect_language(text: Column) -> Column:
     """The language with most function words; ties and no hits go to the first."""
-    tokens = V.tokens(text)
-    count = lambda words: F.size(F.filter(tokens, lambda t: t.isin(*words)))
-    hits = {lang: count(words) for lang, words in FUNCTION_WORDS.items()}
-    best = F.greatest(*hits.values())
-    out = F.when(hits["en"] == best, "en")
-    for lang in ("de", "fr", "es"):
-        out = out.when(hits[lang] == best, lang)
-    return out
+    def best(tokens):
+        hits = [F.size(F.filter(tokens, lambda t: t.isin(*words)))
+                for words in FUNCTION_WORDS.values()]
+        most = F.array(*hits)
+        return F.array_position(most, F.array_max(most))
+    place = V.once(V.tokens(text), best).cast("int")
+    return F.element_at(F.array(*[F.lit(x) for x in FUNCTION_WORDS]), place)
 
 
 def language_split(docs: DataFrame, text: str = "text") -> DataFrame:

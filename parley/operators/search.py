@@ -43,18 +43,13 @@ def build_search_documents(segments: DataFrame, enrichments: DataFrame,
 
 
 # --- TF-IDF -----------------------------------------------------------------
-def _once(value: Column, use) -> Column:
-    """`use(value)` with the value computed once, however often it is used."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def terms(text: Column, bigrams: bool = True) -> Column:
     """Tokens without stop words, then the pairs of neighbours among them."""
     kept = F.filter(V.tokens(text), lambda w: ~w.isin(*K.STOP_WORDS))
     if not bigrams:
         return kept
     blank = F.array().cast("array<string>")
-    return _once(kept, lambda k: F.concat(k, F.when(F.size(k) >= 2, F.zip_with(
+    return V.once(kept, lambda k: F.concat(k, F.when(F.size(k) >= 2, F.zip_with(
         F.slice(k, F.lit(1), F.greatest(F.size(k) - 1, F.lit(0))),
         F.slice(k, F.lit(2), F.greatest(F.size(k) - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b))).otherwise(blank)))

@@ -82,13 +82,14 @@ def _add_block_offsets(df: DataFrame, keys, totals: DataFrame, columns) -> DataF
 
 
 def dense_position(df: DataFrame, keys: Sequence[str], order: str, out: str = "pos",
-                   size: int | None = None) -> DataFrame:
-    """Number the remaining rows of each call 0, 1, 2, ... in `order`.
+                   size: int | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """Number the rows of each key 0, 1, 2, ... in `order` (then `ties`).
 
-    `order` is the original integer position, so blocks of it are bounded.
+    `order` is an integer position such as the original turn number, so blocks
+    of it are bounded.
     """
     blocked = df.withColumn(BLOCK, block_of(order, size))
-    w = Window.partitionBy(*keys, BLOCK).orderBy(order)
+    w = Window.partitionBy(*keys, BLOCK).orderBy(order, *ties)
     ranked = blocked.withColumn(out, (F.row_number().over(w) - 1).cast("bigint"))
     totals = blocked.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias(out))
     return _add_block_offsets(ranked, keys, totals, [out])

@@ -19,6 +19,10 @@ def build_session(app: str = "parley", cores: str = "*", shuffle_partitions: int
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+               # a megabyte of turns is about a second of rule matching, so small
+               # partitions are worth keeping
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+               .config("spark.sql.files.openCostInBytes", "256k")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
                .config("spark.driver.memory", "12g")
                .config("spark.ui.enabled", "false"))

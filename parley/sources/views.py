@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.plans.ordered import dense_position
+
 # The sentences that stand in for spoken turns.
 SENTENCES = (
     "I want to file a complaint, this is terrible and awful service",
@@ -91,21 +93,20 @@ class Tables:
 
     @cached_property
     def turns(self) -> DataFrame:
-        order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-                 "l_discount", "l_tax", "l_shipdate"]
-        w = Window.partitionBy("l_orderkey").orderBy(*order)
+        ties = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+                "l_shipdate"]
         k, p, turn = F.col("l_orderkey"), F.col("l_partkey"), F.col("turn_index")
         speaker = (F.when(k % 29 == 0, "agent")
                    .when((k % 17 == 0) & (turn == 5), "system")
                    .when(turn % 2 == 0, "customer").otherwise("agent"))
-        return (self.table("lineitem").select("l_orderkey", *order)
-                .withColumn("turn_index", (F.row_number().over(w) - 1).cast("int"))
-                .select(F.concat(F.lit("CALL_"), F.lpad(k.cast("string"), 6, "0"))
-                        .alias("call_id"),
-                        "turn_index", speaker.alias("speaker"),
-                        _pick(SENTENCES, (k * 31 + turn * 7 + p) % 24).alias("text"),
-                        (turn * 10).cast("double").alias("start_time"),
-                        (turn * 10 + 5 + p % 5).cast("double").alias("end_time")))
+        lines = self.table("lineitem").select("l_orderkey", "l_linenumber", *ties)
+        numbered = dense_position(lines, ["l_orderkey"], "l_linenumber", "turn_index", ties=ties)
+        return numbered.withColumn("turn_index", turn.cast("int")).select(
+            F.concat(F.lit("CALL_"), F.lpad(k.cast("string"), 6, "0")).alias("call_id"),
+            "turn_index", speaker.alias("speaker"),
+            _pick(SENTENCES, (k * 31 + turn * 7 + p) % 24).alias("text"),
+            (turn * 10).cast("double").alias("start_time"),
+            (turn * 10 + 5 + p % 5).cast("double").alias("end_time"))
 
     @cached_property
     def calls(self) -> DataFrame:
