@@ -126,17 +126,23 @@ def keyword_search(queries, query_id, query_text, docs, doc_id, text, k: int = K
 
 
 # --- vectors ----------------------------------------------------------------
-def embed_texts(docs: DataFrame, text: str, out: str = "embedding", embed=None) -> DataFrame:
-    """Attach a vector per text, computed once per distinct text.
+def embed_texts(docs: DataFrame, text: str, out: str = "embedding", embed=None,
+                reuse: bool | None = None) -> DataFrame:
+    """Attach a vector per text.
 
     `embed` is a Column -> Column hook (for instance a pandas UDF around a
-    model); the default hashes tokens into EMBEDDING_DIM slots.  Hot texts are
-    pre-aggregated by the distinct; the join back may be skewed, which AQE splits.
+    model); the default hashes tokens into EMBEDDING_DIM slots where the text
+    is, without a shuffle.  With `reuse` (the default for hooks, which are
+    expensive) equal texts share one vector, found by the hash of the text; the
+    distinct is pre-aggregated and AQE splits the join on a hot text.
     """
-    embed = embed or V.hashed_embedding
-    distinct = docs.select(F.col(text).alias("__text")).distinct().withColumn(
-        out, embed(F.col("__text")))
-    return docs.join(distinct, F.col(text) == F.col("__text"), "left").drop("__text")
+    if not (embed is not None if reuse is None else reuse):
+        return docs.withColumn(out, (embed or V.hashed_embedding)(F.col(text)))
+    key = F.sha2(F.col(text), 256)
+    distinct = (docs.select(key.alias("__key"), F.col(text).alias("__text"))
+                .dropDuplicates(["__key"])
+                .select("__key", (embed or V.hashed_embedding)(F.col("__text")).alias(out)))
+    return docs.withColumn("__key", key).join(distinct, "__key", "left").drop("__key")
 
 
 def _unit(matrix):

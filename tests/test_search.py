@@ -76,7 +76,10 @@ def test_merge_keeps_one_sided_results(spark):
 
 def test_shared_embeddings(spark):
     docs = spark.createDataFrame([(1, "a word"), (2, "a word"), (3, "other")], "id int, t string")
-    vec = {r["id"]: r["embedding"] for r in S.embed_texts(docs, "t").collect()}
-    assert vec[1] == vec[2] != vec[3]
+    direct, shared = ({r["id"]: r["embedding"] for r in S.embed_texts(
+        docs, "t", reuse=reuse).collect()} for reuse in (False, True))
+    assert direct == shared and direct[1] == direct[2] != direct[3]
+    hook = S.embed_texts(docs, "t", embed=lambda c: F.array(F.length(c))).collect()
+    assert {r["id"]: r["embedding"] for r in hook} == {1: [6], 2: [6], 3: [5]}
     reuse = S.embedding_reuse(docs, "t").collect()[0]
     assert (reuse["n_texts"], reuse["n_distinct"]) == (3, 2)
