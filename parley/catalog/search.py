@@ -207,3 +207,21 @@ def embedding_cost(t):
 FROM (SELECT sha256(text), count(*) AS n FROM turns GROUP BY 1)""", "turns"))
 def embedding_reuse(t):
     return S.embedding_reuse(t.turns, "text")
+
+
+QUESTION = "Who reported fraud or an error on the credit card and wants a refund?"
+view("turn_docs", "SELECT concat(call_id, '#', turn_index) AS turn_key, text FROM turns", "turns")
+index_views("turn_doc", "turn_docs", "turn_key", "text")
+view("question_v", f"SELECT 0 AS question_id, {V.lit(QUESTION)} AS text")
+gram_views("question_tf", "question_v", "question_id", "text")
+weight_view("question_w", "question_tf", "turn_doc_idf")
+
+
+@query(sql(f"""SELECT call_id, turn_index, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY call_id
+ ORDER BY score DESC, turn_index) AS rank FROM (SELECT split_part(d.k, '#', 1) AS call_id, split_part(d.k, '#', 2)::BIGINT AS turn_index,
+  round(sum(q.w * d.w), 9) AS score FROM question_w q JOIN turn_doc_w d USING (term) GROUP BY d.k)) WHERE rank <= 3""",
+           "question_w", "turn_doc_w"))
+def query_focused_turns(t):
+    """Per call, the three turns closest to one question."""
+    from parley.operators.summaries import query_focused_turns as focus
+    return focus(t.turns, QUESTION)

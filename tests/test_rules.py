@@ -133,3 +133,13 @@ def test_unknown_category_and_filter(spark):
     rows = spark.createDataFrame([("a", 1)], "x string, y int")
     assert C.metadata_filter(rows, {"z": 1}).isEmpty()
     assert C.metadata_filter(rows, {"x": ["a", "b"], "y": 1}).count() == 1
+
+
+def test_latency_sketch_is_close(spark):
+    from parley.operators import governance as G
+    log = spark.range(20000).select(F.lit("m").alias("mode"), (F.col("id") / 10).alias("latency_ms"),
+                                    (F.col("id") % 50 == 0).alias("is_error"))
+    got = G.latency_percentiles(log).collect()[0]
+    assert got["n"] == 20000 and got["error_rate"] == 0.02
+    for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        assert got[name] == pytest.approx(2000 * p, rel=0.002)
