@@ -26,7 +26,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
     and share `share` of all sizes.  None gives over `most` times its size; what is over
     goes to the others by weight, until none is above.  With sources in order of cap per
     weight, that is one level L for which the sum of min(cap, L * weight) is the whole: the
-    first source whose cap per weight reaches the level that the rest would need.
+    first source whose cap per weight reaches the level that the rest would need; from there
+    on the needed level only falls, so that of the first is the greatest.
     """
     by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     place = Window.orderBy(F.col("source").asc_nulls_last())
@@ -41,7 +42,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
     level = ((total - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
              / F.sum("weight").over(after))
     levels = capped.withColumn("need", level)
-    reached = F.min(F.when(F.col("need") <= F.col("cap") / F.col("weight"), F.col("need"))) \
+    reached = F.max(F.when(F.col("need") <= F.col("cap") / F.col("weight"), F.col("need"))) \
         .over(Window.partitionBy())
     return levels.select("source", "source_size",
                          F.least("cap", reached * F.col("weight")).alias("target"))

@@ -89,7 +89,7 @@ levels AS (SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM by_source)
      - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0::DOUBLE))
      / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS need
    FROM capped),
-goals AS (SELECT source, source_size, least(cap, (SELECT min(need) FROM levels WHERE need <= cap / weight) * weight) AS target FROM levels),
+goals AS (SELECT source, source_size, least(cap, (SELECT max(need) FROM levels WHERE need <= cap / weight) * weight) AS target FROM levels),
 rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0::DOUBLE END AS rate FROM goals),
 rests AS (SELECT source, source_size, target, floor(rate) AS whole, rate - floor(rate) AS odds,
           target - floor(rate) * source_size AS rest FROM rates),
