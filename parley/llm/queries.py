@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import lines, mixing, packing, quality, simhash
+from parley.llm import (chat, lengths, lines, mixing, packing, phrases, quality, secrets,
+                        simhash)
 from parley.llm.common import NO_ID
+from parley.plans.workspace import new_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = {}
@@ -33,6 +35,55 @@ def op1_simhash(table):
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query()
+def op2_token_counts(table):
+    return lengths.limits(lengths.length_histogram(table("documents")))
+
+
+# Each match stands between two private-use characters; the lengths of what is between them
+# give the positions.
+FIND_SQL = r"""SELECT doc_id, '{kind}' AS kind, {place} AS place, part AS found,
+       (sum(len(part)) OVER (PARTITION BY doc_id ORDER BY i) - len(part))::BIGINT AS start, i
+  FROM (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i
+        FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '({pattern})',
+              chr(57344) || '\1' || chr(57344), 'g'), chr(57344)) AS parts FROM documents)
+        WHERE len(parts) > 1)"""
+ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
+VALUE = r"""^(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?"""
+SECRETS = (("assign", ASSIGN, f"len(regexp_replace(found, '{VALUE}', '')) >= 6"),
+           ("access", "AKIA[A-Z0-9]+", "len(found) >= 20"), ("hex", "[0-9a-f]+", "len(found) >= 24"),
+           ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "true"),
+           ("github", "gh[pousr]_[A-Za-z0-9]+", "len(found) >= 40"))
+
+
+@query("WITH spans AS (" + " UNION ALL ".join(
+    f"SELECT doc_id, kind, place, start, start + len(found) AS ends FROM ({FIND_SQL.format(kind=kind, place=k, pattern=p)}) "
+    f"WHERE i % 2 = 1 AND {ok}" for k, (kind, p, ok) in enumerate(SECRETS)) + """),
+joined AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+   count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+   string_agg(concat(kind, ':', start, ':', ends), ',' ORDER BY start, place) FILTER (place < 3) AS base,
+   string_agg(concat(kind, ':', start, ':', ends), ',' ORDER BY start, place) AS spans
+ FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans FROM documents LEFT JOIN joined USING (doc_id)""")
+def op3_secret_scans(table):
+    docs = table("documents")
+    ledger = new_path(docs.sparkSession, "ledger")
+    secrets.scan(docs, ledger)
+    found = secrets.findings(docs.select("doc_id", "text"), ledger)
+
+    def text(kinds):
+        own = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+        return F.array_join(F.transform(own, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = secrets.KINDS[:3]
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("row.doc_id", *map(number, base), F.sha2(text(base), 256).alias("base_sha256"),
+                        text(secrets.KINDS).alias("spans"))
+
+
 WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -136,3 +187,19 @@ def op6_line_dedup(table):
 @query()
 def op8_best_fit_packing(table):
     return packing.pack(table("documents"))
+
+
+@query()
+def op9_phrase_fingerprints(table):
+    return phrases.compared_with_edit(table("documents"))
+
+
+@query()
+def op10_reply_trees(table):
+    talks = table("conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    extra = talks.sparkSession.createDataFrame(
+        [(-1, 0, "user", marks), (-1, 1, "assistant", marks)], talks.schema)
+    messages = written(chat.reply_chains(talks.unionByName(extra)), "messages")
+    return chat.digests(chat.format_branches(messages)).withColumn(
+        "conv_id", F.nullif("conv_id", F.lit(NO_ID)))
