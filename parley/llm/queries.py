@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import (chat, lengths, lines, mixing, packing, phrases, quality, secrets,
-                        simhash)
+from parley.llm import (chat, lengths, lines, mixing, packing, phrases, pii, quality,
+                        secrets, simhash)
 from parley.llm.common import NO_ID
 from parley.plans.workspace import new_path, written
 
@@ -184,6 +184,19 @@ def op6_line_dedup(table):
         "row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op7_pii(table):
+    def text(of):
+        return F.array_join(F.transform(of, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["base"])
+    return pii.detected(table("documents")).select(
+        "doc_id", *map(number, pii.BASE), F.sha2(text(base), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"))
+
+
 @query()
 def op8_best_fit_packing(table):
     return packing.pack(table("documents"))
