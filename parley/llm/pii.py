@@ -183,8 +183,8 @@ def spans(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """
     found = written(matches(docs), "matches")
     kind, text = F.col("kind"), F.col("found")
-    base = kind.isin(*BASE)
-    voted = found.withColumn("base", base & _passes(kind, text)) \
+    of_base = kind.isin(*BASE)
+    voted = found.withColumn("base", of_base & _passes(kind, text)) \
         .select("*", *_votes(kind, text, F.coalesce("before", F.lit("")), F.coalesce("after", F.lit(""))))
     counted = voted.groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()
     patterns = sorted((r.kind, tuple(r[x] for x in LABELERS), r.n) for r in counted)
@@ -199,7 +199,7 @@ def spans(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     ends = F.max(F.when(F.col("base"), F.col("stop"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.min(F.when(F.col("base"), F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
     free = F.coalesce(ends <= F.col("start"), F.lit(True)) & F.coalesce(begins >= F.col("stop"), F.lit(True))
-    return (voted.filter(F.col("base") | ~base)
+    return (voted.filter(F.col("base") | ~of_base)
             .select("d", "t", "kind", "rank", "start", "stop", "base", free.alias("free"),
                     (1 / (1 + F.exp(-score))).alias("chance"))
             .filter(F.col("base") | (F.col("free") & (F.col("chance") > accept))).drop("free"))
