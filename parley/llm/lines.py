@@ -62,7 +62,9 @@ def dedupe_lines(docs: DataFrame, min_chars: int = MIN_CHARS,
     A line held by very many documents is a skewed join on its hash, which Spark splits.
     """
     hashes = written(line_hashes(docs, min_chars), "lines")
-    dropped = (hashes.join(repeated_lines(hashes, min_docs), ["k1", "k2"])
+    # written, so that both sides of the join are dealt out plainly and large keys can be split
+    repeated = written(repeated_lines(hashes, min_docs), "repeated")
+    dropped = (hashes.join(repeated, ["k1", "k2"])
                .filter(F.col("d") != F.col("first"))
                .groupBy("d", "t").agg(F.collect_list("pos").alias("gone")))
     rows = in_rows(docs, d=id_of(), t=F.xxhash64(text_of()), lines=F.split(text_of(), "\n"))
