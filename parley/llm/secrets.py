@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm.common import text_of
+from parley.plans.workspace import written
 
 # The patterns of the rules.
 #: kind: (version, pattern, fewest characters of the match, or of its group `value`)
@@ -28,17 +29,16 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 LEDGER = f"blob string, rules array<string>, spans {SPANS}"
 
 
-def rule_version(kind: str) -> str:
-    return f"{kind}@{RULES[kind][0]}"
+def rule_versions(rules: dict) -> list[str]:
+    return [f"{kind}@{version}" for kind, (version, _, _) in rules.items()]
 
 
-def find(text: str, kinds=KINDS) -> list[dict]:
+def find(text: str, rules: dict = RULES) -> list[dict]:
     """The spans of a whole text in code points, by kind: leftmost, not overlapping."""
     low, out = text.lower(), []
-    for kind in kinds:
+    for kind, (_, pattern, least) in rules.items():
         if kind in NEEDED and not any(x in low for x in NEEDED[kind]):
             continue
-        _, pattern, least = RULES[kind]
         # a maximal run that is too short is never part of a longer match
         pattern = re.compile(pattern.replace("[0-9a-f]+", "[0-9a-f]{24,}") if kind == "hex" else pattern)
         for m in pattern.finditer(text):
@@ -48,8 +48,8 @@ def find(text: str, kinds=KINDS) -> list[dict]:
     return out
 
 
-def scan(versions: DataFrame, ledger: str) -> DataFrame:
-    """Brings the ledger up to date with all texts; returns what it added.
+def scan(versions: DataFrame, ledger: str, rules: dict = RULES) -> DataFrame:
+    """Brings the ledger up to date with all texts; returns it.
 
     versions: a column text, one row per historical version of a path; null is empty.
     ledger: a folder all executors reach, Parquet of (blob, rules, spans); need not exist.
@@ -59,7 +59,7 @@ def scan(versions: DataFrame, ledger: str) -> DataFrame:
     so a blob with very many copies isn't gathered anywhere.
     """
     spark = versions.sparkSession
-    current = [rule_version(k) for k in KINDS]
+    current = rule_versions(rules)
     texts = versions.select(text_of().alias("text"))
     blobs = texts.groupBy(F.sha2("text", 256).alias("blob")).agg(F.first("text").alias("text"))
     seen = (_rows(spark, ledger).groupBy("blob")
@@ -70,10 +70,10 @@ def scan(versions: DataFrame, ledger: str) -> DataFrame:
         .filter(F.size("rules") > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {rule_version(k): k for k in KINDS}
+        by_version = dict(zip(current, rules.items()))
         for b in batches:
-            found = [find(x.as_py(), [kinds[r] for r in rules.as_py()])
-                     for x, rules in zip(b.column(1), b.column(2))]
+            found = [find(x.as_py(), dict(by_version[v] for v in lacking.as_py()))
+                     for x, lacking in zip(b.column(1), b.column(2))]
             spans = pa.array(found, pa.list_(pa.struct(
                 [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), spans],
@@ -92,21 +92,25 @@ def _rows(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).parquet(ledger)
 
 
-def findings(versions: DataFrame, ledger: str) -> DataFrame:
+def findings(versions: DataFrame, ledger: str, rules: dict = RULES) -> DataFrame:
     """(row, blob, spans): the current rules' spans of each version, by start, then kind.
 
     Every path of a blob gets its spans; rows without any get an empty list.  A blob with
     very many paths is a skewed join on its hash, which Spark splits.
     """
     spark = versions.sparkSession
-    current = F.array(*[F.lit(rule_version(k)) for k in KINDS])
-    place = F.array(*map(F.lit, KINDS))
+    current, place = F.array(*map(F.lit, rule_versions(rules))), F.array(*map(F.lit, rules))
+    # a row's spans of rules that have a newer version don't count
+    valid = F.transform(F.array_intersect("rules", current), lambda v: F.split_part(v, F.lit("@"), F.lit(1)))
     known = (_rows(spark, ledger).filter(F.arrays_overlap("rules", current))
+             .select("blob", valid.alias("valid"), "spans")
+             .select("blob", F.filter("spans", lambda s: F.array_contains(F.col("valid"), s["kind"])).alias("spans"))
              .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("all")))
     ordered = F.array_sort(F.transform("all", lambda s: F.struct(
         s["start"].alias("start"), F.array_position(place, s["kind"]).alias("place"),
         s["end"].alias("end"), s["kind"].alias("kind"))))
-    known = known.filter(F.size("all") > 0).select("blob", ordered.alias("spans"))
+    # written, so that both sides of the join are dealt out plainly and large blobs can be split
+    known = written(known.filter(F.size("all") > 0).select("blob", ordered.alias("spans")), "known")
     rows = versions.select(F.struct(*[F.col(f"`{c}`") for c in versions.columns if c != "text"])
                            .alias("row"), F.sha2(text_of(), 256).alias("blob"))
     empty = F.array().cast("array<struct<start:int,place:bigint,end:int,kind:string>>")
