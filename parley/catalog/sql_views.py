@@ -57,10 +57,6 @@ def r(expr: str, n: int = 6) -> str:
     return f"round({expr}, {n})"
 
 
-def in_order_sum(lst: str) -> str:
-    return f"coalesce(list_reduce({lst}, lambda a, b: a + b), 0::DOUBLE)"
-
-
 def values(texts) -> str:
     return ", ".join(f"({i}, {lit(t)})" for i, t in enumerate(texts))
 
@@ -172,15 +168,16 @@ view("pc", f"""SELECT *, CASE WHEN requires_enrichment THEN CASE
 FROM (SELECT *, overall_importance IN ('critical', 'high') OR high_priority_segments >= 2 AS requires_enrichment
  FROM (SELECT *, {level_sql('weighted_score')} AS overall_importance
   FROM (SELECT call_id, overall_intent, overall_sentiment, total_segments, high_priority_segments,
-   {in_order_sum('s')} / total_segments AS importance_score,
-   (CASE WHEN c IS NULL THEN 0::DOUBLE ELSE {in_order_sum('c')} / len(c) END) * 0.7::DOUBLE
-   + (CASE WHEN a IS NULL THEN 0::DOUBLE ELSE {in_order_sum('a')} / len(a) END) * 0.3::DOUBLE AS weighted_score
+   s / total_segments / 1000000 AS importance_score,
+   round(coalesce(c / nc, 0) / 1000000 * 0.7::DOUBLE + coalesce(a / na, 0) / 1000000 * 0.3::DOUBLE, 6) AS weighted_score
    FROM (SELECT call_id, first(intent ORDER BY {_ISEV} DESC, turn_index) AS overall_intent,
      first(sentiment ORDER BY {_SSEV} DESC, turn_index) AS overall_sentiment,
      count(*) AS total_segments, count(*) FILTER (WHERE is_critical) AS high_priority_segments,
-     list(importance_score ORDER BY turn_index) AS s,
-     list(importance_score ORDER BY turn_index) FILTER (WHERE lower(speaker) = 'customer') AS c,
-     list(importance_score ORDER BY turn_index) FILTER (WHERE lower(speaker) = 'agent') AS a
+     sum(round(importance_score * 1000000)) AS s,
+     sum(round(importance_score * 1000000)) FILTER (WHERE lower(speaker) = 'customer') AS c,
+     nullif(count(*) FILTER (WHERE lower(speaker) = 'customer'), 0) AS nc,
+     sum(round(importance_score * 1000000)) FILTER (WHERE lower(speaker) = 'agent') AS a,
+     nullif(count(*) FILTER (WHERE lower(speaker) = 'agent'), 0) AS na
      FROM seg GROUP BY call_id))))""", "seg")
 
 view("enriched", "SELECT call_id FROM pc WHERE overall_importance = 'critical'", "pc")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from parley import constants as K
 from parley.functions import triage as T
 from parley.functions.text import period_trunc
-from parley.plans.ordered import block_of
 from parley.sources.transcripts import segment_id
 
 
@@ -40,60 +39,58 @@ def analyze_segments(turns: DataFrame) -> DataFrame:
 
 
 # --- call roll-up -----------------------------------------------------------
-def _in_order_sum(scores: Column) -> Column:
-    return F.aggregate(scores, F.lit(0.0), lambda total, s: total + s["score"])
+def micro(score: Column) -> Column:
+    """A score in millionths, so that sums are exact in any order and at any length."""
+    return F.round(score * 1_000_000).cast("bigint")
 
 
-def _whole(parts: str) -> Column:
-    """Total of the block sums; a single block keeps its in-order double sum."""
-    exact = F.sum(F.col(parts).cast("decimal(38,12)")).cast("double")
-    return F.when(F.count(F.lit(1)) == 1, F.max(parts)).otherwise(exact)
+def weighted_score(customer: Column, n_customer: Column, agent: Column,
+                   n_agent: Column) -> Column:
+    """The two sides' mean scores by their shares, from sums of millionths."""
+    mean = lambda total, n: F.coalesce(F.try_divide(total, n), F.lit(0.0)) / 1_000_000.0
+    return F.round(mean(customer, n_customer) * F.lit(K.CUSTOMER_SHARE)
+                   + mean(agent, n_agent) * F.lit(K.AGENT_SHARE), 6)
+
+
+def _worst(severity: Column, label: Column, labels) -> Column:
+    """One number that grows with severity, then with the earlier turn, and holds the label."""
+    place = F.array_position(F.array(*map(F.lit, labels)), label)
+    earlier = F.lit((1 << 32) - 1) - F.col("turn_index").cast("bigint")
+    return ((severity.cast("bigint") + 8) * F.lit(1 << 40) + earlier * 256 + place).cast("bigint")
+
+
+def _label(code: Column, labels) -> Column:
+    return F.get(F.array(*map(F.lit, labels)), (code % 256 - 1).cast("int"))
 
 
 def roll_up_calls(segments: DataFrame) -> DataFrame:
     """One row per call: level, overall intent and sentiment, triage decision.
 
-    Doubles are summed in turn order (thresholds are compared with exactly that
-    sum), which needs the turns of a block together; a call is cut into blocks,
-    so no task ever holds more than one block of a call.
+    Everything is a sum or a maximum of whole numbers: the turns of a call are
+    combined per task before the shuffle, and the result does not depend on
+    their order or number.  The stream uses the same arithmetic.
     """
-    speaker = F.lower("speaker")
-    who = F.when(speaker == "customer", "c").when(speaker == "agent", "a").otherwise("o")
-    rank = -F.col("turn_index")
-    blocks = segments.groupBy("call_id", block_of("turn_index").alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct(
-            "turn_index", F.col("importance_score").alias("score"), who.alias("who"))))
-        .alias("scores"),
-        F.max(F.struct(T.intent_severity(F.col("intent")).alias("s"), rank.alias("r"),
-                       F.col("intent").alias("v"))).alias("intent"),
-        F.max(F.struct(T.sentiment_severity(F.col("sentiment")).alias("s"), rank.alias("r"),
-                       F.col("sentiment").alias("v"))).alias("sentiment"),
-        F.count_if("is_critical").alias("n_critical"))
-    customer = F.filter("scores", lambda x: x["who"] == "c")
-    agent = F.filter("scores", lambda x: x["who"] == "a")
-    blocks = blocks.select(
-        "call_id", "intent", "sentiment", "n_critical",
-        F.size("scores").alias("n_all"), F.size(customer).alias("n_customer"),
-        F.size(agent).alias("n_agent"), _in_order_sum(F.col("scores")).alias("sum_all"),
-        _in_order_sum(customer).alias("sum_customer"), _in_order_sum(agent).alias("sum_agent"))
-    calls = blocks.groupBy("call_id").agg(
-        F.max("intent")["v"].alias("overall_intent"),
-        F.max("sentiment")["v"].alias("overall_sentiment"),
-        F.sum("n_critical").alias("n_critical"), F.sum("n_all").alias("n_all"),
-        F.sum("n_customer").alias("n_customer"), F.sum("n_agent").alias("n_agent"),
-        _whole("sum_all").alias("sum_all"), _whole("sum_customer").alias("sum_customer"),
-        _whole("sum_agent").alias("sum_agent"))
-    customer_mean = F.coalesce(F.try_divide("sum_customer", "n_customer"), F.lit(0.0))
-    agent_mean = F.coalesce(F.try_divide("sum_agent", "n_agent"), F.lit(0.0))
-    calls = calls.withColumn("weighted_score", customer_mean * F.lit(K.CUSTOMER_SHARE)
-                             + agent_mean * F.lit(K.AGENT_SHARE))
+    speaker, score = F.lower("speaker"), micro(F.col("importance_score"))
+    side = lambda who: F.when(speaker == who, score)
+    calls = segments.groupBy("call_id").agg(
+        F.max(_worst(T.intent_severity(F.col("intent")), F.col("intent"), K.INTENTS)).alias("i"),
+        F.max(_worst(T.sentiment_severity(F.col("sentiment")), F.col("sentiment"), K.SENTIMENTS))
+        .alias("s"),
+        F.count_if("is_critical").alias("n_critical"), F.count(F.lit(1)).alias("n_all"),
+        F.sum(score).alias("all"), F.sum(side("customer")).alias("c"),
+        F.count(side("customer")).alias("nc"), F.sum(side("agent")).alias("a"),
+        F.count(side("agent")).alias("na"))
+    calls = calls.withColumn("weighted_score", weighted_score(
+        F.col("c"), F.col("nc"), F.col("a"), F.col("na"))) \
+        .withColumn("overall_intent", _label(F.col("i"), K.INTENTS)) \
+        .withColumn("overall_sentiment", _label(F.col("s"), K.SENTIMENTS))
     calls = calls.withColumn("overall_importance", T.importance_level(F.col("weighted_score")))
     calls = calls.withColumn("requires_enrichment", requires_enrichment(
         F.col("overall_importance"), F.col("n_critical")))
     return calls.select(
         "call_id", "overall_intent", "overall_sentiment", "overall_importance",
-        (F.col("sum_all") / F.col("n_all")).alias("importance_score"), "weighted_score",
-        "requires_enrichment",
+        (F.col("all") / F.col("n_all") / 1_000_000.0).alias("importance_score"),
+        "weighted_score", "requires_enrichment",
         enrichment_reason(F.col("overall_importance"), F.col("overall_intent"),
                           F.col("n_critical")).alias("enrichment_reason"),
         F.col("n_all").cast("int").alias("total_segments"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from parley import constants as K
-from parley.operators.calls import analyze_segments, requires_enrichment
+from parley.operators.calls import micro, weighted_score, analyze_segments, requires_enrichment
 from parley.functions import triage as T
 from parley.plans.workspace import new_path
 from parley.sources.transcripts import SCHEMA, explode_turns, split_valid
@@ -98,9 +98,8 @@ def stream_call_rollup(turns: DataFrame, ts: str = "event_time", gap: str = "5 m
     open call and the order of arrival does not matter.
     """
     scored = analyze_segments_with(turns, ts)
-    micro = F.round(F.col("importance_score") * 1_000_000).cast("bigint")
-    speaker = F.lower("speaker")
-    side = lambda who: F.when(speaker == who, micro)
+    speaker, score = F.lower("speaker"), micro(F.col("importance_score"))
+    side = lambda who: F.when(speaker == who, score)
     rolled = (scored.withWatermark(ts, delay)
               .groupBy("call_id", F.session_window(ts, gap).alias("w"))
               .agg(F.count(F.lit(1)).alias("total_segments"),
@@ -110,9 +109,7 @@ def stream_call_rollup(turns: DataFrame, ts: str = "event_time", gap: str = "5 m
                    F.max(F.struct(T.intent_severity(F.col("intent")).alias("s"),
                                   (-F.col("turn_index")).alias("r"),
                                   F.col("intent").alias("v"))).alias("intent")))
-    mean = lambda total, n: F.coalesce(F.try_divide(total, n), F.lit(0.0)) / 1_000_000.0
-    score = F.round(mean("c", "nc") * F.lit(K.CUSTOMER_SHARE)
-                    + mean("a", "na") * F.lit(K.AGENT_SHARE), 6)
+    score = weighted_score(F.col("c"), F.col("nc"), F.col("a"), F.col("na"))
     out = rolled.withColumn("weighted_score", score).withColumn(
         "overall_importance", T.importance_level(F.col("weighted_score")))
     return out.select(
