@@ -217,17 +217,21 @@ def coverage(t):
     return M.coverage(t.turns, M.extractive_summary(t.turns, target=15))
 
 
-view("stored", """SELECT call_id, 'fast' AS quality, call_timestamp AS created_at FROM calls""", "calls")
+view("stored", """SELECT call_id, 'fast' AS quality, call_timestamp + INTERVAL (d) DAY AS created_at
+FROM calls, (VALUES (0), (20), (400)) AS v(d)""", "calls")
 
 
-@query(sql("""SELECT call_id, requested_at, reused, count(*) AS n FROM (SELECT call_id, l_shipdate AS requested_at,
- l_shipdate >= created_at AND l_shipdate < created_at + INTERVAL '30' DAY AS reused
- FROM lineitem JOIN stored ON call_id = concat('CALL_', lpad(CAST(l_orderkey AS VARCHAR), 6, '0'))) GROUP BY ALL""",
+@query(sql("""SELECT call_id, requested_at, reused, count(*) AS n FROM (SELECT call_id, requested_at,
+ EXISTS (SELECT 1 FROM stored s WHERE s.call_id = a.call_id AND requested_at >= created_at
+         AND requested_at < created_at + INTERVAL '30' DAY) AS reused
+ FROM (SELECT concat('CALL_', lpad(CAST(l_orderkey AS VARCHAR), 6, '0')) AS call_id, l_shipdate AS requested_at FROM lineitem) a) GROUP BY ALL""",
            "stored"))
 def summary_reuse(t):
-    """Summaries were stored when the call was made; every shipped line asks for one."""
-    stored = t.calls.select("call_id", F.lit("fast").alias("quality"),
-                            F.col("call_timestamp").alias("created_at"))
+    """Summaries were stored three times per call; every shipped line asks for one."""
+    days = F.explode(F.array(*[F.make_dt_interval(F.lit(d)) for d in (0, 20, 400)]))
+    stored = t.calls.select("call_id", "call_timestamp", F.lit("fast").alias("quality"),
+                            days.alias("later")).select(
+        "call_id", "quality", (F.col("call_timestamp") + F.col("later")).alias("created_at"))
     asked = t.table("lineitem").select(
         F.concat(F.lit("CALL_"), F.lpad(F.col("l_orderkey").cast("string"), 6, "0"))
         .alias("call_id"), F.lit("fast").alias("quality"),

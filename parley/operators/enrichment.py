@@ -11,8 +11,8 @@ from parley.functions import text as X
 from parley.functions import triage as T
 from parley.operators.calls import analyze_segments, enrichment_queue
 from parley.operators.summaries import extractive_summary
-from parley.sources.transcripts import PART_TURNS, assemble_transcript
-from parley.plans.ordered import block_of
+from parley.plans.ordered import part_of
+from parley.sources.transcripts import assemble_transcript
 from parley.plans.workspace import written
 
 # The four tasks, their instructions and output limits.
@@ -33,6 +33,7 @@ MINIMAL_SUMMARY = "General inquiry call. No critical issues."
 MINIMAL_TAGS = ("general", "routine")
 CONFIDENCE = {K.EXPENSIVE_MODEL: 0.85, K.CHEAP_MODEL: 0.75}
 MINIMAL_CONFIDENCE = 0.5
+NO_OUTPUT = "no text came back"
 
 
 def plan_enrichment(pc: DataFrame, enriched: DataFrame, force: bool = False) -> DataFrame:
@@ -42,9 +43,10 @@ def plan_enrichment(pc: DataFrame, enriched: DataFrame, force: bool = False) ->
         T.select_model(F.col("overall_importance"), force).alias("model"))
 
 
-def render_prompts(turns: DataFrame, plan: DataFrame) -> DataFrame:
-    """Four prompts per planned call (and part of a very long call)."""
-    text = assemble_transcript(turns.join(plan.select("call_id"), "call_id", "left_semi"))
+def render_prompts(turns: DataFrame, plan: DataFrame, part_turns: int | None = None) -> DataFrame:
+    """Four prompts per planned call; with `part_turns`, per part of so many turns."""
+    text = assemble_transcript(turns.join(plan.select("call_id"), "call_id", "left_semi"),
+                               part_turns)
     prompts = F.array(*[F.struct(
         F.lit(task).alias("task"),
         F.concat(F.lit(head + "\n\nCall transcript:\n"), F.col("transcript_text"),
@@ -70,10 +72,10 @@ def keyword_tags(segments: DataFrame) -> DataFrame:
                         names("product").alias("products"))
 
 
-def action_turns(turns: DataFrame, part_size: int = PART_TURNS) -> DataFrame:
-    """Turns with resolution language, in order, per call and part."""
+def action_turns(turns: DataFrame, part_turns: int | None = None) -> DataFrame:
+    """Turns with resolution language, in order, per call; `part` as in the prompts."""
     hits = turns.filter(X.is_resolution(F.col("text")))
-    packed = hits.groupBy("call_id", block_of("turn_index", part_size).alias("part")).agg(
+    packed = hits.groupBy("call_id", part_of("turn_index", part_turns).alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("turn_index", "text"))).alias("l"))
     return packed.select("call_id", "part",
                          F.transform("l", lambda x: x["text"]).alias("actions"))
@@ -100,20 +102,33 @@ def apply_model(prompts: DataFrame, complete) -> DataFrame:
     """Send prompts to a model.
 
     `complete(list of prompts, list of models, list of limits) -> list of texts`
-    is called per Arrow batch on the executors.  A failing batch yields an error
-    text per row instead of failing the job.
+    is called per Arrow batch on the executors.  Prompts of a failing batch are
+    sent again one by one; those that fail again, or whose output is not a text,
+    keep their error and cost nothing.
     """
     schema = T_.StructType([*prompts.schema.fields, T_.StructField("output", T_.StringType()),
                             T_.StructField("error", T_.StringType())])
 
     def run(batches):
         for pdf in batches:
-            try:
-                outputs, errors = complete(list(pdf["prompt"]), list(pdf["model"]),
-                                           list(pdf["max_tokens"])), [None] * len(pdf)
-            except Exception as problem:              # noqa: BLE001 - reported per row
-                outputs, errors = [None] * len(pdf), [str(problem)] * len(pdf)
-            yield pdf.assign(output=outputs, error=errors)
+            asked = list(zip(pdf["prompt"], pdf["model"], pdf["max_tokens"]))
+            outputs, problem = attempt(asked)
+            if problem is None:
+                done = [(x, None if isinstance(x, str) else NO_OUTPUT) for x in outputs]
+            else:
+                alone = [attempt([one]) for one in asked]
+                done = [(None, bad) if bad else (x[0], None if isinstance(x[0], str) else NO_OUTPUT)
+                        for x, bad in alone]
+            yield pdf.assign(output=[x for x, _ in done], error=[e for _, e in done])
+
+    def attempt(asked):
+        try:
+            outputs = list(complete(*map(list, zip(*asked)))) if asked else []
+            if len(outputs) != len(asked):
+                raise ValueError(f"{len(outputs)} outputs for {len(asked)} prompts")
+            return outputs, None
+        except Exception as problem:                  # noqa: BLE001 - reported per row
+            return None, str(problem) or type(problem).__name__
 
     return with_usage(prompts.mapInPandas(run, schema))
 
@@ -123,8 +138,14 @@ def with_usage(outputs: DataFrame) -> DataFrame:
     used = (outputs.withColumn("input_tokens", X.approx_tokens(F.col("prompt")))
             .withColumn("output_tokens",
                         F.coalesce(X.approx_tokens(F.col("output")), F.lit(0).cast("bigint"))))
-    return used.withColumn("cost", T.model_cost(F.col("input_tokens"), F.col("output_tokens"),
-                                                F.col("model")))
+    cost = T.model_cost(F.col("input_tokens"), F.col("output_tokens"), F.col("model"))
+    failed = F.col("error").isNotNull() if "error" in outputs.columns else F.lit(False)
+    return used.withColumn("cost", F.when(failed, F.lit(0.0)).otherwise(cost))
+
+
+def failed_outputs(outputs: DataFrame) -> DataFrame:
+    """The prompts without an output, with their errors, for counting and retries."""
+    return outputs.filter("error IS NOT NULL").select("call_id", "part", "task", "model", "error")
 
 
 def cost_ledger(outputs: DataFrame) -> DataFrame:
@@ -148,8 +169,12 @@ def cost_ledger_summary(ledger: DataFrame) -> DataFrame:
 def assemble_enrichment(outputs: DataFrame) -> DataFrame:
     """The four outputs of each call as one `enrichments` row.
 
+    A call with a failed prompt gets no row and so stays pending.
     Money is summed and rounded in decimals, so ties round the same everywhere.
     """
+    if "error" in outputs.columns:
+        failed = failed_outputs(outputs).select("call_id").distinct()
+        outputs = outputs.join(failed, "call_id", "left_anti")
     task = lambda name: F.when(F.col("task") == name, F.col("output"))
     money = "decimal(30,12)"
     parts = outputs.groupBy("call_id", "part").agg(
@@ -157,7 +182,7 @@ def assemble_enrichment(outputs: DataFrame) -> DataFrame:
         F.sum(F.col("input_tokens") + F.col("output_tokens")).alias("tokens"),
         F.sum(F.col("cost").cast(money)).alias("cost"))
     lists = {t: X.decode_list(F.col(t)) for t in list(TASKS)[1:]}
-    # parts of one call: PART_TURNS turns each, their outputs bounded by max_tokens
+    # one part unless the prompts were cut; outputs are bounded by max_tokens
     calls = parts.groupBy("call_id").agg(
         F.max("model").alias("model_used"),
         F.array_sort(F.collect_list(F.struct("part", F.col("summary").alias("t"))))

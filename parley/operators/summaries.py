@@ -17,7 +17,7 @@ from parley.functions import triage as T
 from parley.functions import vectors as V
 from parley.operators import turns as O
 from parley.operators.search import exploded_counts, keyword_scores
-from parley.plans.ordered import block_of, dense_position
+from parley.plans.ordered import TURN_BLOCK, block_of, dense_position
 from parley.plans.workspace import written
 
 
@@ -141,14 +141,12 @@ def extractive_turns(filtered: DataFrame, quality: str = "balanced",
 
 def extractive_summary(turns: DataFrame, quality: str = "balanced",
                        target: int | None = None) -> DataFrame:
-    """One text per call (and part of a very long call)."""
+    """One text per call; `part` is always 0."""
     chosen = extractive_turns(noise_filter(turns), quality, target)
     chosen = written(chosen, "summary-turns")
-    parts = turns.groupBy("call_id", block_of("turn_index").alias("part")).agg(
-        F.count(F.lit(1)).alias("n"))
-    parts = parts.join(O.run_summary(chosen), ["call_id", "part"], "left")
-    return parts.filter((F.col("part") == 0) | F.col("summary_text").isNotNull()).select(
-        "call_id", "part", F.coalesce("summary_text", F.lit(K.NO_CONTENT)).alias("summary"))
+    calls = turns.select("call_id").distinct()
+    return calls.join(O.run_summary(chosen), "call_id", "left").select(
+        "call_id", F.lit(0).cast("bigint").alias("part"), F.coalesce("summary_text", F.lit(K.NO_CONTENT)).alias("summary"))
 
 
 def summary_metrics(turns: DataFrame, quality: str = "balanced",
@@ -325,34 +323,42 @@ def query_focused_turns(turns: DataFrame, question: str, k: int = 3) -> DataFram
     """Per call, the turns closest to one question by TF-IDF."""
     spark = turns.sparkSession
     asked = spark.createDataFrame([(0, question)], "query_id int, query_text string")
-    keyed = turns.withColumn("turn_key", F.concat_ws("#", "call_id", "turn_index"))
+    keyed = turns.withColumn("turn_key", F.struct("call_id", "turn_index"))
     scored = keyword_scores(asked, "query_id", "query_text", keyed, "turn_key", "text")
-    hits = scored.select(F.split_part("turn_key", F.lit("#"), F.lit(1)).alias("call_id"),
-                         F.split_part("turn_key", F.lit("#"), F.lit(2)).cast("int")
-                         .alias("turn_index"), "score")
+    hits = scored.select("turn_key.call_id", "turn_key.turn_index", "score")
     return O.rank_results(hits, ["call_id"], "score", "turn_index", k)
 
 
 def summary_reuse(requests: DataFrame, stored: DataFrame,
                   days: int = K.SUMMARY_TTL_DAYS) -> DataFrame:
     """Requests answered by a stored summary of the same call and quality that is
-    not older than `days`; the others must be computed."""
-    s = stored.select("call_id", "quality", "created_at")
-    age = F.expr(f"INTERVAL '{days}' DAY")
-    hit = (F.col("requested_at") >= F.col("created_at")) & \
-        (F.col("requested_at") < F.col("created_at") + age)
-    return (requests.join(s, ["call_id", "quality"], "left")
-            .withColumn("reused", F.coalesce(hit, F.lit(False))))
+    not older than `days`; the others must be computed.
+
+    Each request comes out once, with the newest summary stored at or before it
+    as `created_at`.  Requests and stored times are put in one order per call and
+    quality, so the work grows with their sum, not their product.
+    """
+    s = stored.select("call_id", "quality", "created_at", F.col("created_at").alias("__at"),
+                      F.lit(0).alias("__kind"))
+    asked = requests.withColumn("__at", F.col("requested_at")).withColumn("__kind", F.lit(1))
+    w = Window.partitionBy("call_id", "quality").orderBy("__at", "__kind") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = asked.unionByName(s, allowMissingColumns=True).withColumn(
+        "created_at", F.last("created_at", ignorenulls=True).over(w))
+    fresh = F.col("requested_at") < F.col("created_at") + F.expr(f"INTERVAL '{days}' DAY")
+    return (both.filter("__kind = 1").drop("__at", "__kind")
+            .withColumn("reused", F.coalesce(fresh, F.lit(False))))
 
 
 def sentences(turns: DataFrame) -> DataFrame:
-    """One row per sentence, numbered through the whole call (`pos`)."""
+    """One row per sentence, numbered through the whole call (`pos`), in blocks of turns."""
     marked = F.regexp_replace(F.col("text"), r"([.!?])\s+", "$1\n")
     split = (turns.select("call_id", "turn_index", "speaker", F.posexplode(
         F.split(marked, "\n")).alias("at", "text"))
         .withColumn("text", X.squeeze(F.col("text"))).filter(F.col("text") != "")
         .withColumn("place", F.col("turn_index").cast("bigint") * SENTENCE_STRIDE + F.col("at")))
-    return dense_position(split, ["call_id"], "place", "pos", size=SENTENCE_STRIDE)
+    return dense_position(split, ["call_id"], "place", "pos",
+                          size=SENTENCE_STRIDE * TURN_BLOCK)
 
 
 SENTENCE_STRIDE = 1 << 20

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from parley import constants as K
 from parley.functions import text as X
 from parley.functions import vectors as V
-from parley.plans.ordered import (block_of, dense_position, edge_window, fold, running_total,
-                                  with_edges, without_edges)
+from parley.plans.ordered import (block_of, dense_position, edge_window, fold, part_of,
+                                  running_total, with_edges, without_edges)
 
 CALL = ["call_id"]
 
@@ -146,17 +146,24 @@ def dedupe_customer_turns(turns: DataFrame, threshold: float = 0.8,
 
 
 # --- speaker runs -----------------------------------------------------------
-def speaker_runs(turns: DataFrame, position: str = "turn_index") -> DataFrame:
+def speaker_runs(turns: DataFrame, position: str = "turn_index",
+                 part_turns: int | None = None) -> DataFrame:
     """Merge consecutive turns of one speaker: (call_id, run, part, speaker, run_text).
 
-    An endless monologue is cut into parts of TURN_BLOCK turns.
+    With `part_turns` a longer run is cut into parts of so many turns, counted
+    from its own first turn; otherwise every run is part 0.
     """
     edged = with_edges(turns, position, before=1)
     w = edge_window(CALL, position)
     starts = without_edges(edged.withColumn("__new", F.coalesce(
         F.lag("speaker").over(w) != F.col("speaker"), F.lit(True)).cast("int")))
     runs = running_total(starts, CALL, position, F.col("__new"), "run")
-    packed = runs.groupBy("call_id", "run", block_of(position).alias("part"), "speaker").agg(
+    from_start = F.lit(0)
+    if part_turns:
+        first = runs.groupBy("call_id", "run").agg(F.min(position).alias("__first"))
+        runs = runs.join(first, ["call_id", "run"])
+        from_start = F.col(position) - F.col("__first")
+    packed = runs.groupBy("call_id", "run", part_of(from_start, part_turns).alias("part"), "speaker").agg(
         F.collect_list(F.struct(F.col(position).alias("i"), F.col("text").alias("t")))
         .alias("l"))
     return packed.select("call_id", "run", "part", "speaker", F.array_join(
@@ -164,19 +171,17 @@ def speaker_runs(turns: DataFrame, position: str = "turn_index") -> DataFrame:
 
 
 def run_summary(turns: DataFrame) -> DataFrame:
-    """`speaker: text` runs joined to one text per call (and part of a long call).
-
-    The input is a selection within a word budget, or is cut into parts of
-    TURN_BLOCK turns; a run that crosses a part starts again there.
+    """`speaker: text` runs joined to one text per call; the input is a selection
+    within a word budget.
     """
-    packed = turns.groupBy("call_id", block_of("turn_index").alias("part")).agg(
+    packed = turns.groupBy("call_id").agg(
         F.array_sort(F.collect_list(F.struct("turn_index", "speaker", "text"))).alias("l"))
     before = lambda i: F.get(F.col("l"), i - 1)["speaker"]
     piece = lambda x, i: F.concat(
         F.when(i == 0, F.lit("")).otherwise(F.lit(" ")),
         F.when((i > 0) & (before(i) == x["speaker"]), F.lit(""))
         .otherwise(F.concat(x["speaker"], F.lit(": "))), x["text"])
-    return packed.select("call_id", "part",
+    return packed.select("call_id",
                          F.array_join(F.transform("l", piece), "").alias("summary_text"))
 
 

@@ -34,6 +34,11 @@ def block_of(position, size: int | None = None) -> Column:
     return F.floor(position / F.lit(size)).cast("bigint")
 
 
+def part_of(position, size: int | None) -> Column:
+    """The part of a call that a position is in: one part unless a size is given."""
+    return block_of(position, size) if size else F.lit(0).cast("bigint")
+
+
 def with_edges(df: DataFrame, position: str, before: int = 0, after: int = 0,
                size: int | None = None) -> DataFrame:
     """Give every block the `before`/`after` rows around it, flagged as halo.

@@ -10,11 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def build_session(app: str = "parley", cores: str = "*", shuffle_partitions: int = 8,
-                  **conf) -> SparkSession:
-    """A session with the settings the operators expect (UTC, AQE with skew handling)."""
-    builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+def build_session(app: str = "parley", cores: str | None = None,
+                  shuffle_partitions: int | None = None, **conf) -> SparkSession:
+    """A session with the settings the operators expect (UTC, AQE with skew handling).
+
+    Without `cores` the master and its memory are those that spark-submit was given.
+    """
+    builder = SparkSession.builder.appName(app)
+    if cores:
+        builder = builder.master(f"local[{cores}]").config("spark.driver.memory", "12g")
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = (builder
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -24,7 +31,6 @@ def build_session(app: str = "parley", cores: str = "*", shuffle_partitions: int
                .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
                .config("spark.sql.files.openCostInBytes", "256k")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-               .config("spark.driver.memory", "12g")
                .config("spark.ui.enabled", "false"))
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import parse_time
-from parley.plans.ordered import block_of
+from parley.plans.ordered import part_of
 
 # The transcript document and its metadata.
 METADATA = ("struct<call_id:string,client_id:string,client_segment:string,product:string,"
@@ -14,13 +14,10 @@ METADATA = ("struct<call_id:string,client_id:string,client_segment:string,produc
             "agent_id:string,call_outcome:string>")
 TRANSCRIPT = ("array<struct<speaker:string,text:string,start_time:double,end_time:double,"
               "duration:double>>")
-SCHEMA = (f"call_id string, transcript {TRANSCRIPT}, metadata {METADATA}, "
+SCHEMA = (f"call_id string, first_turn int, transcript {TRANSCRIPT}, metadata {METADATA}, "
           "ingestion_timestamp string, ground_truth_importance string, "
           "_corrupt_record string")
 
-# Longest stretch of turns assembled into one value: keeps one row bounded.
-PART_TURNS = 4096
-
 
 def scan_transcripts(spark: SparkSession, path: str, one_per_file: bool = True,
                      limit: int | None = None) -> DataFrame:
@@ -53,8 +50,10 @@ def call_metadata(raw: DataFrame) -> DataFrame:
 
 
 def explode_turns(raw: DataFrame) -> DataFrame:
-    """One row per turn, numbered in document order."""
-    return (raw.select("call_id", F.posexplode("transcript").alias("turn_index", "turn"))
+    """One row per turn, numbered in document order from the document's first turn."""
+    first = F.coalesce("first_turn", F.lit(0)) if "first_turn" in raw.columns else F.lit(0)
+    return (raw.select("call_id", first.alias("first"), F.posexplode("transcript").alias("at", "turn"))
+            .select("call_id", (F.col("first") + F.col("at")).cast("int").alias("turn_index"), "turn")
             .select("call_id", "turn_index", segment_id().alias("segment_id"), "turn.*"))
 
 
@@ -97,26 +96,31 @@ def with_stage_flags(calls: DataFrame, preprocessed: DataFrame,
             .withColumn("enriched", enr_flag).drop("__pre", "__enr"))
 
 
-def assemble_transcript(turns: DataFrame) -> DataFrame:
-    """`SPEAKER: text` lines in turn order, one row per call and part.
+def assemble_transcript(turns: DataFrame, part_turns: int | None = None) -> DataFrame:
+    """`SPEAKER: text` lines in turn order, one row per call.
 
-    A part holds up to PART_TURNS turns, so ordinary calls have part 0 only and
-    an endless call never becomes one value.
+    With `part_turns` a call is cut into parts of so many turns, numbered from
+    0; the parts joined by a line end are the whole.
     """
     line = F.concat(F.upper("speaker"), F.lit(": "), F.col("text"))
-    packed = (turns.groupBy("call_id", block_of("turn_index", PART_TURNS).alias("part"))
+    packed = (turns.groupBy("call_id", part_of("turn_index", part_turns).alias("part"))
               .agg(F.collect_list(F.struct("turn_index", line.alias("line"))).alias("l")))
     return packed.select("call_id", "part", F.array_join(F.transform(
         F.array_sort("l"), lambda x: x["line"]), "\n").alias("transcript_text"))
 
 
-def nest_turns(turns: DataFrame) -> DataFrame:
-    """Turns back to nested documents, one per call and part."""
+def nest_turns(turns: DataFrame, part_turns: int | None = None) -> DataFrame:
+    """Turns back to nested documents, one per call.
+
+    With `part_turns` a call becomes several documents; `first_turn` says where
+    each begins, and `explode_turns` adds it back.
+    """
     turn = F.struct("speaker", "text", "start_time", "end_time",
                     (F.col("end_time") - F.col("start_time")).alias("duration"))
-    packed = (turns.groupBy("call_id", block_of("turn_index", PART_TURNS).alias("part"))
-              .agg(F.collect_list(F.struct("turn_index", turn.alias("turn"))).alias("l")))
-    return packed.select("call_id", "part", F.transform(
+    packed = (turns.groupBy("call_id", part_of("turn_index", part_turns).alias("part"))
+              .agg(F.min("turn_index").cast("int").alias("first_turn"),
+                   F.collect_list(F.struct("turn_index", turn.alias("turn"))).alias("l")))
+    return packed.select("call_id", "part", "first_turn", F.transform(
         F.array_sort("l"), lambda x: x["turn"]).alias("transcript"))
 
 

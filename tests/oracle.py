@@ -69,7 +69,7 @@ def compare(spark, con, name, entry, sf_dir):
 def main(sf_dir, only=()):
     from parley.catalog import REGISTRY
     from parley.plans.workspace import build_session
-    spark = build_session("oracle", "8")
+    spark = build_session("oracle", "8", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

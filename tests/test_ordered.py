@@ -53,22 +53,20 @@ def test_small_blocks_change_nothing(spark, turns, monkeypatch, name):
     assert want
 
 
-def test_runs_in_parts_join_to_the_whole(spark, turns, monkeypatch):
+def test_runs_in_parts_join_to_the_whole(spark, turns):
     table = turns(long_calls()).cache()
     want = {(r["call_id"], r["run"]): r["run_text"] for r in O.speaker_runs(table).collect()}
-    monkeypatch.setattr(ordered, "TURN_BLOCK", 5)
     parts = {}
-    for r in O.speaker_runs(table).orderBy("call_id", "run", "part").collect():
+    for r in O.speaker_runs(table, part_turns=2).orderBy("call_id", "run", "part").collect():
         parts.setdefault((r["call_id"], r["run"]), []).append(r["run_text"])
     assert {k: " ".join(v) for k, v in parts.items()} == want
 
 
-def test_transcript_parts_join_to_the_whole(spark, turns, monkeypatch):
+def test_transcript_parts_join_to_the_whole(spark, turns):
     table = turns(long_calls()).cache()
     want = {r["call_id"]: r["transcript_text"] for r in S.assemble_transcript(table).collect()}
-    monkeypatch.setattr(S, "PART_TURNS", 4)
     parts = {}
-    for r in S.assemble_transcript(table).orderBy("call_id", "part").collect():
+    for r in S.assemble_transcript(table, part_turns=4).orderBy("call_id", "part").collect():
         parts.setdefault(r["call_id"], []).append(r["transcript_text"])
     assert {k: "\n".join(v) for k, v in parts.items()} == want
 
