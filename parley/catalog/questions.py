@@ -78,8 +78,11 @@ def answer_analytics_questions(t):
     return Q.answer_analytics_questions(t.query_log, t.calls, t.pc)
 
 
-view("deduped", """SELECT *, coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY lower(trim(query_text))
- ORDER BY ts, query_id) <= 3600000000, FALSE) AS cache_hit FROM query_log""", "query_log")
+view("misses", """SELECT lower(trim(query_text)) AS q, min(ts) AS m FROM query_log GROUP BY 1
+ UNION ALL SELECT p.q, min(l.ts) FROM misses p JOIN query_log l ON lower(trim(l.query_text)) = p.q
+  AND epoch_us(l.ts) - epoch_us(p.m) > 3600000000 GROUP BY p.q""", "query_log")
+view("deduped", """SELECT l.*, m.m IS NULL OR row_number() OVER (PARTITION BY lower(trim(query_text)), ts ORDER BY query_id) > 1 AS cache_hit
+ FROM query_log l LEFT JOIN misses m ON lower(trim(l.query_text)) = m.q AND l.ts = m.m""", "query_log", "misses")
 
 
 @query(sql("SELECT query_id, sha256(lower(trim(query_text))) AS query_key, cache_hit FROM deduped", "deduped"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley import constants as K
+from parley.plans.ordered import TURN_BLOCK, fold
+from parley.plans.workspace import written
 from parley.functions.triage import any_of
 from parley.operators.calls import call_volume_trend, count_by_category, with_results
 
@@ -137,30 +139,33 @@ def route_stats(classified: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def dedupe_queries(log: DataFrame, ttl: int = K.CACHE_TTL_SECONDS, text: str = "query_text",
-                   ts: str = "ts") -> DataFrame:
-    """Flag questions asked again at most `ttl` seconds after their predecessor.
+                   ts: str = "ts", filters: tuple[str, ...] = ()) -> DataFrame:
+    """Flag questions answered by a result stored at most `ttl` seconds before.
 
-    Times are cut into buckets of `ttl`.  Inside a bucket every question but the
-    first is a hit; the first compares with the last one of the bucket before.
-    Only per-bucket minima and maxima are shuffled, however often one question
-    is repeated.
+    The key is the question and the values of `filters`.  A miss stores its result;
+    a hit does not renew it, so whether a question is a hit depends on the last
+    miss: a fold with one number as state, run by key and block of time.
+    Questions asked at the same instant are one step; the smallest query_id leads.
     """
-    micros, width = F.unix_micros(F.col(ts).cast("timestamp")), ttl * 1_000_000
-    rows = (log.withColumn("query_key", F.sha2(F.lower(F.trim(text)), 256))
-            .withColumn("__at", micros).withColumn("__bucket", F.floor(micros / F.lit(width))))
-    keys = ["query_key", "__bucket"]
-    edges = rows.groupBy(*keys).agg(F.min(F.struct("__at", "query_id")).alias("__first"),
-                                    F.max("__at").alias("__last"))
-    carried = edges.select("query_key", (F.col("__bucket") + 1).alias("__bucket"),
-                           F.col("__last").alias("__before"))
-    edges = edges.join(carried, keys, "left").select(
-        *keys, F.col("__first.query_id").alias("__first_id"),
-        F.coalesce(F.col("__first.__at") - F.col("__before") <= width, F.lit(False))
-        .alias("__first_hit"))
-    return (rows.join(edges, keys)
-            .withColumn("cache_hit", (F.col("query_id") != F.col("__first_id"))
-                        | F.col("__first_hit"))
-            .drop("__at", "__bucket", "__first_id", "__first_hit"))
+    width = ttl * 1_000_000
+    asked = F.lower(F.trim(text))
+    if filters:
+        asked = F.concat_ws("\n", asked, F.to_json(F.struct(*filters)))
+    rows = (log.withColumn("query_key", F.sha2(asked, 256))
+            .withColumn("__at", F.unix_micros(F.col(ts).cast("timestamp"))))
+    instants = written(rows.groupBy("query_key", "__at").agg(F.min("query_id").alias("__leader")),
+                       "instants")
+
+    def step(stored, at):
+        if stored is not None and at - stored <= width:
+            return stored, True
+        return int(at), False
+
+    flagged = fold(instants, ["query_key"], "__at", ["__at"], step, None, "__hit",
+                   size=TURN_BLOCK * width)
+    return (rows.join(flagged, ["query_key", "__at"])
+            .withColumn("cache_hit", F.col("__hit") | (F.col("query_id") != F.col("__leader")))
+            .drop("__at", "__leader", "__hit"))
 
 
 def cache_hit_rate(deduped: DataFrame) -> DataFrame:
