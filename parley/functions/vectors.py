@@ -53,10 +53,12 @@ def hashed_embedding(text: Column, dim: int = K.EMBEDDING_DIM) -> Column:
     @F.pandas_udf("array<double>")
     def count_slots(slots: pd.Series) -> pd.Series:
         import numpy as np
-
-        def one(s):
-            v = np.bincount(np.asarray(s, dtype="int64"), minlength=dim).astype("float64")
-            size = np.sqrt((v * v).sum())
-            return v / size if size else v
-        return slots.map(one)
+        rows = [s for s in slots if s is not None]
+        sizes = np.fromiter((0 if s is None else len(s) for s in slots), "int64", len(slots))
+        cells = np.repeat(np.arange(len(slots)) * dim, sizes)
+        if len(cells):
+            cells = cells + np.concatenate(rows)
+        v = np.bincount(cells, minlength=len(slots) * dim).reshape(-1, dim).astype("float64")
+        size = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        return pd.Series(list(v / np.where(size == 0, 1.0, size)))
     return count_slots(token_slots(text, dim))

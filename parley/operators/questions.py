@@ -85,24 +85,27 @@ def answer_analytics_questions(queries: DataFrame, calls: DataFrame, pc: DataFra
                                text: str = "query_text") -> DataFrame:
     """(query, kind, label, value): counts, breakdowns and daily trends.
 
-    The calls are aggregated once to small tables (a cube by product, intent and
-    sentiment; three breakdowns; 30 days) and every question joins those.
+    The calls are aggregated once (a cube by product, intent and sentiment; three
+    breakdowns; 30 days) and every question meets those by equality.
     Questions are reduced to their distinct parses first.
     """
     parsed = parse_analytics_question(queries.select(query_id, text), text).filter(
         F.col("kind").isNotNull())
     slots = ["kind", "product", "asked_intent", "asked_sentiment"]
     asked = parsed.select(*slots).distinct()
-    cube = with_results(calls, pc, "left").groupBy(
-        F.col("product").alias("c_product"), F.col("overall_intent").alias("c_intent"),
-        F.col("overall_sentiment").alias("c_sentiment")).agg(F.count(F.lit(1)).alias("n"))
-    # enumerations only: at most 8 x 8 x 6 cube rows and 8 x 4 x 3 x 3 question shapes
-    fits = lambda slot, column: F.col(slot).isNull() | F.col(slot).eqNullSafe(F.col(column))
-    counts = (asked.filter("kind = 'count'").join(
-        F.broadcast(cube), fits("product", "c_product") & fits("asked_intent", "c_intent")
-        & fits("asked_sentiment", "c_sentiment"), "left").groupBy(*slots).agg(
-            F.lit("count").alias("label"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("value")))
+    seen = {"product": "product", "asked_intent": "overall_intent",
+            "asked_sentiment": "overall_sentiment"}
+    base = with_results(calls, pc, "left").groupBy(
+        *[F.col(c).alias(f"c_{s}") for s, c in seen.items()]).agg(F.count(F.lit(1)).alias("n"))
+    # a slot that was not asked for is met by the rolled-up rows, whose value is null too
+    cube = base.cube(*[f"c_{s}" for s in seen]).agg(
+        F.sum("n").alias("n"), *[F.grouping(f"c_{s}").alias(f"all_{s}") for s in seen])
+    for s in seen:
+        cube = cube.filter((F.col(f"all_{s}") == 1) | F.col(f"c_{s}").isNotNull())
+    counts = (asked.filter("kind = 'count'")
+              .join(cube, [F.col(s).eqNullSafe(F.col(f"c_{s}")) for s in seen], "left")
+              .select(*slots, F.lit("count").alias("label"),
+                      F.coalesce("n", F.lit(0)).cast("bigint").alias("value")))
     breakdown = lambda c: count_by_category(calls, pc, c).select(
         F.lit(c).alias("by"), F.col("category").alias("label"), F.col("n_calls").alias("value"))
     shares = (asked.filter("kind IN ('percentage', 'top')")
@@ -115,7 +118,7 @@ def answer_analytics_questions(queries: DataFrame, calls: DataFrame, pc: DataFra
     trends = asked.filter("kind = 'trend'").join(trend, "kind")
     answers = counts.unionByName(shares).unionByName(trends)
     same = [F.col(f"q.{s}").eqNullSafe(F.col(f"a.{s}")) for s in slots]
-    return (parsed.alias("q").join(F.broadcast(answers).alias("a"), same)
+    return (parsed.alias("q").join(answers.alias("a"), same)
             .select(F.col(f"q.{query_id}").alias(query_id), "q.kind", "a.label", "a.value"))
 
 

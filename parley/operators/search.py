@@ -6,6 +6,7 @@ on every run.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,10 @@ DIGITS = 9
 MAX_BROADCAST_QUERIES = 4096
 # Rows of documents and queries that meet in one task on the large path.
 DOC_BLOCK, QUERY_BLOCK = 50_000, 4096
+# Documents and queries whose scores a task holds at once: 16 MB.
+SCORE_ROWS, SCORE_QUERIES = 8192, 256
+# Vectors that the centres of approximate search are fitted on, about.
+TRAIN_ROWS = 200_000
 
 
 # --- documents --------------------------------------------------------------
@@ -100,8 +105,9 @@ def tfidf_index(docs: DataFrame, doc_id: str, text: str, max_features: int = K.M
 
 def tfidf_vocabulary(docs: DataFrame, doc_id: str, text: str,
                      max_features: int = K.MAX_FEATURES, bigrams: bool = True) -> DataFrame:
+    """Counted where the texts are: only counts of terms, summed per task, are shuffled."""
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    return vocabulary(term_counts(docs, doc_id, text, bigrams), n_docs, max_features)
+    return vocabulary(exploded_counts(docs, text, bigrams, doc_id), n_docs, max_features)
 
 
 def keyword_scores(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame,
@@ -152,131 +158,176 @@ def _unit(matrix):
     return matrix / length
 
 
-def _rounded_scores(vectors, queries):
+def _best(scores, ids, k):
+    """Places of the k best of one query's scores, ties by id."""
     import numpy as np
-    return np.floor(_unit(vectors) @ queries.T * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
+    at = np.arange(len(scores))
+    if len(scores) > k:
+        at = np.flatnonzero(~(scores < np.partition(scores, -k)[-k]))
+    at = at[np.argsort(ids[at], kind="stable")]
+    return at[np.argsort(-scores[at], kind="stable")[:k]]
+
+
+class _Leaders:
+    """The k best documents of each query among those seen so far."""
+
+    def __init__(self, qids, qmatrix, k):
+        self.qids, self.queries, self.k = qids, _unit(qmatrix), k
+        self.found = [None] * len(qids)
+
+    def add(self, ids, matrix):
+        """Scores at most SCORE_ROWS x SCORE_QUERIES pairs at a time."""
+        for row in range(0, len(ids), SCORE_ROWS):
+            some, unit = ids[row:row + SCORE_ROWS], _unit(matrix[row:row + SCORE_ROWS])
+            for at in range(0, len(self.qids), SCORE_QUERIES):
+                self._merge(at, some, unit @ self.queries[at:at + SCORE_QUERIES].T)
+
+    def _merge(self, at, ids, scores):
+        import numpy as np
+        scores = np.floor(scores * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
+        for j, own in enumerate(scores.T, at):
+            best = _best(own, ids, self.k)
+            names, values = ids[best], own[best]
+            if self.found[j] is not None:
+                names = np.concatenate([self.found[j][0], names])
+                values = np.concatenate([self.found[j][1], values])
+                best = _best(values, names, self.k)
+                names, values = names[best], values[best]
+            self.found[j] = names, values
+
+    def frames(self, columns):
+        import numpy as np
+        for at in range(0, len(self.qids), SCORE_QUERIES):
+            part = [(q, *f) for q, f in zip(self.qids[at:at + SCORE_QUERIES],
+                                            self.found[at:at + SCORE_QUERIES]) if f is not None]
+            if part:
+                yield pd.DataFrame(dict(zip(columns, (
+                    [q for q, ids, _ in part for _ in range(len(ids))],
+                    np.concatenate([ids for _, ids, _ in part]),
+                    np.concatenate([scores for *_, scores in part])))))
+
+
+def _matrix(vectors):
+    import numpy as np
+    return np.stack(vectors.to_numpy()).astype("float64")
 
 
-def _best(scores, doc_ids, k):
-    """Row numbers of the k best documents of each query, ties by id."""
-    import numpy as np
-    order = np.argsort(doc_ids, kind="stable")
-    return [order[np.argsort(-scores[order, q], kind="stable")[:k]]
-            for q in range(scores.shape[1])]
+def _sides(queries, query_id, query_vec, vectors, doc_id, doc_vec):
+    """Queries (qid, qvec), documents (did, dvec) and the schema of their best pairs."""
+    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
+    d = vectors.select(F.col(doc_id).alias("did"), F.col(doc_vec).alias("dvec"))
+    return q, d, T.StructType([T.StructField(query_id, q.schema["qid"].dataType),
+                               T.StructField(doc_id, d.schema["did"].dataType),
+                               T.StructField("score", T.DoubleType())])
 
 
 def vector_search(queries: DataFrame, query_id: str, query_vec: str, vectors: DataFrame,
                   doc_id: str, doc_vec: str, k: int = K.TOP_K) -> DataFrame:
     """Exact cosine top-k of every query.
 
-    Each batch of documents is multiplied with the query matrix and keeps its
-    k best per query, so a task emits k rows per query instead of all pairs.
+    Documents are multiplied with the query matrix where they are; a task emits k rows
+    per query, whatever number of batches it reads.  Query tables of a checked size travel
+    with the task; larger ones meet the documents block by block.
     """
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
-    d = vectors.select(F.col(doc_id).alias("did"), F.col(doc_vec).alias("dvec"))
-    schema = T.StructType([T.StructField(query_id, q.schema["qid"].dataType),
-                           T.StructField(doc_id, d.schema["did"].dataType),
-                           T.StructField("score", T.DoubleType())])
+    q, d, schema = _sides(queries, query_id, query_vec, vectors, doc_id, doc_vec)
     if at_most(q, MAX_BROADCAST_QUERIES):
         local = _bounded_best(q, d, schema, k)
     else:
-        local = _blocked_best(q, d, schema, k)
+        local = _blocked_best(q.withColumn("list", F.lit(0)), d.withColumn("list", F.lit(0)),
+                              schema, k)
     return rank_results(local, [query_id], "score", doc_id, k)
 
 
-def _pairs(ids, matrix, qids, qmatrix, k, names, allowed=None):
-    import numpy as np
-    import pandas as pd
-    scores = _rounded_scores(matrix, qmatrix)
-    parts = []
-    for j, best in enumerate(_best(scores, ids, k)):
-        if allowed is not None:
-            inside = np.flatnonzero(allowed[:, j])
-            sub = _best(scores[inside][:, [j]], ids[inside], k)[0] if len(inside) else []
-            best = inside[sub] if len(inside) else inside
-        parts.append(pd.DataFrame({names[0]: [qids[j]] * len(best), names[1]: ids[best],
-                                   names[2]: scores[best, j]}))
-    return pd.concat(parts, ignore_index=True)
-
-
-def _bounded_best(q, d, schema, k, accept=None):
+def _bounded_best(q, d, schema, k):
     """Queries fit a checked bound: one matrix, sent with the task."""
     import numpy as np
     rows = q.collect()                                    # at most MAX_BROADCAST_QUERIES
-    names = [f.name for f in schema.fields]
+    names = schema.names
     if not rows:
         return q.sparkSession.createDataFrame([], schema)
     qids = [r["qid"] for r in rows]
-    qmatrix = _unit(np.array([r["qvec"] for r in rows], dtype="float64"))
+    qmatrix = np.array([r["qvec"] for r in rows], dtype="float64")
 
     def best(batches):
+        leaders = _Leaders(qids, qmatrix, k)
         for pdf in batches:
             if len(pdf):
-                matrix = np.stack(pdf["dvec"].to_numpy()).astype("float64")
-                allowed = accept(matrix) if accept else None
-                yield _pairs(pdf["did"].to_numpy(), matrix, qids, qmatrix, k, names, allowed)
+                leaders.add(pdf["did"].to_numpy(), _matrix(pdf["dvec"]))
+        yield from leaders.frames(names)
 
     return d.mapInPandas(best, schema)
 
 
 def _blocked_best(q, d, schema, k):
-    """Any number of queries: blocks of documents meet blocks of queries."""
-    import numpy as np
-    names = [f.name for f in schema.fields]
-    n_q = -(-q.count() // QUERY_BLOCK)
-    n_d = -(-max(d.count(), 1) // DOC_BLOCK)
-    docs = (d.withColumn("db", F.pmod(F.xxhash64("did"), F.lit(n_d)))
-            .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))))
-    asked = (q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(n_q)).cast("int"))
-             .withColumn("db", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                    F.lit(n_d - 1).cast("bigint")))))
+    """Any number of queries: blocks of documents meet blocks of queries of the same list.
+
+    q: (qid, qvec, list), d: (did, dvec, list).  A group is at most about DOC_BLOCK documents
+    and QUERY_BLOCK queries, however large a list is; lists without queries aren't read.
+    """
+    names = schema.names
+    number = lambda df, size, out: df.groupBy("list").agg(
+        F.ceil(F.count(F.lit(1)) / size).alias(out))
+    # one row per list
+    blocks = F.broadcast(number(d, DOC_BLOCK, "n_d").join(number(q, QUERY_BLOCK, "n_q"), "list"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n))
+    docs = d.join(blocks, "list").select("list", own("did", "n_d").alias("db"),
+                                         every("n_q").alias("qb"), "did", "dvec")
+    asked = q.join(blocks, "list").select("list", every("n_d").alias("db"),
+                                          own("qid", "n_q").alias("qb"), "qid", "qvec")
 
     def best(left, right):
-        import pandas as pd
         if not len(left) or not len(right):
             return pd.DataFrame(columns=names)
-        return _pairs(left["did"].to_numpy(),
-                      np.stack(left["dvec"].to_numpy()).astype("float64"),
-                      list(right["qid"]),
-                      _unit(np.stack(right["qvec"].to_numpy()).astype("float64")), k, names)
+        leaders = _Leaders(list(right["qid"]), _matrix(right["qvec"]), k)
+        leaders.add(left["did"].to_numpy(), _matrix(left["dvec"]))
+        return pd.concat(leaders.frames(names), ignore_index=True)
 
-    return (docs.groupBy("db", "qb").cogroup(asked.groupBy("db", "qb"))
-            .applyInPandas(best, schema))
+    keys = ["list", "db", "qb"]
+    return docs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(best, schema)
 
 
-def ann_search(queries: DataFrame, query_id: str, query_vec: str, vectors: DataFrame,
-               doc_id: str, doc_vec: str, k: int = K.TOP_K, lists: int = 16, probes: int = 4,
-               seed: int = 7) -> DataFrame:
-    """Approximate top-k: vectors are assigned to k-means lists and a query only
-    looks into the lists with the closest centres.
+def assign_lists(vectors: DataFrame, doc_id: str, doc_vec: str, lists: int = 16,
+                 seed: int = 7, train_rows: int = TRAIN_ROWS):
+    """(did, dvec, list) of every vector, written once, and the centres of the lists.
 
-    Membership is tested where the vector is, so a list that holds most vectors
-    is still spread over all tasks.
+    Centres are fitted on the directions of about `train_rows` vectors, chosen by the hash of
+    their id; every vector is assigned.
     """
-    import numpy as np
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
+    d = vectors.select(F.col(doc_id).alias("did"), F.col(doc_vec).alias("dvec"))
+    keep = min(1.0, train_rows / max(d.count(), 1))
+    features = array_to_vector(V.l2_normalize(F.col("dvec"))).alias("features")
+    chosen = F.pmod(F.xxhash64("did"), F.lit(1 << 32)) < int(keep * (1 << 32))
+    model = KMeans(k=lists, seed=seed, maxIter=10).fit(d.filter(chosen).select(features))
+    model.setPredictionCol("list")
+    placed = model.transform(d.select("did", "dvec", features)).select("did", "dvec", "list")
+    return written(placed, "lists"), model.clusterCenters()
 
-    if not at_most(queries, MAX_BROADCAST_QUERIES):
-        raise ValueError("ann_search takes a bounded query table; use vector_search")
-    train = vectors.select(array_to_vector(F.col(doc_vec).cast("array<double>"))
-                           .alias("features"))
-    model = KMeans(k=lists, seed=seed, maxIter=10).fit(train)
-    centres = np.array(model.clusterCenters())
-    q = queries.select(F.col(query_id).alias("qid"), F.col(query_vec).alias("qvec"))
-    qmatrix = _unit(np.array([r["qvec"] for r in q.collect()], dtype="float64"))
-    probed = np.argsort(-(qmatrix @ _unit(centres).T), axis=1)[:, :probes]
 
-    def accept(matrix):
-        distance = ((matrix[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
-        home = distance.argmin(axis=1)
-        return (home[:, None, None] == probed[None, :, :]).any(axis=2)
+def ann_search(queries: DataFrame, query_id: str, query_vec: str, vectors: DataFrame,
+               doc_id: str, doc_vec: str, k: int = K.TOP_K, lists: int = 16, probes: int = 4,
+               seed: int = 7, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Approximate top-k: vectors are stored with their k-means list, and a query is compared
+    with the vectors of the `probes` closest lists only.
 
-    d = vectors.select(F.col(doc_id).alias("did"), F.col(doc_vec).alias("dvec"))
-    schema = T.StructType([T.StructField(query_id, q.schema["qid"].dataType),
-                           T.StructField(doc_id, d.schema["did"].dataType),
-                           T.StructField("score", T.DoubleType())])
-    return rank_results(_bounded_best(q, d, schema, k, accept), [query_id], "score", doc_id, k)
+    Probes meet lists by equality, in blocks of bounded size, so a list that holds most
+    vectors is spread over tasks and any number of queries can be asked.
+    """
+    import numpy as np
+    q, _, schema = _sides(queries, query_id, query_vec, vectors, doc_id, doc_vec)
+    placed, centres = assign_lists(vectors, doc_id, doc_vec, lists, seed, train_rows)
+    centres = np.array(centres)
+
+    @F.pandas_udf("array<int>")
+    def closest(qvec: pd.Series) -> pd.Series:
+        unit = _unit(_matrix(qvec))
+        far = (centres ** 2).sum(axis=1) - 2 * unit @ centres.T
+        return pd.Series(list(np.argsort(far, axis=1, kind="stable")[:, :probes]))
+
+    probed = q.withColumn("list", F.explode(closest("qvec")))
+    return rank_results(_blocked_best(probed, placed, schema, k), [query_id], "score", doc_id, k)
 
 
 # --- combined ---------------------------------------------------------------

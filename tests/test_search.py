@@ -46,6 +46,53 @@ def test_ann_recall(spark, vectors):
     assert everything == exact
 
 
+def test_a_task_keeps_k_rows_per_query(spark, vectors, monkeypatch):
+    """However many batches a task reads, and with scores held in small pieces."""
+    m, df = vectors
+    monkeypatch.setattr(S, "SCORE_ROWS", 16)
+    monkeypatch.setattr(S, "SCORE_QUERIES", 7)
+    monkeypatch.setattr(S, "rank_results", lambda found, *rest: found)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 20)
+    try:
+        q = df.select(F.col("id").alias("q"), F.col("v").alias("qv"))
+        found = [(r["q"], r["id"]) for r in
+                 S.vector_search(q, "q", "qv", df.coalesce(1), "id", "v", 4).collect()]
+    finally:
+        spark.conf.set(batch, before)
+    assert len(found) == 4 * len(m) and set(found) == nearest(m, 4)
+
+
+def test_ann_reads_probed_lists_only(spark, vectors, monkeypatch):
+    """One query probes one list: only that list's vectors are scored, in several blocks."""
+    m, df = vectors
+    monkeypatch.setattr(S, "DOC_BLOCK", 20)
+    monkeypatch.setattr(S, "rank_results", lambda found, *rest: found)
+    placed, centres = S.assign_lists(df, "id", "v", 6)
+    sizes = {r["list"]: r["count"] for r in placed.groupBy("list").count().collect()}
+    assert sum(sizes.values()) == len(m) and len(centres) == 6
+    q = df.filter("id = 3").select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    home = placed.filter("did = 3").first()["list"]
+    scored = S.ann_search(q, "q", "qv", df, "id", "v", len(m), lists=6, probes=1).collect()
+    assert len(scored) == sizes[home] < len(m)
+
+
+def test_edges_of_vectors(spark):
+    """No queries, no documents, zero vectors, ties and texts without words."""
+    d = spark.createDataFrame([(2, [0.0, 0.0]), (1, [0.0, 0.0]), (3, [2.0, 0.0])], "id int, v array<double>")
+    q = spark.createDataFrame([("a", [1.0, 0.0])], "q string, qv array<double>")
+    run = lambda f, x, y: [(r["q"], r["id"], r["score"]) for r in f(
+        x, "q", "qv", y, "id", "v", 2).orderBy("rank").collect()]
+    assert run(S.vector_search, q, d) == [("a", 3, 1.0), ("a", 1, 0.0)]
+    for x, y in ((q.limit(0), d), (q, d.limit(0))):
+        assert run(S.vector_search, x, y) == []
+    assert run(S.ann_search, q.limit(0), d) == []
+    texts = spark.createDataFrame([(1, None), (2, ""), (3, "one one two")], "id int, t string")
+    got = {r["id"]: r["embedding"] for r in S.embed_texts(texts, "t").collect()}
+    assert got[1] == got[2] == [0.0] * len(got[3]) and sum(x * x for x in got[3]) == pytest.approx(1)
+
+
 def test_keyword_index_edges(spark, monkeypatch):
     docs = spark.createDataFrame([
         (1, "card fee the fee"), (2, "card and loan"), (3, "the of and"), (4, "card pay the loan")],
