@@ -118,23 +118,38 @@ def set_difference(t):
     return t.pc.filter("requires_enrichment").select("call_id").exceptAll(t.enriched)
 
 
-@query(sql("""SELECT calls.call_id, product, call_timestamp, overall_importance, enrichment_reason,
- e.call_id IS NOT NULL AS is_enriched, coalesce(n, 0)::BIGINT AS num_segments
-FROM calls LEFT JOIN pc USING (call_id) LEFT JOIN enriched e ON e.call_id = calls.call_id
- LEFT JOIN (SELECT call_id, count(*) AS n FROM seg GROUP BY 1) s ON s.call_id = calls.call_id""",
-           "calls", "pc", "enriched", "seg"))
+def _details_sql(where=""):
+    return sql(f"""SELECT calls.call_id, product, client_id, region, call_timestamp, overall_importance, enrichment_reason,
+ summary, coalesce(len(tags), 0)::BIGINT AS n_tags, model_used, coalesce(tokens_used, 0)::BIGINT AS tokens_used, {r('cost_usd')} AS cost_usd,
+ coalesce(n, 0)::BIGINT AS num_segments, coalesce(segments, '') AS segments
+FROM calls LEFT JOIN pc USING (call_id) LEFT JOIN enr e ON e.call_id = calls.call_id
+ LEFT JOIN (SELECT call_id, count(*) AS n, string_agg(concat_ws('|', turn_index, segment_id, speaker, text, intent, sentiment),
+   chr(10) ORDER BY turn_index) AS segments FROM seg GROUP BY 1) s ON s.call_id = calls.call_id {where}""",
+               "calls", "pc", "enr", "seg")
+
+
+def _details(found):
+    shown = ("turn_index", "segment_id", "speaker", "text", "intent", "sentiment")
+    lines = F.transform("segments", lambda x: F.concat_ws("|", *[x[c] for c in shown]))
+    return found.select("call_id", "product", "client_id", "region", "call_timestamp",
+                        "overall_importance", "enrichment_reason", "summary",
+                        F.coalesce(F.size("semantic_tags"), F.lit(0)).alias("n_tags"), "model_used",
+                        F.coalesce("tokens_used", F.lit(0)).cast("bigint").alias("tokens_used"),
+                        "cost_usd", "num_segments",
+                        F.coalesce(F.array_join(lines, "\n"), F.lit("")).alias("segments"))
+
+
+@query(_details_sql())
 def call_details(t):
-    enriched = t.enriched.withColumn("is_enriched", F.lit(True))
-    return C.call_details(t.calls, t.pc, enriched, t.segments).select(
-        "call_id", "product", "call_timestamp", "overall_importance", "enrichment_reason",
-        F.coalesce("is_enriched", F.lit(False)).alias("is_enriched"), "num_segments")
+    return _details(C.call_details(t.calls, t.pc, t.enrichments, t.segments))
 
 
-@query(sql("""SELECT call_id, product, client_id, region FROM calls WHERE call_id = 'CALL_000123'""",
-           "calls"))
+LOOKED_UP = ["CALL_000011", "CALL_000019", "CALL_000123"]
+
+
+@query(_details_sql(f"WHERE calls.call_id IN ({', '.join(map(V.lit, LOOKED_UP))})"))
 def call_lookup(t):
-    return t.calls.filter(F.col("call_id") == "CALL_000123").select("call_id", "product",
-                                                                    "client_id", "region")
+    return _details(C.call_lookup(LOOKED_UP, t.calls, t.pc, t.enrichments, t.segments))
 
 
 @query(sql("""SELECT call_id, related_call_id, position::BIGINT AS position FROM (

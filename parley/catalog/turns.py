@@ -38,6 +38,10 @@ view("trimmed_full", f"""SELECT turns.* FROM turns JOIN (SELECT call_id,
  USING (call_id) WHERE turn_index BETWEEN lo AND hi""", "turns")
 
 
+def tokens_sql(t="text"):
+    return f"[w FOR w IN regexp_extract_all(lower({t}), '[\\p{{L}}\\p{{N}}_]+') IF length(w) >= 2]"
+
+
 def grams(t):
     return f"list_distinct([substr({t}, i, 3) FOR i IN range(1, length({t}) - 1)])"
 
@@ -119,7 +123,28 @@ def remove_repetitions_lag(t):
     return O.remove_repetitions_lag(t.turns).select(*KEY, "speaker", "text")
 
 
-@query()
+# Pairs of distinct customer texts that are alike, then the fold over each call's turns.
+_RARE = "pow(ln(1.5::DOUBLE) + 1, 2)"
+view("customer_tf", """SELECT text, w, count(*) AS n FROM (SELECT text, unnest(""" + tokens_sql() + """) AS w
+ FROM (SELECT DISTINCT text FROM turns WHERE speaker = 'customer')) GROUP BY ALL""", "turns")
+view("customer_alike", f"""SELECT x, list(y) AS others FROM (SELECT a.text AS x, b.text AS y, sum(a.n * b.n) AS xy,
+  sum(a.n * a.n) AS xx, sum(b.n * b.n) AS yy FROM customer_tf a JOIN customer_tf b USING (w) GROUP BY ALL)
+ JOIN (SELECT text AS x, sum(n * n) AS all_x FROM customer_tf GROUP BY 1) USING (x)
+ JOIN (SELECT text AS y, sum(n * n) AS all_y FROM customer_tf GROUP BY 1) USING (y)
+ WHERE xy / (sqrt(xx + {_RARE} * (all_x - xx)) * sqrt(yy + {_RARE} * (all_y - yy))) > 0.8::DOUBLE GROUP BY x""",
+     "customer_tf")
+view("customer_in", """SELECT call_id, turn_index, speaker, text, coalesce(others, []) AS others,
+ row_number() OVER (PARTITION BY call_id ORDER BY turn_index) AS rn
+FROM turns LEFT JOIN customer_alike ON x = text WHERE speaker = 'customer'""", "turns", "customer_alike")
+view("customer_rec", """SELECT call_id, rn, turn_index, [text] AS kept, TRUE AS keep FROM customer_in WHERE rn = 1
+ UNION ALL SELECT n.call_id, n.rn, n.turn_index, CASE WHEN list_has_any(f.kept, n.others) THEN f.kept
+  ELSE list_append(f.kept, n.text)[-3:] END, NOT list_has_any(f.kept, n.others)
+ FROM customer_rec f JOIN customer_in n ON n.call_id = f.call_id AND n.rn = f.rn + 1""", "customer_in")
+
+
+@query(sql(f"""{ID}, speaker, text FROM turns WHERE speaker <> 'customer' UNION ALL
+ {ID}, speaker, text FROM customer_in JOIN customer_rec USING (call_id, turn_index) WHERE keep""",
+           "turns", "customer_in", "customer_rec"))
 def dedupe_customer_turns(t):
     return O.dedupe_customer_turns(t.turns).select(*KEY, "speaker", "text")
 
@@ -214,10 +239,6 @@ def pause_gap(t):
     return O.pause_gap(t.turns).select(*KEY, "gap_seconds", "is_pause")
 
 
-def tokens_sql(t="text"):
-    return f"[w FOR w IN regexp_extract_all(lower({t}), '[\\p{{L}}\\p{{N}}_]+') IF length(w) >= 2]"
-
-
 def vector_views(prefix, source, key, text):
     """`<prefix>`: hashed unit vectors of distinct texts as (key, slot, x)."""
     view(f"{prefix}_n", f"""SELECT k, slot, count(*) AS n FROM (SELECT k,

@@ -179,13 +179,34 @@ def enrichment_queue(pc: DataFrame, enriched: DataFrame, limit: int | None = Non
     return queue
 
 
+def nested_segments(segments: DataFrame) -> DataFrame:
+    """(call_id, segments): each call's scored turns in order, as one array."""
+    one = F.struct("turn_index", "segment_id", "speaker", "text", "intent", "sentiment",
+                   "importance_score")
+    return segments.groupBy("call_id").agg(F.array_sort(F.collect_list(one)).alias("segments"))
+
+
 def call_details(calls: DataFrame, pc: DataFrame, enrichments: DataFrame,
                  segments: DataFrame) -> DataFrame:
-    """Everything known about each call, with its number of segments."""
-    counts = segments.groupBy("call_id").agg(F.count(F.lit(1)).alias("num_segments"))
+    """Metadata, results, enrichment and ordered segments of each call; what is missing is null."""
     return (calls.join(pc, "call_id", "left").join(enrichments, "call_id", "left")
-            .join(counts, "call_id", "left")
-            .withColumn("num_segments", F.coalesce("num_segments", F.lit(0))))
+            .join(nested_segments(segments), "call_id", "left")
+            .withColumn("num_segments", F.coalesce(F.size("segments"), F.lit(0))))
+
+
+def call_lookup(call_ids, calls: DataFrame, pc: DataFrame, enrichments: DataFrame,
+                segments: DataFrame) -> DataFrame:
+    """The details of the calls asked for: a list of ids, or a table with a column call_id.
+
+    Every table is cut to these calls before it is joined; the filter of a list reaches the
+    scans.
+    """
+    if isinstance(call_ids, DataFrame):
+        ids = call_ids.select("call_id").distinct()
+        only = lambda df: df.join(ids, "call_id", "left_semi")
+    else:
+        only = lambda df: df.filter(F.col("call_id").isin(list(call_ids)))
+    return call_details(*map(only, (calls, pc, enrichments, segments)))
 
 
 def search_documents_base(segments: DataFrame, enrichments: DataFrame,

@@ -143,3 +143,20 @@ def test_latency_sketch_is_close(spark):
     assert got["n"] == 20000 and got["error_rate"] == 0.02
     for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
         assert got[name] == pytest.approx(2000 * p, rel=0.002)
+
+
+def test_call_lookup(spark, turns):
+    """By list or table: one row per known id, segments in order, missing sides null."""
+    segments = C.analyze_segments(turns({"a": [("agent", "hello"), ("customer", "fraud on my card")],
+                                         "b": [("agent", "hi")]}))
+    calls = spark.createDataFrame([("a", "loan"), ("b", "loan"), ("c", "loan")], "call_id string, product string")
+    enrichments = spark.createDataFrame([("a", "short")], "call_id string, summary string")
+    pc = C.roll_up_calls(segments)
+    asked = spark.createDataFrame([("a",), ("a",), ("c",), ("gone",)], "call_id string")
+    for ids in (["a", "c", "gone"], asked):
+        got = {r["call_id"]: r for r in
+               C.call_lookup(ids, calls, pc, enrichments, segments).collect()}
+        assert set(got) == {"a", "c"} and got["a"]["summary"] == "short"
+        assert [x["text"] for x in got["a"]["segments"]] == ["hello", "fraud on my card"]
+        assert got["a"]["num_segments"] == 2 and got["a"]["overall_importance"] is not None
+        assert got["c"]["segments"] is None and got["c"]["num_segments"] == 0
