@@ -307,7 +307,7 @@ def assign_lists(vectors: DataFrame, doc_id: str, doc_vec: str, lists: int = 16,
 
 
 def ann_search(queries: DataFrame, query_id: str, query_vec: str, vectors: DataFrame,
-               doc_id: str, doc_vec: str, k: int = K.TOP_K, lists: int = 16, probes: int = 4,
+               doc_id: str, doc_vec: str, k: int = K.TOP_K, lists: int = 16, probes: int = 12,
                seed: int = 7, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """Approximate top-k: vectors are stored with their k-means list, and a query is compared
     with the vectors of the `probes` closest lists only.
