@@ -11,7 +11,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from parley.llm import (lengths, lines, mixing, packing, phrases, pii, quality, secrets, simhash,
-                        tokens)
+                        similar, tokens)
 from parley.llm.components import components
 from parley.plans.workspace import new_path
 
@@ -373,6 +373,7 @@ def test_phrases_by_hand(monkeypatch):
 
 EMPTY = {
     "simhash": lambda d: simhash.near_duplicates(d), "one": lambda d: simhash.keep_one(d),
+    "similar": lambda d: similar.keep_one(d),
     "lines": lambda d: lines.dedupe_lines(d), "quality": lambda d: quality.judged(d),
     "good": lambda d: quality.good_documents(d), "mix": lambda d: mixing.mix(d),
     "mixed": lambda d: mixing.mixed_documents(d), "pack": lambda d: packing.pack(d),
@@ -400,3 +401,91 @@ def test_rows_share_of_one_group(docs):
     assert simhash.near_duplicates(table).filter("component_id = 0").count() >= 100
     assert lines.dedupe_lines(table).filter("n_dropped > 0").count() == 299
     assert mixing.mix(table).groupBy().agg(F.sum(F.col("size") * F.col("copies"))).first()[0] > 0
+
+
+def wide(text):
+    """The wide fingerprint and the number of shingles, in plain integers."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(AZ))
+    shingles = [" ".join(words[k:k + 5]) for k in range(len(words) - 4)] or ([" ".join(words)] if words else [])
+    full, total = (1 << 64) - 1, Counter()
+    for s in shingles:
+        h, bits = xxhash.xxh64_intdigest(s.encode(), 42), 0
+        for k in range(4):
+            z = h
+            if k:
+                z = (h + 0x9E3779B97F4A7C15 * k) & full
+                z = ((z ^ z >> 30) * 0xBF58476D1CE4E5B9) & full
+                z = ((z ^ z >> 27) * 0x94D049BB133111EB) & full
+                z ^= z >> 31
+            bits |= z << 64 * k
+        total.update(k for k in range(256) if bits >> k & 1)
+    return sum(1 << k for k in total if 2 * total[k] > len(shingles)), len(shingles)
+
+
+def wide_groups(texts):
+    """{i: the smallest of its group} by comparing all pairs of texts."""
+    marks = {i: wide(t or "") for i, t in texts.items()}
+    return roots(sorted(texts), [
+        (a, b) for a in texts for b in texts if a < b and (marks[a][0] ^ marks[b][0]).bit_count() <= 51
+        and min(marks[a][1], marks[b][1]) >= .8 * max(marks[a][1], marks[b][1])])
+
+
+def edited(words, share, rng):
+    return [f"new{rng.integers(1 << 30)}" if rng.random() < share else w for w in words]
+
+
+@pytest.mark.parametrize("block", [8, 1 << 16])
+def test_similar_documents(spark, docs, block):
+    rng = np.random.default_rng(3)
+    texts = []
+    for n in (30, 60, 75, 200, 400):
+        for _ in range(8):
+            own = [f"w{k}" for k in rng.integers(0, 3000, n)]
+            texts += [" ".join(edited(own, share, rng)) for share in (0, .01, .03, .1)] + [" ".join(own[:len(own) // 2])]
+    texts += ["", None, "one", "one two", "ONE two", " ".join(["again"] * 50), " ".join(["again"] * 5000)]
+    own = dict(enumerate(texts))
+    want = wide_groups(own)
+    made = similar.wide_fingerprints(docs([(i, t, "s") for i, t in own.items()])).collect()
+    assert {r.d: (sum((r[f"w{k}"] & (1 << 64) - 1) << 64 * k for k in range(4)), r.n) for r in made} == \
+        {i: wide(t or "") for i, t in own.items()}
+    classes = spark.createDataFrame([(r.d, r.n, *(r[f"w{k}"] for k in range(4))) for r in made],
+                                    "id long, n long, w0 long, w1 long, w2 long, w3 long")
+    links = [(r.a, r.b) for r in similar.similar_links(classes, block=block).collect()]
+    got = roots(sorted(own), links)
+    assert {i: g for i, g in got.items() if texts[i]} == {i: g for i, g in want.items() if texts[i]}
+    if block > 8:
+        kept = similar.keep_one(docs([(i, t, "s") for i, t in own.items()])).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+
+
+def test_copies_with_a_similarity_of_080_are_found(docs):
+    """Exact copies, and copies that share 80 percent of the five-word shingles or more."""
+    rng = np.random.default_rng(4)
+    rows, pairs, alone = [], 0, 0
+    for g in range(60):
+        own = [f"w{k}" for k in rng.integers(0, 20_000, 400)]
+        a = {tuple(own[k:k + 5]) for k in range(len(own) - 4)}
+        rows.append((3 * g, " ".join(own), "s"))
+        rows.append((3 * g + 1, " ".join(own), "s"))
+        while True:
+            copy = edited(own, .02, rng)
+            b = {tuple(copy[k:k + 5]) for k in range(len(copy) - 4)}
+            if len(a & b) >= .8 * len(a | b):
+                break
+        rows.append((3 * g + 2, " ".join(copy), "s"))
+    kept = sorted(r.doc_id for r in similar.keep_one(docs(rows)).collect())
+    assert kept == [3 * g for g in range(60)]
+
+
+def test_similar_rows_of_one_size_and_group(docs, odd):
+    """Half of all rows are near copies of one text; odd rows have a defined result."""
+    rng = np.random.default_rng(5)
+    hot = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(edited(hot, .01, rng) if k % 2 else [f"x{v}" for v in rng.integers(0, 1 << 30, 300)]), "s")
+            for k in range(400)]
+    kept = sorted(r.doc_id for r in similar.keep_one(docs(rows)).collect())
+    assert kept == sorted([1, *range(0, 400, 2)])
+    out = similar.keep_one(docs(odd))
+    assert out.columns == docs(odd).columns
+    # null, empty and blank texts are one group, as are copies whatever their case
+    assert [r.doc_id for r in out.orderBy("doc_id").collect()] == [0, 2, 4, 7, 9, 10, 11]

@@ -12,7 +12,7 @@ import corpus_pipeline
 from parley.catalog.base import Entry
 from parley.llm.queries import QUERIES, SQL
 from parley.plans.workspace import written
-from tests.llm.test_documents import AZ, counted, fingerprint, roots
+from tests.llm.test_documents import AZ, counted, wide_groups
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -53,8 +53,7 @@ def test_stages(spark):
             assert dict(rows) == want
             kept = want
         if name == "near-dedup":
-            marks = {i: fingerprint(t) for i, t in kept.items()}
-            group = roots(sorted(kept), [(a, b) for a in kept for b in kept if a < b and (marks[a] ^ marks[b]).bit_count() <= 2])
+            group = wide_groups(kept)
             kept = {i: t for i, t in kept.items() if group[i] == i}
             assert dict(rows) == kept and len(rows) == len(kept)
         if name == "mixing":
