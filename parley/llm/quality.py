@@ -51,29 +51,32 @@ def repeated_words(data: bytes) -> tuple[int, int]:
 def describe(data: bytes, chars: int) -> tuple[list[int], int, list[tuple[int, int, int]]]:
     """The counts of a text, its class, and (position, hash, words) of its lines with a word.
 
-    The class is the hash of the longest normalised line.  Exact and near copies mostly share
-    it, so a line counts once for all copies of a document.
+    The class is the hash of all normalised lines in order, so a line counts once for all
+    documents that are equal but for case and white space.
     """
     n, repeated = repeated_words(data)
-    seen, dup, lines, longest = set(), 0, [], b""
+    seen, dup, lines, whole = set(), 0, [], xxhash.xxh64(seed=42)
     for pos, line in enumerate(data.split(b"\n")):
         words = line.split()
         if words:
             dup += line in seen
             seen.add(line)
             plain = b" ".join(words).lower()
-            longest = max(longest, plain, key=lambda x: (len(x), x))
+            whole.update(plain + b"\n")
             lines.append((pos, _hash(plain), len(words)))
     stats = [n, chars - (len(data) - len(data.translate(None, BLANK_BYTES))),
              len(data) - len(data.translate(None, SYMBOLS)), dup, repeated]
-    return stats, _hash(longest), lines
+    return stats, _signed(whole.intdigest()), lines
 
 
-def _hash(data: bytes) -> int:
-    h = xxhash.xxh64_intdigest(data, 42)
+def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _hash(data: bytes) -> int:
+    return _signed(xxhash.xxh64_intdigest(data, 42))
+
+
 def described(docs: DataFrame, host: str = "source") -> DataFrame:
     """(d, t, host, counts, class, lines) of each row's whole text; one Python pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +108,7 @@ def frequent_lines(rows: DataFrame, line_docs: int = LINE_DOCS,
     """(host, h): lines that more distinct documents of a host hold than the limit.
 
     The limit is the larger of `line_docs` and `line_share` of the host's documents.  Copies
-    of a document have one class and count once.  Lines are made distinct per host and class
+    of a whole document have one class and count once.  Lines are made distinct per host and class
     before they are counted, and counts are summed per task before they meet; only lines
     beyond `line_docs` meet the number of the host's documents.
     """

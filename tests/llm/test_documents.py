@@ -138,6 +138,19 @@ def test_depleted_documents_go(docs):
     assert quality.good_documents(docs(rows), line_share=0.0).count() == 16
 
 
+def test_a_shared_line_that_is_the_longest_of_all_its_documents(docs):
+    """A notice of 90 words above short own lines counts once a document, and once for whole copies."""
+    notice = " ".join(f"notice{j}" for j in range(90))
+    rows = [(k, f"{notice}\nonly page {k}", "h") for k in range(15)]
+    copies = [(100 + k, f"{notice}  other\nThe same  page" if k % 2 else f"{notice} OTHER\nthe same page", "i")
+              for k in range(30)]
+    got = {r.d: (r.kept, r.n_removed) for r in quality.judged(docs(rows + copies), line_share=0.0).collect()}
+    assert all(got[k] == (False, 90) for k in range(15))
+    assert all(got[100 + k] == (True, 0) for k in range(30))
+    assert sorted(r.doc_id for r in quality.good_documents(docs(rows + copies), line_share=0.0).collect()) == \
+        list(range(100, 130))
+
+
 def targets(sizes, weights=(3, 1, 2)):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
