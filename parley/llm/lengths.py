@@ -27,7 +27,7 @@ def length_histogram(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, counts = encoder(ranks), Counter()
         for b in batches:
-            counts.update(len(enc.ids(x.as_py())) // 4 for x in b.column(0))
+            counts.update(len(enc.all_ids(x.as_py())) // 4 for x in b.column(0))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()),
                                           pa.array(list(counts.values()), pa.int64())],
                                          ["length", "n_docs"])

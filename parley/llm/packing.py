@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, ranks: str
         for b in batches:
             out: list[tuple] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.ids(text.as_py()) + last
+                ids = enc.all_ids(text.as_py()) + last
                 for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start:4 * (start + n)]
                     row = (doc, k, start, n, zlib.crc32(own), block, seen[n])

@@ -28,6 +28,8 @@ class Encoder(dict):
 
     def __init__(self, ranks: str):
         import base64
+        import json
+        from pathlib import Path
 
         import public_tokenizers
         import tiktoken
@@ -35,6 +37,14 @@ class Encoder(dict):
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
                                         mergeable_ranks=table, special_tokens={}).encode_ordinary
+        model = Path(ranks).with_suffix(".json")
+        added = json.loads(model.read_text())["added_tokens"] if model.exists() else []
+        if any(a[flag] for a in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added tokens of {model} that aren't plain literals")
+        #: Ids of the added tokens of the tokenizer's file beside the ranks, longest first.
+        self.added = {a["content"]: array("I", [a["id"]]).tobytes()
+                      for a in sorted(added, key=lambda a: -len(a["content"]))}
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
 
     def raw(self, text: str) -> bytes:
         return array("I", self.encode(text)).tobytes()
@@ -49,8 +59,15 @@ class Encoder(dict):
             self[word] = ids
         return ids
 
+    def all_ids(self, text: str) -> bytes:
+        """The ids of a whole text, where added tokens are one id each, as in the tokenizer's file."""
+        if not any(a in text for a in self.added):
+            return self.ids(text)
+        parts = self.cut.split(text)         # every second one is an added token
+        return b"".join(self.added[x] if k % 2 else self.ids(x) for k, x in enumerate(parts))
+
     def ids(self, text: str) -> bytes:
-        """The ids of a whole text."""
+        """The ids of a whole text, all of it ordinary."""
         out, at = [], 0
         while at < len(text):
             m = _BETWEEN.search(text, at + BLOCK_CHARS)

@@ -259,6 +259,26 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(tokens.encoder().ids(t), "<u4").tolist() == model.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_texts(docs):
+    """Lengths, ids and cuts of texts that hold the added token, by the file's default encoding."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(str(path("byte_bpe_50k.json")))
+    mark = "<|endoftext|>"
+    texts = [f"First story.{mark}Second story.", mark, mark * 3, f" {mark} ", f"a  {mark}  b", f"a\n \n{mark}\n b",
+             f"é {mark}{mark[:-1]} x", "<|endoftext| >", f"word{mark} " * 1500, "plain"]
+    ids = [model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(ids[0]) == 7
+    for t, own in zip(texts, ids):
+        assert np.frombuffer(tokens.encoder().all_ids(t), "<u4").tolist() == own
+    table = docs([(k, t, "s") for k, t in enumerate(texts)])
+    counts = {r.length: r.n_docs for r in lengths.length_histogram(table).collect()}
+    assert counts == Counter(map(len, ids))
+    for r in packing.pack(table).collect():
+        own = (ids[r.doc_id] + [2])[r.start:r.start + r.length]
+        assert len(own) == r.length and zlib.crc32(np.array(own, "<u4").tobytes()) == r.ids_crc32
+
+
 def test_token_counts(docs, odd):
     from public_tokenizers import path
     from tokenizers import Tokenizer
