@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parley.llm import lines, mixing, packing, quality, similar
+from parley.llm import lines, mixing, packing, quality, shingles
 from parley.plans.workspace import written
 
 
@@ -20,7 +20,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares five-word shingles to a similarity of 0.8 or more."""
-    return similar.keep_one(docs)
+    return shingles.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

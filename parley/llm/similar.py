@@ -45,6 +45,18 @@ def _mixed(h: np.ndarray, k: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
+def bit_sums(hashes: np.ndarray) -> np.ndarray:
+    """How many of the wide hashes made of these have each bit set."""
+    total = np.zeros(64 * PARTS, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        h = hashes[at:at + (1 << 14)].astype("<u8")
+        wide = np.stack([_mixed(h, k) for k in range(PARTS)], axis=1)
+        bits = np.unpackbits(wide.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+        # sums of 255 rows fit a byte
+        total += np.add.reduceat(bits, range(0, len(h), 255), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+    return total
+
+
 def wide_simhash(text: bytes, words: int = WORDS) -> tuple[np.ndarray, int]:
     """(majority bits of all shingles' hashes, number of shingles) of a whole text.
 
@@ -56,12 +68,7 @@ def wide_simhash(text: bytes, words: int = WORDS) -> tuple[np.ndarray, int]:
 
     def add(hashes: list[int]) -> None:
         nonlocal total, n
-        for at in range(0, len(hashes), 1 << 14):
-            h = np.array(hashes[at:at + (1 << 14)], "<u8")
-            wide = np.stack([_mixed(h, k) for k in range(PARTS)], axis=1)
-            bits = np.unpackbits(wide.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
-            # sums of 255 rows fit a byte
-            total += np.add.reduceat(bits, range(0, len(h), 255), axis=0, dtype=np.uint8).sum(axis=0, dtype=np.int64)
+        total += bit_sums(np.array(hashes, "<u8"))
         n += len(hashes)
 
     for block in word_blocks(text.lower()):
@@ -152,17 +159,20 @@ def block_links(left: pa.Table, right: pa.Table, radius: int, similarity: float)
     return pa.table({"a": pa.array(nodes[own], pa.int64()), "b": pa.array(nodes[labels[own]], pa.int64())})
 
 
-def similar_links(classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+def similar_links(classes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK,
+                  radius: int | None = None) -> DataFrame:
     """(a, b): links that join all classes that are similar.
 
     classes: id, n, w0..w3, one row per fingerprint and size.  Two are similar if the share of
-    equal bits and the ratio of their sizes are both `similarity` or more.  Rows are dealt into
+    equal bits and the ratio of their sizes are both `similarity` or more; `radius` sets
+    another number of differing bits.  Rows are dealt into
     blocks of about `block` of one size class; blocks meet those of the size classes within
     the ratio, every pair of blocks as its own group, so a frequent size is many groups and
     no group grows with the table.  Within a group all pairs are compared; what leaves it is
     a forest, not the pairs: a group of k similar classes gives k - 1 links.
     """
-    radius = int(64 * PARTS * (1 - similarity) + 1e-9)
+    if radius is None:
+        radius = int(64 * PARTS * (1 - similarity) + 1e-9)
     signed = classes.filter("n > 0").withColumn("a", _size_class(F.col("n"), similarity))
     # a row per size class: some 800 for texts of up to 2^63 shingles
     split = signed.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("of"))

@@ -10,8 +10,8 @@ import xxhash
 import zlib
 from pyspark.sql import functions as F
 
-from parley.llm import (lengths, lines, mixing, packing, phrases, pii, quality, secrets, simhash,
-                        similar, tokens)
+from parley.llm import (lengths, lines, mixing, packing, phrases, pii, quality, secrets, shingles,
+                        simhash, similar, tokens)
 from parley.llm.components import components
 from parley.plans.workspace import new_path
 
@@ -522,3 +522,47 @@ def test_similar_rows_of_one_size_and_group(docs, odd):
     assert out.columns == docs(odd).columns
     # null, empty and blank texts are one group, as are copies whatever their case
     assert [r.doc_id for r in out.orderBy("doc_id").collect()] == [0, 2, 4, 7, 9, 10, 11]
+
+
+def shingled(text):
+    """The distinct five-word shingles."""
+    w = WORDS.findall((text or "").translate(AZ))
+    return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_runs_of_one_token_neither_link_nor_part(docs):
+    """Unrelated texts that share a run of one token stay; a text with and without a run is one."""
+    rng = np.random.default_rng(6)
+    rows, want = [], []
+    for g in range(6):
+        x, y, z = ([f"{c}{g}x{k}" for k in rng.integers(0, 1 << 30, 1000)] for c in "xyz")
+        run = ["0"] * (50, 200)[g % 2]
+        rows += [(4 * g, " ".join(x + run), "s"), (4 * g + 1, " ".join(y + run), "s"),
+                 (4 * g + 2, " ".join(z), "s"), (4 * g + 3, " ".join(z + run), "s")]
+        want += [4 * g, 4 * g + 1, 4 * g + 2]
+    kept = shingles.keep_one(docs(rows))
+    assert kept.columns == docs(rows).columns and sorted(r.doc_id for r in kept.collect()) == want
+
+
+@pytest.mark.parametrize("block", [8, 1024])
+def test_shingle_sets_are_compared_exactly(docs, odd, block):
+    """The groups of all pairs with a similarity of 0.8, in one block and in many."""
+    rng = np.random.default_rng(8)
+    texts = [t for _, t, _ in odd]
+    for n in (6, 12, 30, 200, 1000):
+        for _ in range(6):
+            own = [f"w{k}" for k in rng.integers(0, 3000, n)]
+            texts += [" ".join(edited(own, share, rng)) for share in (0, .01, .02, .02, .03, .05)]
+            texts += [" ".join(own[:int(n * .81)]), " ".join(own[:n // 2]), " ".join(own + ["0"] * 60)]
+    hot = [f"h{k}" for k in range(150)]
+    texts += [" ".join(edited(hot, .012, rng)) for _ in range(60)] + [None, " ".join(["again"] * 50)]
+    sets = [shingled(t) for t in texts]
+    want = roots(range(len(texts)), [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+                                     if len(sets[a] & sets[b]) >= .8 * len(sets[a] | sets[b])])
+    got = {r.d: r.first.d for r in shingles.shingle_groups(
+        docs([(k, t, "s") for k, t in enumerate(texts)]), block=block).collect()}
+    assert got == want and len(set(want.values())) > 60
+
+
+def test_no_documents_of_shingles(docs):
+    assert shingles.keep_one(docs([])).count() == 0
