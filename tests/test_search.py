@@ -1,11 +1,16 @@
 """Search: both paths of the vector search, recall, edges of the keyword index."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from parley.catalog import REGISTRY
 from parley.operators import search as S
 
+SF = "/root/testdata/sf0.1"
+
 
 @pytest.fixture
 def vectors(spark):
@@ -46,6 +51,17 @@ def test_ann_recall(spark, vectors):
     assert everything == exact
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_recall_for_ordinary_rows(spark):
+    """The query with its defaults asks every 50th vector and finds 0.9 of the nearest."""
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    q = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("qv"))
+    exact = {(r["q"], r["vec_id"]) for r in S.vector_search(q, "q", "qv", vectors, "vec_id", "embedding").collect()}
+    found = {(r["qid"], r["vec_id"]) for r in REGISTRY["ann_search"].run(spark, SF).collect()}
+    assert {a for a, _ in found} == {a for a, _ in exact} and len(exact) == 10 * q.count()
+    assert len(found & exact) >= .9 * len(exact)
+
+
 def test_a_task_keeps_k_rows_per_query(spark, vectors, monkeypatch):
     """However many batches a task reads, and with scores held in small pieces."""
     m, df = vectors
