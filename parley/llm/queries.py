@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parley.llm import (chat, lengths, lines, mixing, packing, phrases, pii, quality,
-                        secrets, simhash)
+from parley.llm import (chat, decontam, lengths, lines, manifest, mixing, packing, phrases, pii, quality,
+                        secrets, simhash, trie)
 from parley.llm.common import NO_ID
 from parley.plans.workspace import new_path, written
 
@@ -216,3 +216,113 @@ def op10_reply_trees(table):
     messages = written(chat.reply_chains(talks.unionByName(extra)), "messages")
     return chat.digests(chat.format_branches(messages)).withColumn(
         "conv_id", F.nullif("conv_id", F.lit(NO_ID)))
+
+
+ITEM_WORDS_SQL = rf"regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '{decontam.WORD}')"
+
+
+@query(f"""
+WITH words AS (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word
+               FROM (SELECT doc_id, {ITEM_WORDS_SQL} AS w FROM documents)),
+items AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {ITEM_WORDS_SQL} AS w FROM benchmark)),
+grams AS (SELECT DISTINCT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS gram
+          FROM (SELECT *, unnest(range(len(w) - n + 1)) AS i FROM items WHERE n > 0)),
+runs AS (SELECT doc_id, i, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l
+         FROM words),
+windows AS (SELECT doc_id, i, n, array_to_string(l[1:n], ' ') AS gram
+            FROM runs, (SELECT DISTINCT n FROM grams) WHERE len(l) >= n),
+hits AS (SELECT doc_id, i, n, item_id FROM windows JOIN grams USING (n, gram)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+         FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id),
+counted AS (SELECT doc_id, count(*) AS n_words FROM words GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents LEFT JOIN counted USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""")
+def op11_decontamination(table):
+    return decontam.contamination(table("documents"), table("benchmark")).select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+CRC_SQL = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda x, b: list_reduce(
+    list_concat([xor(x, b)], range(8)), lambda a, i: xor(a >> 1, 3988292384::BIGINT * (a & 1)))))"""
+
+
+@query(f"""
+WITH RECURSIVE own AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS p FROM conversations),
+convs AS (SELECT c, c - c % 20 AS b, {CRC_SQL.format("c")} % 4 AS h FROM own GROUP BY c),
+mixed AS (SELECT convs.c, 0 AS part, p, role, text FROM convs JOIN own ON own.c = b AND p < h
+          UNION ALL SELECT convs.c, 1, p, role, text FROM convs JOIN own ON own.c = convs.c AND p >= h),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS depth,
+                 sha256(concat(length(role), ':', role, text)) AS h,
+                 len({WORDS_SQL.format("text")}) AS words FROM mixed),
+prefix AS (SELECT c, depth, words, string_agg(h, '') OVER (PARTITION BY c ORDER BY depth) AS path FROM turns
+           UNION ALL SELECT c, 0, 0, '' FROM convs),
+nodes AS (SELECT path, min(c) AS conv_id, min(depth)::BIGINT AS depth, count(*) AS n_convs, max(words) AS words
+          FROM prefix GROUP BY path),
+linked AS (SELECT n.*, u.conv_id AS parent FROM nodes n LEFT JOIN nodes u
+           ON n.depth > 0 AND u.path = left(n.path, greatest(len(n.path) - 64, 0))),
+fanned AS (SELECT u.path, count(n.path) AS n_children FROM nodes u LEFT JOIN nodes n
+           ON n.depth > 0 AND u.path = left(n.path, greatest(len(n.path) - 64, 0)) GROUP BY u.path),
+over AS (SELECT n.path AS node, n.path AS above FROM nodes n
+         UNION ALL SELECT node, left(above, len(above) - 64) FROM over WHERE above <> ''),
+summed AS (SELECT above AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+                  sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+           FROM over JOIN nodes ON nodes.path = over.node JOIN fanned ON fanned.path = over.node GROUP BY above),
+ends AS (SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+         FROM (SELECT c, arg_max(path, depth) AS path FROM prefix GROUP BY c) GROUP BY path)
+SELECT conv_id, depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM linked JOIN fanned USING (path) JOIN summed USING (path) LEFT JOIN ends USING (path)""")
+def op12_prefix_trie(table):
+    nodes = trie.prefix_trie(*trie.rebuilt_turns(table("conversations")))
+    return nodes.select(F.nullif("m", F.lit(NO_ID)).alias("conv_id"), "depth",
+                        F.nullif("up", F.lit(NO_ID)).alias("parent_conv_id"), "n_convs", "n_children",
+                        "n_leaves", "saved_tokens", F.col("digest").alias("ends_sha256"))
+
+
+LEAF_SQL = "sha256(concat(" + ", ".join(
+    f"coalesce(concat(strlen({c}::VARCHAR), ':', {c}::VARCHAR), '-')" for c in manifest.FIELDS) + "))"
+
+
+@query(f"""
+WITH RECURSIVE leaves AS (SELECT doc_id, source, {LEAF_SQL} AS leaf FROM documents),
+seen AS (SELECT doc_id, {LEAF_SQL} AS seen FROM (SELECT * REPLACE (CASE WHEN {CRC_SQL.format("doc_id")} % 2 = 0
+         THEN replace(text, chr(10), '') ELSE text END AS text) FROM documents)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i,
+                    count(*) OVER (PARTITION BY source) AS n FROM leaves),
+low AS (SELECT source, 0 AS level, i, n, leaf AS h FROM numbered
+        UNION ALL SELECT source, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+        FROM low WHERE n > 1 GROUP BY source, level, i // 3, n),
+subroots AS (SELECT source, level AS top, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+                    count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (SELECT 0 AS level, i, n, subroot AS h FROM subroots
+         UNION ALL SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+         FROM high WHERE n > 1 GROUP BY level, i // 3, n),
+groups AS (SELECT source, level, i // 3 AS g, list(h ORDER BY i) AS hs FROM low WHERE n > 1 GROUP BY ALL
+           UNION ALL SELECT s.source, s.top + level, high.i // 3, list(h ORDER BY high.i)
+           FROM high, subroots s WHERE high.n > 1 GROUP BY ALL),
+walk AS (SELECT doc_id, x.source, top, s.i AS place, 0 AS level, CASE WHEN top = 0 THEN s.i ELSE x.i END AS i,
+                seen AS h, '' AS proof
+         FROM numbered x JOIN seen USING (doc_id) JOIN subroots s ON x.source IS NOT DISTINCT FROM s.source
+         UNION ALL SELECT doc_id, w.source, top, place, w.level + 1,
+           CASE WHEN w.level + 1 = top THEN place ELSE i // 3 END,
+           sha256(concat(array_to_string(hs[1:i % 3], ''), h, array_to_string(hs[i % 3 + 2:], ''))),
+           concat(proof, array_to_string(hs[1:i % 3], ''), array_to_string(hs[i % 3 + 2:], ''))
+         FROM walk w JOIN groups x ON x.source IS NOT DISTINCT FROM w.source AND x.level = w.level AND g = i // 3),
+last AS (SELECT doc_id, arg_max(h, level) AS folded_root, arg_max(proof, level) AS proof FROM walk GROUP BY doc_id),
+root AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN last USING (doc_id), subroots s, root WHERE s.source IS NOT DISTINCT FROM leaves.source""")
+def op13_merkle_manifest(table):
+    docs = table("documents").select(*manifest.FIELDS)
+    cut = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    rows = docs.withColumn("seen", F.when(cut, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+    return manifest.manifest(rows).select(
+        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"), F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"))

@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
 def test_names():
-    assert {f"op{n}_" for n in range(1, 11)} == {q[:q.index("_") + 1] for q in QUERIES if q != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} == {q[:q.index("_") + 1] for q in QUERIES if q != "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
