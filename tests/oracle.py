@@ -31,7 +31,7 @@ def rows_of(pdf):
         col = pdf[n]
         if pd.api.types.is_datetime64_any_dtype(col):
             col = col.astype(str)
-        cells.append([None if v is None or v is pd.NaT or (isinstance(v, float) and v != v)
+        cells.append([None if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v)
                       else (0.0 if isinstance(v, float) and v == 0 else v) for v in col.tolist()])
     return sorted(zip(*cells), key=repr) if cells else []
 
