@@ -76,11 +76,11 @@ def hits(docs: DataFrame, grams: DataFrame, rows: int = SET_ROWS, size: int = SE
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **bounds: int) -> DataFrame:
-    """(row, n_words, n_hit, items, gone) of every document.
+    """(row, text, n_words, n_hit, items, gone) of every document.
 
     n_words counts its words, n_hit those inside any occurrence of a window of an item; `items`
     are the ids of items with such windows, sorted as strings, and `gone` the places of the hit
-    words.  `row` has the input's columns.  Null or empty text has no words.  Rows that are equal
+    words.  `row` has the input's columns but the text, which moves only if it is asked for.  Null or empty text has no words.  Rows that are equal
     in doc_id and text get equal results; null doc_ids are one number.  Empty tables are fine.
     Lists are as long as a text or the benchmark has words or items, whatever the corpus.
     """
@@ -96,9 +96,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, *
         .groupBy("d", "t").agg(F.sort_array(F.collect_set("item")).alias("items"))
     rows = in_rows(docs, d=id_of(), t=F.xxhash64(text_of()),
                    n_words=F.regexp_count(text_of(), F.lit(WORD_ANY_CASE)).cast("long"))
+    rows = rows.withColumn("text", F.col("row.text")).withColumn("row", F.col("row").dropFields("text"))
     none = F.array().cast("array<int>")
     return rows.join(found.drop("gs").join(items, ["d", "t"]), ["d", "t"], "left").select(
-        "row", "n_words", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_hit"),
+        "row", "text", "n_words", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("gone", none).alias("gone"))
 
@@ -113,7 +114,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """
     judged = contamination(docs, benchmark, window, **bounds).filter(
         F.col("n_hit") <= F.lit(most) * F.col("n_words"))
-    text = F.col("row.text")
+    text = F.col("text")
     parts = judged.withColumn("own", F.when(F.col("n_hit") > 0, F.regexp_extract_all(
         text, F.lit(WORD_ANY_CASE), F.lit(0)))).withColumn("gaps", F.when(
             F.col("n_hit") > 0, F.split(text, WORD_ANY_CASE, -1)))
