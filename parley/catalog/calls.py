@@ -197,9 +197,13 @@ def custom_order(t):
 _TOP = "count(*) FILTER (WHERE overall_importance IN ('critical', 'high'))"
 
 
-@query(sql(f"""SELECT count(*) AS total_calls, count(*) FILTER (WHERE requires_enrichment) AS flagged_calls,
+def triage_sql():
+    return f"""SELECT count(*) AS total_calls, count(*) FILTER (WHERE requires_enrichment) AS flagged_calls,
  {pct('count(*) FILTER (WHERE requires_enrichment)', 'count(*)')} AS flagged_pct,
- {_TOP} AS critical_high_calls, {pct(_TOP, 'count(*)')} AS critical_high_pct FROM pc""", "pc"))
+ {_TOP} AS critical_high_calls, {pct(_TOP, 'count(*)')} AS critical_high_pct FROM pc"""
+
+
+@query(sql(triage_sql(), "pc"))
 def triage_rate(t):
     return C.triage_rate(t.pc)
 
@@ -263,11 +267,12 @@ def _category(name):
 
     def run(t):
         return C.count_by_category(t.calls, t.pc, name)
-    query(sql(f"""SELECT {column} AS category, count(*) AS n_calls,
- {pct('count(*)', f'(SELECT count(*) FROM {table})')} AS percentage FROM {table} GROUP BY 1""", table),
-          name=f"count_by_{name}")(run)
+    query(sql(CATEGORY_QUERIES[name], table), name=f"count_by_{name}")(run)
 
 
+CATEGORY_QUERIES = {name: f"""SELECT {column} AS category, count(*) AS n_calls,
+ {pct('count(*)', f'(SELECT count(*) FROM {table})')} AS percentage FROM {table} GROUP BY 1"""
+                    for name, (table, column) in C.CATEGORY_COLUMNS.items()}
 for _name in C.CATEGORY_COLUMNS:
     _category(_name)
 

@@ -395,6 +395,11 @@ def analytics_summary(calls: DataFrame, pc: DataFrame, start=None, end=None) ->
     cube = rows.groupBy("product", "overall_intent", "overall_sentiment").agg(
         F.count(F.lit(1)).alias("n"), F.min("call_timestamp").alias("first_call"),
         F.max("call_timestamp").alias("last_call"))
+    return summary_of(cube)
+
+
+def summary_of(cube: DataFrame) -> DataFrame:
+    """The summary metrics from partial counts `n` by product, intent and sentiment."""
     intent, sentiment = F.col("overall_intent"), F.col("overall_sentiment")
     entry = [_entry("total", F.lit("all")), _entry("product", F.col("product")),
              F.when(intent.isin(*K.COMPLAINT_INTENTS), _entry("complaint", intent)),
