@@ -9,6 +9,8 @@ from parley.catalog.base import query
 from parley.catalog.scalars import label_centroids
 from parley.catalog.sql_views import r, sql, view
 from parley.operators import search as S
+from parley.operators.postings import TextIndex
+from parley.plans.workspace import new_path
 
 STOP = V.words(K.STOP_WORDS)
 
@@ -83,6 +85,17 @@ def keyword_search(t):
     return S.keyword_search(_items(t), "item_id", "item_text", _docs(t), "doc_id", "text")
 
 
+@query(sql("SELECT item_id, doc_id, round(score, 6) AS score, rank FROM (" + top("kw_scores", 10) + ")", "kw_scores"))
+def stored_keyword_search(t):
+    """The same answers from an index that stays: documents come in a batch per language."""
+    index, docs = TextIndex(t.spark, new_path(t.spark, "text-index"), "bigint"), _docs(t)
+    english = F.col("lang").eqNullSafe("en")
+    index.add(docs.filter(english), "doc_id", "text", "english")
+    index.add(docs.filter(~english), "doc_id", "text", "others")
+    index.name_vocabulary("current")
+    return index.search(_items(t), "item_id", "item_text", "current").withColumnRenamed("doc", "doc_id")
+
+
 @query(sql("SELECT item_id, count(*) AS n_hits, round(max(score), 6) AS best FROM kw_scores GROUP BY 1", "kw_scores"))
 def positive_score_filter(t):
     """All keyword hits (score above zero) of each query."""

@@ -20,6 +20,8 @@ from parley.plans.workspace import at_most, written
 DIGITS = 9
 # A query table up to this many rows is sent to every task; a larger one is joined.
 MAX_BROADCAST_QUERIES = 4096
+# Vocabularies and asked (query, term) pairs up to this many rows are broadcast.
+MAX_BROADCAST_TERMS, MAX_BROADCAST_ASKED = 100_000, 250_000
 # Rows of documents and queries that meet in one task on the large path.
 DOC_BLOCK, QUERY_BLOCK = 50_000, 4096
 # Documents and queries whose scores a task holds at once: 16 MB.
@@ -92,37 +94,65 @@ def vocabulary(counts: DataFrame, n_docs: Column, max_features: int = K.MAX_FEAT
             .select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1.0).alias("idf")))
 
 
+def small(vocab: DataFrame, max_features: int) -> DataFrame:
+    """The vocabulary as a broadcast side, if its bound allows."""
+    return F.broadcast(vocab) if max_features <= MAX_BROADCAST_TERMS else vocab
+
+
+def weighted(counts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The counts of known terms with `w`, the weight before documents get unit length."""
+    return counts.join(vocab, "term").withColumn("w", F.col("tf") * F.col("idf"))
+
+
+def norms(raw: DataFrame, doc_id: str) -> DataFrame:
+    """(doc, length); summed per task before the shuffle."""
+    return raw.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+
+
 def tfidf_index(docs: DataFrame, doc_id: str, text: str, max_features: int = K.MAX_FEATURES,
                 vocab: DataFrame | None = None, bigrams: bool = True) -> DataFrame:
-    """(doc, term, tf, weight) with unit-length document vectors."""
-    if vocab is None:
-        vocab = tfidf_vocabulary(docs, doc_id, text, max_features, bigrams)
+    """(doc, term, tf, weight) with unit-length document vectors.
+
+    Texts are cut into terms once; the vocabulary, the lengths and the weights come from the
+    written counts.
+    """
     counts = term_counts(docs, doc_id, text, bigrams)
-    raw = counts.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    if vocab is None:
+        counts = written(counts, "terms")
+        vocab = written(vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
+    raw = weighted(counts, small(vocab, max_features))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc_id)))
     return raw.withColumn("weight", F.col("w") / length).select(doc_id, "term", "tf", "weight")
 
 
-def tfidf_vocabulary(docs: DataFrame, doc_id: str, text: str,
-                     max_features: int = K.MAX_FEATURES, bigrams: bool = True) -> DataFrame:
-    """Counted where the texts are: only counts of terms, summed per task, are shuffled."""
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    return vocabulary(exploded_counts(docs, text, bigrams, doc_id), n_docs, max_features)
+def asked_weights(queries: DataFrame, query_id: str, query_text: str, vocab: DataFrame) -> DataFrame:
+    """(query, term, idf, wq): the known terms of the queries with their unit-length weights."""
+    index = tfidf_index(queries, query_id, query_text, vocab=vocab)
+    return index.join(vocab, "term").select(query_id, "term", "idf", F.col("weight").alias("wq"))
+
+
+def cosines(counts: DataFrame, asked: DataFrame, query_id: str, doc_id: str, lengths: DataFrame) -> DataFrame:
+    """(doc, query, score) of documents and queries with a term in common; score > 0."""
+    if at_most(asked, MAX_BROADCAST_ASKED):
+        asked = F.broadcast(asked)
+    dots = counts.join(asked, "term").groupBy(doc_id, query_id).agg(
+        F.sum(F.col("wq") * (F.col("tf") * F.col("idf"))).alias("dot"))
+    return dots.join(lengths, doc_id).select(
+        doc_id, query_id, F.round(F.col("dot") / F.col("length"), DIGITS).alias("score")).filter(F.col("score") > 0)
 
 
 def keyword_scores(queries: DataFrame, query_id: str, query_text: str, docs: DataFrame,
                    doc_id: str, text: str, max_features: int = K.MAX_FEATURES) -> DataFrame:
-    """Cosine of every query with the documents it shares a term with; score > 0."""
-    vocab = written(tfidf_vocabulary(docs, doc_id, text, max_features), "vocabulary")
-    index = tfidf_index(docs, doc_id, text, vocab=vocab)
-    asked = tfidf_index(queries, query_id, query_text, vocab=vocab).select(
-        query_id, "term", F.col("weight").alias("wq"))
-    if at_most(queries, MAX_BROADCAST_QUERIES):
-        # bounded: at most MAX_BROADCAST_QUERIES texts, terms from the vocabulary only
-        asked = F.broadcast(asked)
-    return (index.join(asked, "term").groupBy(doc_id, query_id).agg(
-        F.round(F.sum(F.col("wq") * F.col("weight")), DIGITS).alias("score"))
-        .filter(F.col("score") > 0))
+    """Cosine of every query with the documents it shares a term with; score > 0.
+
+    Texts are cut into terms once.  Only postings of asked terms are weighted; the others
+    count for the lengths, which are summed per task.  See `postings` for an index that stays.
+    """
+    counts = written(term_counts(docs, doc_id, text), "terms")
+    vocab = written(vocabulary(counts, docs.agg(F.count(F.lit(1))).scalar(), max_features), "vocabulary")
+    lengths = norms(weighted(counts, small(vocab, max_features)), doc_id)
+    asked = written(asked_weights(queries, query_id, query_text, vocab), "asked")
+    return cosines(counts, asked, query_id, doc_id, lengths)
 
 
 def keyword_search(queries, query_id, query_text, docs, doc_id, text, k: int = K.TOP_K,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,10 +30,15 @@ def hashed_part(*keys: str, parts: int = PARTS) -> Column:
 
 
 class StoredTable:
-    """A table in one folder.  `schema` is that of its rows, a type or its text."""
+    """A table in one folder.  `schema` is that of its rows, a type or its text.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    Appended batches may be laid out by columns `partition_by`, so that readers of few of their values
+    leave the other files alone.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str,
+                 partition_by: tuple[str, ...] = ()) -> None:
+        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def commits(self) -> DataFrame:
@@ -57,8 +63,11 @@ class StoredTable:
         """The rows, or those of some parts; other parts aren't listed or read."""
         paths, wanted = self.parts(), None if parts is None else set(parts)
         paths = sorted(p for k, p in paths.items() if wanted is None or k in wanted)
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else \
-            self.spark.createDataFrame([], self.schema)
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        read = self.spark.read.schema(self.schema)
+        # folders with columns of their own are read one by one
+        return reduce(DataFrame.unionByName, [read.parquet(p) for p in paths]) if self.partition_by else read.parquet(*paths)
 
     def replace(self, rows: DataFrame, part: Column, batch: str, touched: list[str]) -> None:
         """Puts these rows in the place of the parts `touched`; all of them must be in one of these."""
@@ -69,16 +78,23 @@ class StoredTable:
         found = {r[0] for r in self.spark.read.schema(kept).parquet(folder).select(PART).distinct().collect()}
         self._commit(batch, {k: f"{folder}/{PART}={k}" if k in found else None for k in touched})
 
-    def append(self, rows: DataFrame, batch: str, partition_by: tuple[str, ...] = ()) -> None:
+    def append(self, rows: DataFrame, batch: str) -> None:
         """Adds rows as a part of their own; a batch that is there already is left out."""
-        if self.has(batch):
-            return
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        rows = rows.select(*self.schema.names)
-        if partition_by:
-            rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
-        rows.write.partitionBy(*partition_by).parquet(folder)
-        self._commit(batch, {batch: folder})
+        if not self.has(batch):
+            self._commit(batch, {batch: self._laid(rows)})
+
+    def compact(self, batch: str) -> None:
+        """Puts the rows of all appended batches together in one part; they stay known as batches."""
+        old = dict.fromkeys(self.parts())
+        if len(old) > 1 and not self.has(batch):
+            self._commit(batch, old | {batch: self._laid(self.read())})
+
+    def _laid(self, rows: DataFrame) -> str:
+        folder, rows = f"{self.path}/data/{uuid.uuid4().hex}", rows.select(*self.schema.names)
+        if self.partition_by:
+            rows = rows.hint("rebalance", *[F.col(c) for c in self.partition_by])
+        rows.write.partitionBy(*self.partition_by).parquet(folder)
+        return folder
 
     def upsert(self, rows: DataFrame, keys: list[str], newest_first: list, batch: str,
                parts: int = PARTS) -> None:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from parley.catalog import REGISTRY
 from parley.operators import search as S
+from parley.operators.postings import TextIndex
+from parley.plans.workspace import new_path
 
 SF = "/root/testdata/sf0.1"
 
@@ -146,3 +148,42 @@ def test_shared_embeddings(spark):
     assert {r["id"]: r["embedding"] for r in hook} == {1: [6], 2: [6], 3: [5]}
     reuse = S.embedding_reuse(docs, "t").collect()[0]
     assert (reuse["n_texts"], reuse["n_distinct"]) == (3, 2)
+
+
+def test_stored_index(spark):
+    """Batches add up, repeated ones don't count, and a search reads the asked buckets only."""
+    import io
+    from contextlib import redirect_stdout
+
+    texts = [(i, " ".join(f"w{(i * k) % 13}" for k in range(1, 12)) + " card") for i in range(40)] + \
+        [(40, None), (41, ""), (42, "lonely zebra"), (43, "card " * 50)]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    asked = spark.createDataFrame([(1, "a lonely zebra"), (2, "w3 w4 card"), (3, "nothing known"), (4, None)], "q long, ask string")
+    index = TextIndex(spark, new_path(spark, "index"), "bigint")
+    index.add(docs.filter("id < 15"), "id", "text", "one")
+    index.name_vocabulary("early")
+    for _ in range(2):
+        index.add(docs.filter("id >= 15"), "id", "text", "two")
+    for _ in range(2):
+        index.name_vocabulary("all")
+    index.name_vocabulary("few", 5)
+    for name, some, features in (("all", docs, 10_000), ("few", docs, 5)):
+        want = S.keyword_search(asked, "q", "ask", some, "id", "text", 7, features)
+        got = index.search(asked, "q", "ask", name, 7)
+        assert sorted(map(tuple, got.select("q", "doc", "score", "rank").collect())) == \
+            sorted(map(tuple, want.select("q", "id", "score", "rank").collect()))
+    before = sorted(map(tuple, index.search(asked, "q", "ask", "all", 7).collect()))
+    index.compact("together")
+    index.add(docs.filter("id < 15"), "id", "text", "one")
+    assert sorted(map(tuple, index.search(asked, "q", "ask", "all", 7).collect())) == before
+    assert len(index.postings.parts()) == 1
+    assert index.vocabulary("early").filter("term = 'zebra'").isEmpty()
+    out = io.StringIO()
+    with redirect_stdout(out):
+        index.matching(spark.createDataFrame([("zebra",)], "term string")).explain("formatted")
+    plan = out.getvalue()
+    assert "In(term, [zebra])" in plan or "EqualTo(term,zebra)" in plan
+    assert any("PartitionFilters" in line and "bucket" in line for line in plan.splitlines())
+    used = {f.split("bucket=")[1].split("/")[0] for f in index.matching(
+        spark.createDataFrame([("zebra",)], "term string")).select("_metadata.file_path").distinct().toPandas().file_path}
+    assert len(used) == 1
