@@ -10,6 +10,8 @@ from parley.catalog.sql_views import any_rx, lit, r, sql, view
 from parley.operators import calls as C
 from parley.operators import enrichment as N
 from parley.operators.search import build_search_documents as build
+from parley.plans.workspace import new_path, written
+from parley.sources.stored import StoredTable
 
 # --- SQL views --------------------------------------------------------------
 view("plan", """SELECT call_id, overall_importance, CASE WHEN overall_importance = 'critical'
@@ -92,14 +94,31 @@ def apply_model(t):
  NULL::VARCHAR AS error FROM (SELECT * FROM q_prompts)""", "q_prompts"))
 def apply_model_hook(t):
     """A user function per Arrow batch in place of a model; here it names the task."""
-    prompts = N.render_prompts(t.turns, _plan(t))
+    return N.apply_model(N.render_prompts(t.turns, _plan(t)), _echo()).select(
+        "call_id", "model", "task", F.length("prompt").alias("n_chars"), "output", "error")
+
+
+def _echo():
     names = {head.split("\n")[0]: task for task, (head, _, _) in N.TASKS.items()}
 
     def complete(texts, models, limits):
         return ["echo " + names[x.split("\n")[0]] for x in texts]
+    return complete
 
-    return N.apply_model(prompts, complete).select(
-        "call_id", "model", "task", F.length("prompt").alias("n_chars"), "output", "error")
+
+@query(sql(f"""SELECT model, count(*) AS n_paid, sum(tin)::BIGINT AS input_tokens, sum(tout)::BIGINT AS output_tokens,
+ {r('sum(((tin / 1000.0::DOUBLE) * CASE WHEN contains(model, $$gpt-4$$) THEN 0.01::DOUBLE ELSE 0.0015::DOUBLE END + (tout / 1000.0::DOUBLE) * CASE WHEN contains(model, $$gpt-4$$) THEN 0.03::DOUBLE ELSE 0.002::DOUBLE END)::DECIMAL(30, 8))::DOUBLE')} AS cost
+FROM (SELECT DISTINCT model, max_tokens, prompt, length(prompt) // 4 AS tin, length('echo ' || task) // 4 AS tout FROM q_prompts) GROUP BY model""",
+           "q_prompts"))
+def resumed_model_calls(t):
+    """What two runs have paid: the first asks for one model's prompts, the second for all."""
+    prompts = written(N.render_prompts(t.turns, _plan(t)), "prompts")
+    answers = StoredTable(t.spark, new_path(t.spark, "answers"), N.ANSWER)
+    N.resume_model(prompts.filter(F.col("model") == K.CHEAP_MODEL), _echo(), answers, 2)
+    N.resume_model(prompts, _echo(), answers, 2)
+    return answers.read().groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_paid"), F.sum("input_tokens").alias("input_tokens"),
+        F.sum("output_tokens").alias("output_tokens"), C.exact_sum("cost").alias("cost"))
 
 
 @query(sql(f"""SELECT call_id, 0::BIGINT AS part, task, model, tin AS input_tokens, tout AS output_tokens, {r('cost * 1000000')} AS cost_micro_usd

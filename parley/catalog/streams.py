@@ -42,6 +42,29 @@ def stream_ingest(t):
                                                     "text", "duration")
 
 
+def _ingested(t):
+    """Every call is delivered with an older product, as it is, and once without metadata."""
+    path, docs = new_path(t.spark, "document-files"), S.as_documents(t.turns, t.calls, t.truth).drop("part")
+    older = docs.withColumn("metadata", F.col("metadata").withField("product", F.lit("unknown"))) \
+        .withColumn("ingestion_timestamp", F.lit("1970-01-01T00:00:00"))
+    S.write_documents(docs.unionByName(older).unionByName(docs.drop("metadata"), allowMissingColumns=True), path)
+    stream = R.read_transcripts(t.spark, path, files_per_trigger=16, one_per_file=False)
+    return R.stream_to_tables(stream, new_path(t.spark, "ingested"))
+
+
+@query(sql("""SELECT call_id, product, region, client_segment, agent_id, call_timestamp FROM calls
+WHERE call_id IN (SELECT call_id FROM turns)""", "calls", "turns"))
+def stream_upsert_calls(t):
+    """The stored calls after all deliveries."""
+    return _ingested(t).calls.read().select("call_id", "product", "region", "client_segment", "agent_id", "call_timestamp")
+
+
+@query(sql("SELECT 'no metadata' AS reason, count(DISTINCT call_id) AS n_documents FROM turns", "turns"))
+def stream_rejects(t):
+    """Rejected documents are kept and counted."""
+    return _ingested(t).rejects.read().groupBy("reason").agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 @query(sql(f"""SELECT segment_id, call_id, intent, sentiment, {r('importance_score')} AS importance_score FROM seg WHERE is_critical""",
            "seg"))
 def stream_triage(t):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
@@ -12,6 +14,7 @@ from parley.functions import triage as T
 from parley.operators.calls import analyze_segments, enrichment_queue
 from parley.operators.summaries import extractive_summary
 from parley.plans.ordered import part_of
+from parley.sources.stored import StoredTable
 from parley.sources.transcripts import assemble_transcript
 from parley.plans.workspace import written
 
@@ -133,6 +136,35 @@ def apply_model(prompts: DataFrame, complete) -> DataFrame:
     return with_usage(prompts.mapInPandas(run, schema))
 
 
+#: What is kept of an answered prompt.
+ANSWER = "key string, model string, output string, input_tokens long, output_tokens long, cost double"
+
+
+def prompt_key() -> Column:
+    """Prompts with the same text, model and limit are one."""
+    return F.sha2(F.concat_ws("\x1f", F.col("model"), F.col("max_tokens").cast("string"), F.col("prompt")), 256)
+
+
+def resume_model(prompts: DataFrame, complete, answers: StoredTable, steps: int = 8) -> DataFrame:
+    """`apply_model` that asks only what has no stored answer yet, and stores what it gets.
+
+    Equal prompts are asked once.  They go in `steps` lots, each committed when its answers are
+    there, so a run that dies loses one lot at most and the next run goes on behind it; within a lot a
+    retried task asks its own prompts again.  Failed prompts aren't stored and will be asked by
+    the next run.  The result has every prompt, with a null output where it failed.  `answers`
+    (of `ANSWER`) is the ledger: one row per prompt paid for.
+    """
+    keyed = written(prompts.withColumn("key", prompt_key()), "prompts")
+    todo = keyed.dropDuplicates(["key"]).join(answers.read().select("key"), "key", "left_anti")
+    todo, run = written(todo, "unanswered"), uuid.uuid4().hex
+    if not todo.isEmpty():
+        for k in range(steps):
+            lot = apply_model(todo.filter(F.pmod(F.xxhash64("key"), F.lit(steps)) == k), complete)
+            answers.append(lot.filter("error IS NULL").withColumn("cost", F.col("cost").cast("double")), f"{run}-{k}")
+    known = answers.read().drop("model")
+    return keyed.join(known, "key", "left").drop("key")
+
+
 def with_usage(outputs: DataFrame) -> DataFrame:
     """Token counts and price of each model call."""
     used = (outputs.withColumn("input_tokens", X.approx_tokens(F.col("prompt")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +42,12 @@ def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return raw.filter(_is_valid()), raw.filter(~_is_valid())
 
 
+def reject_reason() -> Column:
+    """Why a document isn't accepted."""
+    return (F.when(F.col("_corrupt_record").isNotNull(), "unreadable").when(F.col("call_id").isNull(), "no call id")
+            .when(F.col("metadata").isNull(), "no metadata").otherwise("no turns"))
+
+
 def call_metadata(raw: DataFrame) -> DataFrame:
     """The `calls` row of each document; missing keys become NULL."""
     names = ("client_id", "client_segment", "product", "call_duration_seconds", "region",
@@ -49,12 +57,16 @@ def call_metadata(raw: DataFrame) -> DataFrame:
                       parse_time(F.col("ingestion_timestamp")).alias("ingestion_timestamp"))
 
 
-def explode_turns(raw: DataFrame) -> DataFrame:
-    """One row per turn, numbered in document order from the document's first turn."""
+def explode_turns(raw: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
+    """One row per turn, numbered in document order from the document's first turn.
+
+    `more` are columns of the document that its turns keep.
+    """
     first = F.coalesce("first_turn", F.lit(0)) if "first_turn" in raw.columns else F.lit(0)
-    return (raw.select("call_id", first.alias("first"), F.posexplode("transcript").alias("at", "turn"))
-            .select("call_id", (F.col("first") + F.col("at")).cast("int").alias("turn_index"), "turn")
-            .select("call_id", "turn_index", segment_id().alias("segment_id"), "turn.*"))
+    rows = raw.select("call_id", first.alias("first"), *more, F.posexplode("transcript").alias("at", "turn"))
+    kept = [c for c in rows.columns if c not in ("call_id", "first", "at", "turn")]
+    return (rows.select("call_id", (F.col("first") + F.col("at")).cast("int").alias("turn_index"), "turn", *kept)
+            .select("call_id", "turn_index", segment_id().alias("segment_id"), "turn.*", *kept))
 
 
 def segment_id() -> Column:

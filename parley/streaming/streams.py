@@ -16,7 +16,8 @@ from parley import constants as K
 from parley.operators.calls import micro, weighted_score, analyze_segments, requires_enrichment
 from parley.functions import triage as T
 from parley.plans.workspace import new_path
-from parley.sources.transcripts import SCHEMA, explode_turns, split_valid
+from parley.sources.stored import StoredTable
+from parley.sources.transcripts import SCHEMA, call_metadata, explode_turns, reject_reason, split_valid
 
 
 # --- sources and sinks ------------------------------------------------------
@@ -78,6 +79,51 @@ def stream_ingest(documents: DataFrame) -> DataFrame:
     return explode_turns(split_valid(documents)[0])
 
 
+CALL_KEYS, TURN_KEYS = ["call_id"], ["call_id", "turn_index"]
+REJECT = "call_id string, reason string, document string, delivered long"
+
+
+class IngestTables:
+    """The stored turns, calls and rejects that a stream of documents keeps up to date."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        empty = spark.createDataFrame([], SCHEMA)
+        stamp = lambda df: df.withColumn("ingested", F.lit("")).withColumn("delivered", F.lit(0).cast("long"))
+        self.turns = StoredTable(spark, f"{path}/turns", stamp(explode_turns(empty)).schema)
+        self.calls = StoredTable(spark, f"{path}/calls", stamp(call_metadata(empty)).schema)
+        self.rejects = StoredTable(spark, f"{path}/rejects", REJECT)
+
+    def take(self, documents: DataFrame, batch: int, name: str = "ingest") -> None:
+        """One batch of documents: later ones, by ingestion time, then batch, replace calls and turns.
+
+        Each table commits the batch under its number, so a batch that is delivered again, or one that died
+        half way and is repeated, changes only the tables that lack it.  Rejects are kept with a reason.
+        """
+        documents = documents.persist()
+        ok, bad = split_valid(documents)
+        at = F.coalesce("ingestion_timestamp", F.lit(""))
+        number, order = F.lit(batch).cast("long"), [F.desc("ingested"), F.desc("delivered")]
+        turns = explode_turns(ok.select("call_id", "first_turn", "transcript", "ingestion_timestamp"), [at.alias("ingested")])
+        calls = call_metadata(ok).withColumn("ingested", F.coalesce(F.date_format(
+            "ingestion_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("")))
+        self.rejects.append(bad.select("call_id", reject_reason().alias("reason"), F.to_json(F.struct(
+            *[c for c in bad.columns])).alias("document"), number.alias("delivered")), f"{name}-{batch}")
+        self.turns.upsert(turns.withColumn("delivered", number), TURN_KEYS,
+                          [*order, "start_time", "speaker", "text"], f"{name}-{batch}")
+        self.calls.upsert(calls.withColumn("delivered", number), CALL_KEYS,
+                          [*order, "call_timestamp", "client_id", "agent_id", "product"], f"{name}-{batch}")
+        documents.unpersist()
+
+
+def stream_to_tables(documents: DataFrame, path: str, name: str = "ingest") -> IngestTables:
+    """Drains a stream of documents into stored tables; it can be stopped and started again."""
+    tables = IngestTables(documents.sparkSession, path)
+    query = (documents.writeStream.foreachBatch(lambda rows, n: tables.take(rows, n, name))
+             .option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return tables
+
+
 def stream_triage(turns: DataFrame) -> DataFrame:
     """Score each turn as it arrives and keep the critical ones as alerts."""
     return analyze_segments(turns).filter("is_critical").select(

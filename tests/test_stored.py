@@ -112,3 +112,67 @@ def test_rollup_equals_recount_after_random_changes(spark, monkeypatch, digits):
     assert rows(kept.cube()) == recount(calls)
     assert rows(kept.cube("2024-01-03", "2024-01-04")) == recount(
         {i: c for i, c in calls.items() if c[1] in ("2024-01-03", "2024-01-04")})
+
+
+def test_ingest_is_replayable_and_keeps_rejects(spark, tmp_path, monkeypatch):
+    import json
+
+    from parley.sources.transcripts import SCHEMA as DOCUMENT
+    from parley.streaming.streams import IngestTables
+
+    def doc(call, product, at, texts, first=0):
+        return {"call_id": call, "first_turn": first, "metadata": {"call_id": call, "product": product}, "ingestion_timestamp": at,
+                "transcript": [{"speaker": "agent", "text": x, "start_time": 0.0, "end_time": 1.0} for x in texts]}
+    one = [doc("a", "loan", "2024-01-02T00:00:00", ["x", "y"]), doc("b", "etf", None, ["z"]), {"call_id": "c"}, "{broken",
+           {"transcript": []}, doc("d", "loan", None, [])]
+    two = [doc("a", "card", "2024-01-01T00:00:00", ["old"]), doc("b", "card", None, ["z2", "z3"])]
+
+    def batch(n, docs):
+        path = tmp_path / f"{n}.json"
+        path.write_text("\n".join(d if isinstance(d, str) else json.dumps(d) for d in docs))
+        return spark.read.schema(DOCUMENT).option("columnNameOfCorruptRecord", "_corrupt_record").json(str(path))
+    tables = IngestTables(spark, str(tmp_path / "tables"))
+    with monkeypatch.context() as m:                         # dies after the rejects
+        m.setattr(tables.turns, "upsert", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            tables.take(batch(0, one), 0)
+    for n, docs in ((0, one), (0, one), (1, two), (1, two)):
+        tables.take(batch(n, docs), n)
+    assert rows(tables.calls.read().select("call_id", "product")) == [("a", "loan"), ("b", "card")]
+    assert rows(tables.turns.read().select("call_id", "turn_index", "text")) == [
+        ("a", 0, "x"), ("a", 1, "y"), ("b", 0, "z2"), ("b", 1, "z3")]
+    assert rows(tables.rejects.read().select("call_id", "reason")) == sorted(
+        [("c", "no metadata"), (None, "unreadable"), (None, "no call id"), ("d", "no turns")], key=repr)
+
+
+def test_model_calls_resume(spark, tmp_path, monkeypatch):
+    from parley.operators import enrichment as N
+
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def complete(texts, models, limits):
+        import uuid
+        if "bad" in texts:
+            raise ValueError("no")
+        for x in texts:
+            (log / uuid.uuid4().hex).write_text(x)
+        return [x.upper() for x in texts]
+
+    def asked():
+        return sorted(f.read_text() for f in log.iterdir())
+    data = [(f"c{i}", 0, "gpt-4", "summary", f"prompt {i % 5}", 100) for i in range(10)] + [("c9", 0, "gpt-3.5", "summary", "bad", 5)]
+    prompts = spark.createDataFrame(data, "call_id string, part long, model string, task string, prompt string, max_tokens long")
+    answers = StoredTable(spark, new_path(spark, "answers"), N.ANSWER)
+    with monkeypatch.context() as m:                         # dies after its first lot
+        real, seen = StoredTable.append, []
+        m.setattr(StoredTable, "append", lambda self, rows, batch: real(self, rows, batch) if not seen.append(1) and len(seen) < 2
+                  else (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            N.resume_model(prompts, complete, answers, 2)
+    got = N.resume_model(prompts, complete, answers, 2)
+    assert {(r.prompt, r.output) for r in got.collect()} == {(f"prompt {i}", f"PROMPT {i}") for i in range(5)} | {("bad", None)}
+    assert got.count() == 11
+    N.resume_model(prompts, complete, answers, 2)
+    assert asked() == [f"prompt {i}" for i in range(5)]       # each was paid for once
+    assert answers.read().count() == 5 == answers.read().select("key").distinct().count()
