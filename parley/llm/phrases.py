@@ -15,8 +15,6 @@ from parley.llm.common import text_of
 
 #: Slots of a signature; a slot holds 1 + the smallest hash modulo 255, or 0 if empty.
 SLOTS = 128
-#: Phrases after which the parser begins a new dictionary, for bounded memory.
-DICTIONARY = 1 << 20
 NONE = np.uint64((1 << 64) - 1)
 
 
@@ -30,11 +28,10 @@ def _minima(phrases, slots: int = SLOTS) -> np.ndarray:
     return least
 
 
-def _parse(text: str, known: set[str], word: str, least: np.ndarray) -> tuple[list[str], str, np.ndarray]:
+def _parse(text: str, known: set[str], word: str) -> tuple[list[str], str]:
     """Cuts a text into phrases, each the longest known one and one character more.
 
-    Returns the phrases added to `known` since its last start, the open phrase, and the
-    minima of dictionaries already closed.
+    Returns the phrases added to `known`, which holds as many as the text needs, and the open phrase.
     """
     added: list[str] = []
     for char in text:
@@ -45,35 +42,24 @@ def _parse(text: str, known: set[str], word: str, least: np.ndarray) -> tuple[li
             known.add(longer)
             added.append(longer)
             word = ""
-            if len(known) >= DICTIONARY:
-                least = np.minimum(least, _minima(added))
-                known.clear()
-                added = []
-    return added, word, least
-
-
-def _empty() -> np.ndarray:
-    return np.full(SLOTS, NONE)
+    return added, word
 
 
 def signature(text: str) -> np.ndarray:
     """The minimum-hash signature of a text's phrase set, one byte per slot."""
-    added, _, least = _parse(text, set(), "", _empty())
-    return _bytes(np.minimum(least, _minima(added)))
+    return _bytes(_minima(_parse(text, set(), "")[0]))
 
 
 def signatures(text: str, keep: int, tail: str) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a text and of its first `keep` characters followed by `tail`.
 
-    The common beginning is parsed once unless a dictionary might be closed on the way.
+    The common beginning is parsed once.
     """
-    if len(text) + len(tail) >= DICTIONARY:
-        return signature(text), signature(text[:keep] + tail)
     known: set[str] = set()
-    begun, word, _ = _parse(text[:keep], known, "", _empty())
+    begun, word = _parse(text[:keep], known, "")
     common, out = _minima(begun), []
     for rest in (text[keep:], tail):
-        added, _, _ = _parse(rest, known, word, common)
+        added, _ = _parse(rest, known, word)
         out.append(_bytes(np.minimum(common, _minima(added))))
         known.difference_update(added)
     return out[0], out[1]
