@@ -12,13 +12,10 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import id_of, in_rows, out_rows, same_and_smallest, text_of, word_blocks
-from parley.llm.components import components
-from parley.plans.workspace import written
+from parley.llm.common import same_and_smallest
 
 WORDS, SIMILARITY, SEED = 5, 0.8, 42
 #: 64-bit words of a fingerprint.
@@ -57,47 +54,6 @@ def bit_sums(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def wide_simhash(text: bytes, words: int = WORDS) -> tuple[np.ndarray, int]:
-    """(majority bits of all shingles' hashes, number of shingles) of a whole text.
-
-    Shingles count as often as they occur.  A text of fewer words is one shingle; one without
-    words has none and zero bits.
-    """
-    tail: list[bytes] = []
-    total, n = np.zeros(64 * PARTS, np.int64), 0
-
-    def add(hashes: list[int]) -> None:
-        nonlocal total, n
-        total += bit_sums(np.array(hashes, "<u8"))
-        n += len(hashes)
-
-    for block in word_blocks(text.lower()):
-        tail += block
-        add([xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(tail[k:] for k in range(words)))])
-        tail = tail[max(0, len(tail) - words + 1):]
-    if not n and tail:
-        add([xxhash.xxh64_intdigest(b" ".join(tail), SEED)])
-    return np.packbits(2 * total > n, bitorder="little").view("<u8"), n
-
-
-def wide_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(d, t, n, w0..w3): each row's doc_id, hash of its text, shingles and fingerprint.
-
-    A null doc_id is the largest number, null text is empty; the words are signed longs.
-    """
-    names = [f"w{k}" for k in range(PARTS)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = [wide_simhash(x.as_py(), words) for x in b.column(2).cast(pa.binary())]
-            bits = np.array([m[0] for m in made], np.uint64).reshape(-1, PARTS).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([m[1] for m in made], pa.int64()),
-                 *(pa.array(bits[:, k].copy()) for k in range(PARTS))], ["d", "t", "n", *names])
-    return docs.select(id_of().alias("d"), F.xxhash64(text_of()).alias("t"), text_of().alias("text")) \
-        .mapInArrow(run, "d long, t long, n long, " + ", ".join(f"{c} long" for c in names))
-
-
 def _size_class(n: Column, similarity: float) -> Column:
     """Numbers of shingles on a logarithmic scale; similar documents differ by STEPS at most."""
     return F.floor(F.log(n) / (log(1 / similarity) / STEPS * (1 + 1e-9))).cast("int")
@@ -196,34 +152,3 @@ def similar_links(classes: DataFrame, similarity: float = SIMILARITY, block: int
         return block_links(left, right, radius, similarity)
 
     return dealt(1).groupBy(*CELL).cogroup(dealt(-1).groupBy(*CELL)).applyInArrow(compare, "a long, b long")
-
-
-def similar_groups(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(d, t, first): for each row the doc_id and text hash of the row that leads its group.
-
-    That is the smallest doc_id, then the smallest hash, reached over links of similar
-    texts.  Null text is empty; texts without words are one group.  A null doc_id is the
-    largest number.  Other columns of docs are not read.  Fingerprints and links go to the
-    shared folder; nothing that grows with the documents passes the driver.  A class is known
-    by a 64-bit hash of its fingerprint and size.
-    """
-    parts = [f"w{k}" for k in range(PARTS)]
-    marked = written(wide_fingerprints(docs, words).withColumn("id", F.xxhash64("n", *parts)), "wide")
-    classes = written(marked.groupBy("id", "n", *parts).agg(F.min(F.struct("d", "t")).alias("first")), "classes")
-    roots = components(similar_links(classes.drop("first"), similarity))
-    rooted = classes.select("id", "first").join(roots.withColumnRenamed("node", "id"), "id", "left") \
-        .select("id", "first", F.coalesce("root", "id").alias("root"))
-    led = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    of_class = written(rooted.drop("first").join(led, "root").select("id", "first"), "leaders")
-    return marked.select("d", "t", "id").join(of_class, "id").select("d", "t", "first")
-
-
-def keep_one(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents, one of each group of similar ones: that with the smallest doc_id.
-
-    Of rows that share it, that with the smallest hash of its text stays; of rows that are
-    equal in both, one.  A null doc_id counts as the largest.  An empty table gives no rows.
-    """
-    rows = in_rows(docs, d=id_of(), t=F.xxhash64(text_of()))
-    led = similar_groups(docs, words, similarity).select("first.d", "first.t").distinct()
-    return out_rows(rows.join(led, ["d", "t"]).dropDuplicates(["d", "t"]), docs.columns)
