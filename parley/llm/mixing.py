@@ -55,6 +55,29 @@ def _chance(d: Column, seed: int) -> Column:
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
+def size_bits(size: Column) -> Column:
+    """The class of a size: its binary digits."""
+    return F.length(F.bin(size))
+
+
+def inclusion_odds(sizes: DataFrame, goals: DataFrame) -> DataFrame:
+    """(source, odds): for each source with a rest, the probability of a document by its size class.
+
+    Longer documents are likelier: a class of b binary digits has min(1, L * b), with L such that the
+    expected words are the rest.  That is one level again, found over the classes of a source,
+    63 at most, from the largest, which reach 1 first.
+    """
+    classes = sizes.groupBy("source", size_bits(F.col("size")).alias("bits")).agg(F.sum("size").alias("words"))
+    rows = _per_source(classes, goals.filter("odds > 0 AND rest > 0").select("source", "rest"))
+    down = Window.partitionBy("source").orderBy(F.desc("bits"))
+    before = F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    after = F.sum(F.col("bits") * F.col("words")).over(down.rowsBetween(0, Window.unboundedFollowing))
+    needs = rows.withColumn("need", F.try_divide(F.col("rest") - before, after))
+    level = F.max(F.when(F.col("need") <= F.lit(1.0) / F.col("bits"), F.col("need"))).over(Window.partitionBy("source"))
+    odds = needs.withColumn("odds", F.least(F.lit(1.0), level * F.col("bits")))
+    return odds.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("bits", "odds"))).alias("odds"))
+
+
 def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST,
              seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """The narrow table (doc_id, source, size, u) and the plan with one row per source.
@@ -70,6 +93,7 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
         .withColumn("odds", F.col("rate") - F.col("whole")) \
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     goals = written(goals, "goals")
+    goals = written(_per_source(goals.drop("odds"), inclusion_odds(sizes, goals), "left"), "odds")
     ranked = _ranked(sizes, goals)
     slices = ranked.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("slice"))
@@ -104,14 +128,16 @@ def _per_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFr
 
 
 def _place(u: Column, odds: Column, d: Column, size: Column) -> Column:
-    """A document's place in the order: its random odds by its inclusion odds."""
-    return F.struct(((u / (1 - u)) / (odds / (1 - odds))).alias("q"), d.alias("d"), size.alias("n"))
+    """A document's place in the order: its random odds by its inclusion odds; certain ones first."""
+    p = F.try_element_at(odds, size_bits(size))
+    q = F.when(p >= 1, F.lit(0.0)).otherwise((u / (1 - u)) / (p / (1 - p)))
+    return F.struct(q.alias("q"), d.alias("d"), size.alias("n"))
 
 
 def _ranked(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     """Documents of sources that have a rest, with their place and its slice."""
     q = F.col("place.q")
-    return (_per_source(sizes, goals.filter("odds > 0").select("source", "odds"))
+    return (_per_source(sizes, goals.filter("odds IS NOT NULL").select("source", "odds"))
             .select("source", "size",
                     _place(F.col("u"), F.col("odds"), id_of(), F.col("size")).alias("place"))
             .withColumn("slice", F.floor(q / (1 + q) * SLICES).cast("int")))
@@ -120,7 +146,7 @@ def _ranked(sizes: DataFrame, goals: DataFrame) -> DataFrame:
 def _copies(u: Column, d: Column, size: Column) -> Column:
     """How often a document is taken, from its source's row of the plan."""
     place = _place(u, F.col("odds"), d, size)
-    sampled = F.when(F.col("odds") <= 0, False).otherwise(
+    sampled = F.when(F.col("odds").isNull(), False).otherwise(
         (place < F.col("last")) | ((place == F.col("last")) & F.col("with_last"))
         | F.coalesce(place == F.col("extra"), F.lit(False)))
     return F.col("whole").cast("int") + F.coalesce(sampled, F.lit(False)).cast("int")
@@ -131,11 +157,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     """(doc_id, size, source_size, target, copies): how often the mix takes each row, whole.
 
     A document's size is its words; null text has none.  Sources get the targets of
-    `source_targets`.  Each document of a source is expected target / source_size times: the
-    whole part of that are certain copies of all its documents; the rest is drawn by Pareto
-    order sampling: documents are ranked by random odds u/(1-u), u a hash of the doc_id,
-    divided by their inclusion odds p/(1-p), and taken from the lowest rank on.  The sample's
-    fixed size is in words: the document that crosses the rest of the target is taken if that
+    `source_targets`.  The whole part of target / source_size are certain copies of all documents of a
+    source; the rest is drawn by Pareto order sampling with unequal probabilities: that of a document grows
+    with the digits of its size (`inclusion_odds`), so that the expected words are the rest.  Documents
+    are ranked by random odds u/(1-u), u a hash of the doc_id, divided by their inclusion odds
+    p/(1-p), those with p = 1 first, and taken from the lowest rank on.  The sample's fixed size is in
+    words: the document that crosses the rest of the target is taken if that
     comes nearer than leaving it out and taking the largest later document that still fits.
     Documents are taken whole, `ceil(most)` times at most.  Rows that repeat a doc_id and size
     share their fate.  Null sources are a source; null doc_ids tie.  An empty table gives none.

@@ -96,14 +96,15 @@ windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1]
             FROM starts JOIN docs USING (doc_id)),
 repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
              FROM windows, range(3) r(k) WHERE n > 1 GROUP BY doc_id),
-lines AS (SELECT doc_id, source, line, count(*) OVER (PARTITION BY doc_id, line) AS n_same,
+lines AS (SELECT doc_id, source, pos, line, count(*) OVER (PARTITION BY doc_id, line) AS n_same,
                  array_to_string({WORDS_SQL.format("line")}, ' ') AS spaced,
                  len({WORDS_SQL.format("line")}) AS n
-          FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM docs)),
-plain AS (SELECT doc_id, source, {LOWER_SQL.format("spaced")} AS h, n FROM lines WHERE n > 0),
+          FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                       unnest(range(len(string_split(text, chr(10))))) AS pos FROM docs)),
+plain AS (SELECT doc_id, source, pos, {LOWER_SQL.format("spaced")} AS h, n FROM lines WHERE n > 0),
 dups AS (SELECT doc_id, sum(n - 1) AS n_dup_lines
          FROM (SELECT doc_id, line, count(*) AS n FROM lines WHERE n > 0 GROUP BY ALL) GROUP BY ALL),
-classes AS (SELECT doc_id, first(h ORDER BY strlen(h) DESC, h DESC) AS class FROM plain GROUP BY ALL),
+classes AS (SELECT doc_id, string_agg(h, chr(10) ORDER BY pos) AS class FROM plain GROUP BY ALL),
 hosts AS (SELECT source, count(*) AS size FROM docs GROUP BY ALL),
 frequent AS (SELECT p.source, h, count(DISTINCT class) AS n
              FROM plain p JOIN classes USING (doc_id) GROUP BY ALL),
@@ -144,8 +145,16 @@ goals AS (SELECT source, source_size, least(cap, (SELECT max(need) FROM levels W
 rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0::DOUBLE END AS rate FROM goals),
 rests AS (SELECT source, source_size, target, floor(rate) AS whole, rate - floor(rate) AS odds,
           target - floor(rate) * source_size AS rest FROM rates),
-ranked AS (SELECT s.*, r.* EXCLUDE (source), (u / (1 - u)) / (odds / (1 - odds)) AS q
-           FROM sizes s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source WHERE odds > 0),
+classes AS (SELECT source, len(bin(size)) AS bits, sum(size)::BIGINT AS words FROM sizes GROUP BY ALL),
+needs AS (SELECT c.source, bits, (rest - coalesce(sum(words) OVER (PARTITION BY c.source ORDER BY bits DESC
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE) / nullif((sum(bits * words) OVER (PARTITION BY c.source
+      ORDER BY bits DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE, 0::DOUBLE) AS need
+   FROM classes c JOIN rests r ON c.source IS NOT DISTINCT FROM r.source WHERE odds > 0 AND rest > 0),
+chances AS (SELECT source, bits, least(1::DOUBLE, max(CASE WHEN need <= 1::DOUBLE / bits THEN need END) OVER (PARTITION BY source)
+      * bits) AS p FROM needs),
+ranked AS (SELECT s.*, r.* EXCLUDE (source), CASE WHEN p >= 1 THEN 0::DOUBLE ELSE (u / (1 - u)) / (p / (1 - p)) END AS q
+           FROM sizes s JOIN rests r ON s.source IS NOT DISTINCT FROM r.source
+           JOIN chances h ON s.source IS NOT DISTINCT FROM h.source AND bits = len(bin(size))),
 summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size) AS upto FROM ranked),
 crossing AS (SELECT source, q AS cq, doc_id AS cd, rest - (upto - size) AS short, upto - rest AS over
              FROM summed WHERE upto - size < rest AND rest <= upto),

@@ -193,6 +193,34 @@ def test_mixing(docs):
         Counter({r.doc_id: r.copies for r in got if r.doc_id is not None and r.copies})
 
 
+def test_inclusion_follows_the_probabilities(docs):
+    """Over seeds, documents of each size class are taken as often as their odds say."""
+    rng = np.random.default_rng(7)
+    sizes = [int(x) for x in 2 ** rng.uniform(0, 9, 400)]
+    table = docs([(k, "w " * n, "a") for k, n in enumerate(sizes)] + [(1000 + k, "w " * 300, "b") for k in range(60)]).cache()
+    of = {n: n.bit_length() for n in sizes}
+    taken, seeds = Counter(), 25
+    for seed in range(seeds):
+        for r in mixing.mix(table, weights=(1.0, 9.0), share=.6, seed=seed).collect():
+            if r.doc_id < 1000:
+                taken[of[r.size]] += r.copies
+                target = r.target
+    assert 0 < target < sum(sizes)
+    words, n = Counter(), Counter()
+    for x in sizes:
+        words[of[x]] += x
+        n[of[x]] += 1
+    low, high = 0.0, 1.0                                   # the level by bisection
+    for _ in range(60):
+        level = (low + high) / 2
+        short = sum(min(1, level * b) * w for b, w in words.items()) < target
+        low, high = (level, high) if short else (low, level)
+    for b in n:
+        p, m = min(1, level * b), n[b] * seeds
+        assert abs(taken[b] / m - p) < .03 + 4 * (p * (1 - p) / m) ** .5, (b, taken[b] / m, p)
+    assert level * max(n) > 2 * level * min(n)              # truly unequal
+
+
 def test_mixing_repeated_rows_and_one_source(docs):
     rows = [(1, "a b c", None)] * 3 + [(2, "a", None)]
     assert all(r.copies in (1, 2) for r in mixing.mix(docs(rows)).collect())
@@ -397,16 +425,33 @@ def test_phrase_fingerprints(docs, odd):
     assert Counter(map(tuple, rows)) == want
 
 
-def test_phrases_by_hand(monkeypatch):
-    assert phrases._parse("aababc", set(), "", phrases._empty())[0] == ["a", "ab", "abc"]
-    monkeypatch.setattr(phrases, "DICTIONARY", 8)
+def test_phrases_by_hand():
+    assert phrases._parse("aababc", set(), "")[0] == ["a", "ab", "abc"]
     text = "the cat sat on the mat and the cat sat"
     assert (phrases.signatures(text, 20, "xyz")[0] == phrases.signature(text)).all()
 
 
+def test_one_dictionary_for_a_long_text():
+    """A text of more than 2^20 phrases: the set equals that of a plain parse."""
+    rng = np.random.default_rng(9)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9000, 2_600_000)))
+    known, word = set(), ""
+    for c in text:
+        word += c
+        if word not in known:
+            known.add(word)
+            word = ""
+    assert len(known) > 1 << 20
+    least = {}
+    for x in known:
+        h = xxhash.xxh64_intdigest(x.encode(), 42)
+        least[h % 128] = min(least.get(h % 128, 1 << 64), h // 128)
+    assert list(phrases.signature(text)) == [least[k] % 255 + 1 if k in least else 0 for k in range(128)]
+
+
 EMPTY = {
     "simhash": lambda d: simhash.near_duplicates(d), "one": lambda d: simhash.keep_one(d),
-    "similar": lambda d: similar.keep_one(d),
+    "alike": lambda d: shingles.keep_one(d),
     "lines": lambda d: lines.dedupe_lines(d), "quality": lambda d: quality.judged(d),
     "good": lambda d: quality.good_documents(d), "mix": lambda d: mixing.mix(d),
     "mixed": lambda d: mixing.mixed_documents(d), "pack": lambda d: packing.pack(d),
@@ -436,89 +481,46 @@ def test_rows_share_of_one_group(docs):
     assert mixing.mix(table).groupBy().agg(F.sum(F.col("size") * F.col("copies"))).first()[0] > 0
 
 
-def wide(text):
-    """The wide fingerprint and the number of shingles, in plain integers."""
-    words = re.findall(r"[^\x20\x09-\x0D]+", text.translate(AZ))
-    shingles = [" ".join(words[k:k + 5]) for k in range(len(words) - 4)] or ([" ".join(words)] if words else [])
-    full, total = (1 << 64) - 1, Counter()
-    for s in shingles:
-        h, bits = xxhash.xxh64_intdigest(s.encode(), 42), 0
-        for k in range(4):
-            z = h
-            if k:
-                z = (h + 0x9E3779B97F4A7C15 * k) & full
-                z = ((z ^ z >> 30) * 0xBF58476D1CE4E5B9) & full
-                z = ((z ^ z >> 27) * 0x94D049BB133111EB) & full
-                z ^= z >> 31
-            bits |= z << 64 * k
-        total.update(k for k in range(256) if bits >> k & 1)
-    return sum(1 << k for k in total if 2 * total[k] > len(shingles)), len(shingles)
-
-
-def wide_groups(texts):
-    """{i: the smallest of its group} by comparing all pairs of texts."""
-    marks = {i: wide(t or "") for i, t in texts.items()}
-    return roots(sorted(texts), [
-        (a, b) for a in texts for b in texts if a < b and (marks[a][0] ^ marks[b][0]).bit_count() <= 51
-        and min(marks[a][1], marks[b][1]) >= .8 * max(marks[a][1], marks[b][1])])
-
-
 def edited(words, share, rng):
     return [f"new{rng.integers(1 << 30)}" if rng.random() < share else w for w in words]
 
 
 @pytest.mark.parametrize("block", [8, 1 << 16])
-def test_similar_documents(spark, docs, block):
+def test_links_of_wide_fingerprints(spark, docs, block):
+    """All pairs within the radius and of like size are joined, whatever the blocks."""
     rng = np.random.default_rng(3)
     texts = []
     for n in (30, 60, 75, 200, 400):
         for _ in range(8):
             own = [f"w{k}" for k in rng.integers(0, 3000, n)]
             texts += [" ".join(edited(own, share, rng)) for share in (0, .01, .03, .1)] + [" ".join(own[:len(own) // 2])]
-    texts += ["", None, "one", "one two", "ONE two", " ".join(["again"] * 50), " ".join(["again"] * 5000)]
-    own = dict(enumerate(texts))
-    want = wide_groups(own)
-    made = similar.wide_fingerprints(docs([(i, t, "s") for i, t in own.items()])).collect()
-    assert {r.d: (sum((r[f"w{k}"] & (1 << 64) - 1) << 64 * k for k in range(4)), r.n) for r in made} == \
-        {i: wide(t or "") for i, t in own.items()}
+    texts += ["one", "one two", "ONE two", " ".join(["again"] * 50), " ".join(["again"] * 5000)]
+    made = shingles.set_fingerprints(docs([(i, t, "s") for i, t in enumerate(texts)])).collect()
+    marks = {r.d: (sum((r[f"w{k}"] & (1 << 64) - 1) << 64 * k for k in range(4)), r.n) for r in made}
+    assert {i: n for i, (_, n) in marks.items()} == {i: len(shingled(t)) for i, t in enumerate(texts)}
     classes = spark.createDataFrame([(r.d, r.n, *(r[f"w{k}"] for k in range(4))) for r in made],
                                     "id long, n long, w0 long, w1 long, w2 long, w3 long")
-    links = [(r.a, r.b) for r in similar.similar_links(classes, block=block).collect()]
-    got = roots(sorted(own), links)
-    assert {i: g for i, g in got.items() if texts[i]} == {i: g for i, g in want.items() if texts[i]}
-    if block > 8:
-        kept = similar.keep_one(docs([(i, t, "s") for i, t in own.items()])).collect()
-        assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+    links = [(r.a, r.b) for r in similar.similar_links(classes, block=block, radius=51).collect()]
+    assert roots(sorted(marks), links) == roots(sorted(marks), [
+        (a, b) for a in marks for b in marks if a < b and (marks[a][0] ^ marks[b][0]).bit_count() <= 51
+        and min(marks[a][1], marks[b][1]) >= .8 * max(marks[a][1], marks[b][1])])
 
 
 def test_copies_with_a_similarity_of_080_are_found(docs):
     """Exact copies, and copies that share 80 percent of the five-word shingles or more."""
     rng = np.random.default_rng(4)
-    rows, pairs, alone = [], 0, 0
+    rows = []
     for g in range(60):
         own = [f"w{k}" for k in rng.integers(0, 20_000, 400)]
-        a = {tuple(own[k:k + 5]) for k in range(len(own) - 4)}
-        rows.append((3 * g, " ".join(own), "s"))
-        rows.append((3 * g + 1, " ".join(own), "s"))
-        while True:
-            copy = edited(own, .02, rng)
-            b = {tuple(copy[k:k + 5]) for k in range(len(copy) - 4)}
-            if len(a & b) >= .8 * len(a | b):
-                break
-        rows.append((3 * g + 2, " ".join(copy), "s"))
-    kept = sorted(r.doc_id for r in similar.keep_one(docs(rows)).collect())
-    assert kept == [3 * g for g in range(60)]
-
-
-def test_similar_rows_of_one_size_and_group(docs, odd):
-    """Half of all rows are near copies of one text; odd rows have a defined result."""
-    rng = np.random.default_rng(5)
-    hot = [f"w{k}" for k in range(300)]
-    rows = [(k, " ".join(edited(hot, .01, rng) if k % 2 else [f"x{v}" for v in rng.integers(0, 1 << 30, 300)]), "s")
-            for k in range(400)]
-    kept = sorted(r.doc_id for r in similar.keep_one(docs(rows)).collect())
-    assert kept == sorted([1, *range(0, 400, 2)])
-    out = similar.keep_one(docs(odd))
+        while len(shingled(" ".join(own)) & shingled(" ".join(copy := edited(own, .02, rng)))) < \
+                .8 * len(shingled(" ".join(own)) | shingled(" ".join(copy))):
+            pass
+        rows += [(3 * g + k, " ".join(t), "s") for k, t in enumerate((own, own, copy))]
+    assert sorted(r.doc_id for r in shingles.keep_one(docs(rows)).collect()) == [3 * g for g in range(60)]
+
+
+def test_odd_rows_without_near_copies(docs, odd):
+    out = shingles.keep_one(docs(odd))
     assert out.columns == docs(odd).columns
     # null, empty and blank texts are one group, as are copies whatever their case
     assert [r.doc_id for r in out.orderBy("doc_id").collect()] == [0, 2, 4, 7, 9, 10, 11]
