@@ -17,7 +17,7 @@ from parley.functions import triage as T
 from parley.functions import vectors as V
 from parley.operators import turns as O
 from parley.operators.search import exploded_counts, keyword_scores
-from parley.plans.ordered import TURN_BLOCK, block_of, dense_position
+from parley.plans.ordered import TURN_BLOCK, dense_position, part_of
 from parley.plans.workspace import written
 
 
@@ -214,9 +214,9 @@ def hierarchical_summary(turns: DataFrame, max_words: int = 1500, per_segment: i
                     .alias("time_range"), F.coalesce("summary", F.lit("")).alias("summary")))
 
 
-def final_summary(segments: DataFrame, part_size: int = 1000) -> DataFrame:
-    """Segment summaries in order, per call and part of `part_size` segments."""
-    packed = segments.groupBy("call_id", block_of("segment_number", part_size).alias("part")).agg(
+def final_summary(segments: DataFrame, part_size: int | None = None) -> DataFrame:
+    """Segment summaries in order, one row per call, or per part of `part_size` segments."""
+    packed = segments.groupBy("call_id", part_of(F.col("segment_number") - 1, part_size).alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("segment_number", "summary"))).alias("l"),
         F.count(F.lit(1)).alias("num_segments"))
     return packed.select("call_id", "part", "num_segments", F.array_join(
