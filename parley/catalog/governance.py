@@ -9,6 +9,7 @@ from parley.catalog import turns as TU
 from parley.catalog.base import query
 from parley.catalog.sql_views import lit, r, sql
 from parley.operators import governance as G
+from parley.operators import languages as LG
 from parley.operators import questions as Q
 
 KEY = ["call_id", "turn_index"]
@@ -135,3 +136,39 @@ def language_split(t):
 @query(sql(f"""SELECT detected, count(*) AS n_docs, count(*) FILTER (WHERE lang = detected) AS n_right FROM ({_language_sql()}) GROUP BY 1"""))
 def language_report(t):
     return G.language_report(G.language_split(t.table("documents")))
+
+
+_LETTERS = "trim(regexp_replace(lower(text), '[^\\p{L}]+', ' ', 'g'))"
+_GRAMS = f"""SELECT doc_id, lang, unnest(list_concat(regexp_extract_all(p, '...'), regexp_extract_all(p[2:], '...'), regexp_extract_all(p[3:], '...')))
+  AS gram FROM (SELECT doc_id, lang, CASE WHEN t = '' THEN '' ELSE concat(' ', t, ' ') END AS p FROM (SELECT doc_id, lang, {_LETTERS} AS t FROM documents))"""
+_SCORED = f"""WITH grams AS ({_GRAMS}),
+ sample AS (SELECT doc_id FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) <= {LG.TEXTS_PER_LANGUAGE}),
+ counts AS (SELECT lang, gram, count(*) AS n FROM grams WHERE doc_id IN (SELECT doc_id FROM sample) GROUP BY ALL),
+ known AS (SELECT DISTINCT gram FROM (SELECT gram FROM counts
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= {LG.GRAMS_PER_LANGUAGE})),
+ totals AS (SELECT lang AS l, sum(n) + (SELECT count(*) FROM known) AS total FROM counts WHERE gram IN (SELECT gram FROM known) GROUP BY 1),
+ model AS (SELECT k.gram, l, ln((coalesce(n, 0) + 1) / total) AS p FROM known k JOIN totals ON TRUE LEFT JOIN counts c ON c.gram = k.gram AND c.lang = l),
+ per_doc AS (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY ALL),
+ sums AS (SELECT doc_id, l, sum(n * p) AS s, sum(n)::BIGINT AS n_known FROM per_doc JOIN model USING (gram) GROUP BY ALL),
+ best AS (SELECT doc_id, first(l ORDER BY s DESC, l) AS l, max(n_known) AS n_known, list(s ORDER BY s DESC) AS ss FROM sums GROUP BY 1),
+ scored AS (SELECT d.doc_id, d.lang, coalesce(g.n, 0)::BIGINT AS n_grams, coalesce(n_known, 0)::BIGINT AS n_known,
+  CASE WHEN n_known >= {LG.MIN_KNOWN}::DOUBLE * g.n AND (len(ss) = 1 OR (ss[1] - ss[2]) / n_known >= {LG.MIN_LEAD}::DOUBLE) THEN l ELSE '{LG.UNKNOWN}' END AS language
+  FROM documents d LEFT JOIN (SELECT doc_id, sum(n) AS n FROM per_doc GROUP BY 1) g USING (doc_id) LEFT JOIN best USING (doc_id))"""
+
+
+def _scored(t):
+    docs = t.table("documents")
+    return LG.score(docs, LG.fit(docs)).join(docs.select("doc_id", "lang"), "doc_id")
+
+
+@query(sql(f"{_SCORED} SELECT doc_id, lang, n_grams, n_known, language FROM scored"))
+def language_ngrams(t):
+    """Languages by a model of three-letter grams, with an unknown class."""
+    return _scored(t).select("doc_id", "lang", "n_grams", "n_known", "language")
+
+
+@query(sql(f"""{_SCORED} SELECT lang, count(*) AS n_docs, count(*) FILTER (WHERE language = lang) AS n_right,
+ count(*) FILTER (WHERE language = '{LG.UNKNOWN}') AS n_unknown FROM scored GROUP BY 1"""))
+def language_ngram_accuracy(t):
+    return LG.accuracy(_scored(t))

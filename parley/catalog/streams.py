@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from parley import constants as K
 from parley.catalog.base import query
 from parley.catalog.sql_views import case_map, level_sql, r, sql, view
+from parley.operators import governance as G
+from parley.operators import sketches as X
 from parley.plans.workspace import new_path
 from parley.sources import transcripts as S
 from parley.sources.views import as_query_log
@@ -150,3 +152,97 @@ def volume_spikes(t):
     return R.volume_spikes(rows, "call_timestamp", "overall_intent")
 
 
+_CLOSED = """SELECT call_id FROM timed GROUP BY call_id
+ HAVING max(event_time) + INTERVAL '5' MINUTE <= (SELECT max(event_time) FROM timed) - INTERVAL '10' MINUTE"""
+
+
+@query(sql(f"""SELECT call_id, overall_intent, overall_sentiment, overall_importance, {r('importance_score')} AS importance_score,
+ {r('weighted_score')} AS weighted_score, requires_enrichment, enrichment_reason, total_segments::BIGINT AS total_segments,
+ high_priority_segments::BIGINT AS high_priority_segments FROM pc WHERE call_id IN ({_CLOSED})""", "timed", "pc"))
+def stream_calls(t):
+    """Closed calls with every column of the batch roll-up."""
+    return R.run_to_table(R.stream_calls(_turn_stream(t)), "stream-calls")
+
+
+@query(sql(f"""SELECT call_id, count(*) AS n_received, count(*) AS n_rolled, 0::BIGINT AS n_late FROM timed
+WHERE call_id IN ({_CLOSED}) GROUP BY 1""", "timed"))
+def stream_late_turns(t):
+    """Turns that came too late for their call; in time order none does."""
+    return R.late_turns(t.turns, R.run_to_table(R.stream_calls(_turn_stream(t)), "stream-calls"))
+
+
+@query(sql("""SELECT * FROM (WITH mark AS (SELECT max(event_time) - INTERVAL '10' MINUTE AS mark FROM timed),
+ cut AS (SELECT call_id, event_time, is_critical, event_time - lag(event_time) OVER (PARTITION BY call_id ORDER BY event_time)
+  >= INTERVAL '5' MINUTE AS fresh FROM timed),
+ sess AS (SELECT *, count(*) FILTER (WHERE fresh) OVER (PARTITION BY call_id ORDER BY event_time RANGE UNBOUNDED PRECEDING) AS s FROM cut),
+ spans AS (SELECT call_id, s, min(event_time) AS started, max(event_time) + INTERVAL '5' MINUTE AS ended FROM sess GROUP BY ALL),
+ edges AS (SELECT *, unnest(generate_series(1, ceil(epoch(ended - started) / 600)::BIGINT)) AS part FROM spans),
+ due AS (SELECT call_id, s, started, part, least(started + part * INTERVAL '10' MINUTE, ended) AS until,
+  started + part * INTERVAL '10' MINUTE >= ended AS is_final FROM edges)
+SELECT call_id, started::TIMESTAMP AS started, part, until::TIMESTAMP AS until, count(*) AS n_turns,
+ count(*) FILTER (WHERE is_critical) AS n_critical, is_final FROM due JOIN sess USING (call_id, s), mark
+WHERE until < mark AND event_time < until GROUP BY ALL)""", "timed"))
+def live_summaries(t):
+    return R.run_to_table(R.live_summaries(_turn_stream(t)), "live-summaries")
+
+
+def _operations(events):
+    """Events as a log of operations; cheap questions without an error are cache hits."""
+    return as_query_log(events).withColumn("cost", F.col("latency_ms") / 10).withColumn(
+        "latency_ms", F.col("latency_ms") * 50).withColumn("cache_hit", (F.col("mode") == "cheap") & ~F.col("is_error"))
+
+
+_HITS = "count(*) FILTER (WHERE mode = 'cheap' AND NOT is_error) / count(*)"
+
+
+@query(sql(f"""SELECT hour, unnest([x FOR x IN [CASE WHEN e > 0.05::DOUBLE THEN 'HighErrorRate' END, CASE WHEN p > 10::DOUBLE THEN 'HighLatency' END,
+ CASE WHEN c > 100::DOUBLE THEN 'CostSpike' END, CASE WHEN h < 0.3::DOUBLE THEN 'LowCacheHitRate' END,
+ CASE WHEN r > 0.25::DOUBLE THEN 'HighEnrichmentRate' END] IF x IS NOT NULL]) AS alert FROM (
+ SELECT date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) FILTER (WHERE is_error) / count(*) AS e,
+  min(latency_ms) FILTER (WHERE rn >= 0.99::DOUBLE * n) * 50 / 1000.0::DOUBLE AS p, sum((latency_ms / 10)::DECIMAL(20, 9))::DOUBLE AS c,
+  {_HITS} AS h, count(*) FILTER (WHERE mode = 'deep') / count(*) AS r
+ FROM (SELECT *, row_number() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY latency_ms) AS rn,
+  count(*) OVER (PARTITION BY date_trunc('hour', ts)) AS n FROM query_log) GROUP BY 1)""", "query_log"))
+def stream_operation_alerts(t):
+    """All five alerts, hour by hour of a stream (the p99 is exact up to 800 operations an hour)."""
+    return G.alert_rules(R.run_latest(X.stream_hours(_operations(_event_stream(t))), "operations", ["hour"]))
+
+
+def _kept_log(t):
+    """The operation log in two batches, the second delivered twice, then compacted."""
+    log, kept = _operations(t.table("events")), X.OperationLog(t.spark, new_path(t.spark, "operations"))
+    early = F.col("ts") < F.lit("2024-01-15 12:30:00").cast("timestamp_ntz")
+    for batch, rows in (("early", log.filter(early)), ("late", log.filter(~early)), ("late", log.filter(~early))):
+        kept.add(rows, batch)
+    kept.compact("all")
+    return log, kept
+
+
+@query(sql(f"""SELECT date_trunc('day', ts)::TIMESTAMP AS span, count(*) AS n, {r('count(*) FILTER (WHERE is_error) / count(*)')} AS error_rate,
+ {r(_HITS)} AS cache_hit_rate, {r("count(*) FILTER (WHERE mode = 'deep') / count(*)")} AS enrichment_rate,
+ {r('sum((latency_ms / 10)::DECIMAL(20, 9))::DOUBLE')} AS cost, TRUE AS p50_ok, TRUE AS p95_ok, TRUE AS p99_ok FROM query_log GROUP BY 1""",
+           "query_log"))
+def latency_sketch_days(t):
+    """Days merged from sketched hours; quantiles hold to twice the stated rank error against the whole log."""
+    log, kept = _kept_log(t)
+    days = kept.spans("day")
+    off = X.quantile_errors(days, log, "day")
+    return days.join(off, "span").select(
+        "span", "n", "error_rate", "cache_hit_rate", "enrichment_rate", "cost",
+        *[(F.col(f"{p}_error") <= F.lit(2 * X.rank_error())).alias(f"{p}_ok") for p, _ in X.QUANTILES])
+
+
+@query(sql("""SELECT date_trunc('week', ts)::TIMESTAMP AS span, count(*) AS n, TRUE AS within FROM query_log GROUP BY 1""", "query_log"))
+def distinct_users_weeks(t):
+    """Distinct users per week from the hours' sketches, held to three standard errors."""
+    log, kept = _kept_log(t)
+    exact = log.groupBy(F.date_trunc("week", "ts").cast("timestamp_ntz").alias("span")).agg(
+        F.countDistinct("user_id").alias("exact"))
+    return kept.spans("week").join(exact, "span").select("span", "n", (F.abs(F.col("n_users") - F.col("exact")) <= F.greatest(
+        F.lit(1.0), F.lit(3 * X.user_error()) * F.col("exact"))).alias("within"))
+
+
+@query()
+def operation_months(t):
+    """Quantiles, rates, cost and users per month and mode, from sketches."""
+    return _kept_log(t)[1].spans("month", "mode")

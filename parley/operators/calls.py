@@ -63,8 +63,8 @@ def _label(code: Column, labels) -> Column:
     return F.get(F.array(*map(F.lit, labels)), (code % 256 - 1).cast("int"))
 
 
-def roll_up_calls(segments: DataFrame) -> DataFrame:
-    """One row per call: level, overall intent and sentiment, triage decision.
+def roll_up_calls(segments: DataFrame, *also: Column) -> DataFrame:
+    """One row per call (and `also`, such as a session): level, overall intent and sentiment, triage decision.
 
     Everything is a sum or a maximum of whole numbers: the turns of a call are
     combined per task before the shuffle, and the result does not depend on
@@ -72,7 +72,7 @@ def roll_up_calls(segments: DataFrame) -> DataFrame:
     """
     speaker, score = F.lower("speaker"), micro(F.col("importance_score"))
     side = lambda who: F.when(speaker == who, score)
-    calls = segments.groupBy("call_id").agg(
+    calls = segments.groupBy("call_id", *also).agg(
         F.max(_worst(T.intent_severity(F.col("intent")), F.col("intent"), K.INTENTS)).alias("i"),
         F.max(_worst(T.sentiment_severity(F.col("sentiment")), F.col("sentiment"), K.SENTIMENTS))
         .alias("s"),

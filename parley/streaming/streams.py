@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from parley import constants as K
-from parley.operators.calls import micro, weighted_score, analyze_segments, requires_enrichment
+from parley.operators.calls import (
+    analyze_segments, micro, requires_enrichment, roll_up_calls, weighted_score)
 from parley.functions import triage as T
 from parley.plans.workspace import new_path
 from parley.sources.stored import StoredTable
@@ -165,6 +166,25 @@ def stream_call_rollup(turns: DataFrame, ts: str = "event_time", gap: str = "5 m
         .alias("requires_enrichment"))
 
 
+def stream_calls(turns: DataFrame, ts: str = "event_time", gap: str = "5 minutes",
+                 delay: str = "10 minutes") -> DataFrame:
+    """Every column of the batch roll-up for each call that has been silent for `gap`."""
+    scored = analyze_segments_with(turns, ts).withWatermark(ts, delay)
+    return roll_up_calls(scored, F.session_window(ts, gap).alias("w"))
+
+
+def late_turns(received: DataFrame, rolled: DataFrame) -> DataFrame:
+    """Turns that were received but came too late for the roll-up of their call, which is closed.
+
+    Compares the turns as they were ingested with the numbers that the stream rolled up; calls that
+    are still open have no row, closed ones without late turns 0.
+    """
+    got = received.groupBy("call_id").agg(F.count(F.lit(1)).alias("n_received"))
+    closed = rolled.groupBy("call_id").agg(F.sum("total_segments").alias("n_rolled"))
+    return closed.join(got, "call_id").select(
+        "call_id", "n_received", "n_rolled", (F.col("n_received") - F.col("n_rolled")).alias("n_late"))
+
+
 def analyze_segments_with(turns: DataFrame, *extra: str) -> DataFrame:
     """Turn scoring that carries further columns along."""
     text = F.col("text")
@@ -252,6 +272,84 @@ def progressive_summary_final(turns: DataFrame, ts: str = "event_time",
         GroupStateTimeout.EventTimeTimeout)
 
 
+LIVE = ("call_id string, started timestamp, part long, until timestamp, n_turns long, n_critical long, "
+        "is_final boolean")
+LIVE_STATE = "started long, last long, n long, critical long, part long, waiting array<long>"
+
+
+def advance_call(state: tuple, fresh: list[int], mark: int, every: int, gap: int) -> tuple[tuple, list[tuple]]:
+    """Moves one call on to the watermark; times are whole microseconds.
+
+    `state` is (started, last, n, critical, part, waiting): the sums of the open session's turns up to
+    the watermark, and later turns as 2 * time + critical.  Returns the new state and rows (started,
+    part, until, n, critical, is_final) for every boundary and end that lies before the watermark.
+    """
+    started, last, n, critical, part, waiting = state
+    rows, waiting = [], sorted([*waiting, *fresh])
+
+    def close(limit):
+        nonlocal n, critical, part
+        end = last + gap
+        while n and (edge := started + (part + 1) * every) < end and edge < limit:
+            part += 1
+            rows.append((started, part, edge, n, critical, False))
+        if n and end < limit:
+            rows.append((started, part + 1, end, n, critical, True))
+            n = critical = part = 0
+
+    settled = 0
+    for code in waiting:
+        at, is_critical = divmod(code, 2)
+        if at > mark:
+            break
+        close(at + 1)                       # a turn at an edge or an end belongs behind it
+        started = started if n else at
+        last, n, critical, settled = at, n + 1, critical + is_critical, settled + 1
+    close(mark)
+    return (started, last, n, critical, part, waiting[settled:]), rows
+
+
+def live_summaries(turns: DataFrame, ts: str = "event_time", every_seconds: int = 600, gap_seconds: int = 300,
+                   delay: str = "10 minutes") -> DataFrame:
+    """Counts of a live call at every ten minutes of its own time, then once more when it ends.
+
+    A session begins with a turn and ends `gap_seconds` behind its last one.  A row is emitted when the
+    watermark passes its `until`, and holds the turns before that, so the rows depend on the turns alone,
+    not on how they fell into micro-batches.  The state of a call is five numbers and its turns since
+    the watermark; turns that the watermark refuses are left out, turns without a time too.
+    """
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    every, gap = every_seconds * 1_000_000, gap_seconds * 1_000_000
+    names = [c.split()[0] for c in LIVE.split(", ")]
+    scored = analyze_segments_with(turns, ts).withWatermark(ts, delay).filter(F.col(ts).isNotNull()).select(
+        "call_id", F.col(ts), (F.unix_micros(ts) * 2 + F.col("is_critical").cast("long")).alias("code"))
+
+    def step(key, batches: Iterator, state: GroupState):
+        import pandas as pd
+        fresh = [] if state.hasTimedOut else [int(x) for pdf in batches for x in pdf["code"]]
+        old = state.get if state.exists else (0, 0, 0, 0, 0, [])
+        mark = state.getCurrentWatermarkMs()
+        new, rows = advance_call((*old[:5], list(old[5] or [])), fresh, mark * 1000, every, gap)
+        started, last, n, _, part, waiting = new
+        if n or waiting:
+            edge = min(started + (part + 1) * every, last + gap) if n else waiting[0] // 2
+            state.update(new)
+            # a timer fires behind its millisecond, and can't be set at the watermark
+            state.setTimeoutTimestamp(max(edge // 1000, mark + 1))
+        elif state.exists:
+            state.remove()
+        if not rows:
+            return
+        out = pd.DataFrame([(key[0], *r) for r in rows], columns=names)
+        for c in ("started", "until"):
+            out[c] = pd.to_datetime(out[c].astype("int64"), unit="us", utc=True)
+        yield out
+
+    return scored.groupBy("call_id").applyInPandasWithState(
+        step, LIVE, LIVE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
 # --- spikes (batch over windowed counts) ------------------------------------
 def volume_spikes(rows: DataFrame, ts: str, label: str, sigmas: float = 2.0, back: int = 7,
                   unit: str = "day") -> DataFrame:
