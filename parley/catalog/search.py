@@ -8,6 +8,7 @@ from parley.catalog import turns as TU
 from parley.catalog.base import query
 from parley.catalog.scalars import label_centroids
 from parley.catalog.sql_views import r, sql, view
+from parley.operators import quantized as Z
 from parley.operators import search as S
 from parley.operators.postings import TextIndex
 from parley.plans.workspace import new_path
@@ -211,6 +212,27 @@ def ann_search(t):
                         "embedding")
 
 
+def _quantized(t):
+    """Every vector whose id is divisible by 50 asks all vectors."""
+    vectors = t.table("embeddings")
+    asked = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("asked"))
+    return vectors, asked, Z.QuantizedIndex(vectors, "vec_id", "embedding").search(asked, "qid", "asked")
+
+
+@query()
+def ann_quantized(t):
+    return _quantized(t)[2]
+
+
+@query(sql("SELECT count(*) AS n_queries, TRUE AS recall_ok FROM embeddings WHERE vec_id % 50 = 0 AND embedding IS NOT NULL"))
+def ann_quantized_recall(t):
+    """Whether at least nine of ten exact neighbours are found through the codes."""
+    vectors, asked, found = _quantized(t)
+    exact = S.vector_search(asked, "qid", "asked", vectors, "vec_id", "embedding")
+    both = exact.join(found.withColumn("hit", F.lit(1)).select("qid", "vec_id", "hit"), ["qid", "vec_id"], "left")
+    return both.agg(F.countDistinct("qid").alias("n_queries"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_ok"))
+
+
 @query(sql("""SELECT 'embedding_sentence-transformers' AS model, count(*) AS num_texts, count(*) * 100 AS total_tokens,
  round(count(*) * 100 / 1000.0::DOUBLE * 0.00002::DOUBLE, 6) AS cost_usd FROM seg""", "seg"))
 def embedding_cost(t):

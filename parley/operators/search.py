@@ -268,8 +268,8 @@ def vector_search(queries: DataFrame, query_id: str, query_vec: str, vectors: Da
     return rank_results(local, [query_id], "score", doc_id, k)
 
 
-def _bounded_best(q, d, schema, k):
-    """Queries fit a checked bound: one matrix, sent with the task."""
+def _bounded_best(q, d, schema, k, read=_matrix):
+    """Queries fit a checked bound: one matrix, sent with the task.  `read` turns a column into vectors."""
     import numpy as np
     rows = q.collect()                                    # at most MAX_BROADCAST_QUERIES
     names = schema.names
@@ -282,13 +282,13 @@ def _bounded_best(q, d, schema, k):
         leaders = _Leaders(qids, qmatrix, k)
         for pdf in batches:
             if len(pdf):
-                leaders.add(pdf["did"].to_numpy(), _matrix(pdf["dvec"]))
+                leaders.add(pdf["did"].to_numpy(), read(pdf["dvec"]))
         yield from leaders.frames(names)
 
     return d.mapInPandas(best, schema)
 
 
-def _blocked_best(q, d, schema, k):
+def _blocked_best(q, d, schema, k, read=_matrix):
     """Any number of queries: blocks of documents meet blocks of queries of the same list.
 
     q: (qid, qvec, list), d: (did, dvec, list).  A group is at most about DOC_BLOCK documents
@@ -310,7 +310,7 @@ def _blocked_best(q, d, schema, k):
         if not len(left) or not len(right):
             return pd.DataFrame(columns=names)
         leaders = _Leaders(list(right["qid"]), _matrix(right["qvec"]), k)
-        leaders.add(left["did"].to_numpy(), _matrix(left["dvec"]))
+        leaders.add(left["did"].to_numpy(), read(left["dvec"]))
         return pd.concat(leaders.frames(names), ignore_index=True)
 
     keys = ["list", "db", "qb"]
