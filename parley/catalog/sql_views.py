@@ -160,6 +160,15 @@ FROM (SELECT *, {score_sql()} AS importance_score
 _ISEV = case_map("intent", K.INTENT_SEVERITY, "0")
 _SSEV = case_map("sentiment", K.SENTIMENT_SEVERITY, "0")
 
+
+
+def exact_total(x: str, where: str = "TRUE") -> str:
+    """Sum of doubles in [0, 1], rounded once: their upper and lower bits are added apart, both without error."""
+    up = "1073741824::DOUBLE"
+    high = f"floor({x} * {up})"
+    return (f"(sum({high}) FILTER (WHERE {where}) + sum({x} * {up} * {up} - {high} * {up}) FILTER (WHERE {where}) / {up}) / {up}")
+
+
 view("pc", f"""SELECT *, CASE WHEN requires_enrichment THEN CASE
   WHEN overall_importance = 'critical' THEN 'Critical importance score'
   WHEN overall_intent = 'complaint' THEN 'Complaint detected'
@@ -168,15 +177,15 @@ view("pc", f"""SELECT *, CASE WHEN requires_enrichment THEN CASE
 FROM (SELECT *, overall_importance IN ('critical', 'high') OR high_priority_segments >= 2 AS requires_enrichment
  FROM (SELECT *, {level_sql('weighted_score')} AS overall_importance
   FROM (SELECT call_id, overall_intent, overall_sentiment, total_segments, high_priority_segments,
-   s / total_segments / 1000000 AS importance_score,
-   round(coalesce(c / nc, 0) / 1000000 * 0.7::DOUBLE + coalesce(a / na, 0) / 1000000 * 0.3::DOUBLE, 6) AS weighted_score
+   s / total_segments AS importance_score,
+   coalesce(c / nc, 0) * 0.7::DOUBLE + coalesce(a / na, 0) * 0.3::DOUBLE AS weighted_score
    FROM (SELECT call_id, first(intent ORDER BY {_ISEV} DESC, turn_index) AS overall_intent,
      first(sentiment ORDER BY {_SSEV} DESC, turn_index) AS overall_sentiment,
      count(*) AS total_segments, count(*) FILTER (WHERE is_critical) AS high_priority_segments,
-     sum(round(importance_score * 1000000)) AS s,
-     sum(round(importance_score * 1000000)) FILTER (WHERE lower(speaker) = 'customer') AS c,
+     {exact_total('importance_score')} AS s,
+     {exact_total('importance_score', "lower(speaker) = 'customer'")} AS c,
      nullif(count(*) FILTER (WHERE lower(speaker) = 'customer'), 0) AS nc,
-     sum(round(importance_score * 1000000)) FILTER (WHERE lower(speaker) = 'agent') AS a,
+     {exact_total('importance_score', "lower(speaker) = 'agent'")} AS a,
      nullif(count(*) FILTER (WHERE lower(speaker) = 'agent'), 0) AS na
      FROM seg GROUP BY call_id))))""", "seg")
 

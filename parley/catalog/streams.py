@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from parley import constants as K
 from parley.catalog.base import query
-from parley.catalog.sql_views import case_map, level_sql, r, sql, view
+from parley.catalog.sql_views import case_map, exact_total, level_sql, r, sql, view
 from parley.operators import governance as G
 from parley.operators import sketches as X
 from parley.plans.workspace import new_path
@@ -76,13 +76,13 @@ def stream_triage(t):
 _ISEV = case_map("intent", K.INTENT_SEVERITY, "0")
 
 
-@query(sql(f"""SELECT *, overall_importance IN ('critical', 'high') OR high_priority_segments >= 2 AS requires_enrichment FROM (
+@query(sql(f"""SELECT * REPLACE ({r('weighted_score')} AS weighted_score), overall_importance IN ('critical', 'high') OR high_priority_segments >= 2 AS requires_enrichment FROM (
  SELECT *, {level_sql('weighted_score')} AS overall_importance FROM (SELECT call_id, total_segments, high_priority_segments, overall_intent,
-  round(coalesce(c / nc, 0) / 1000000 * 0.7::DOUBLE + coalesce(a / na, 0) / 1000000 * 0.3::DOUBLE, 6) AS weighted_score FROM (
+  coalesce(c / nc, 0) * 0.7::DOUBLE + coalesce(a / na, 0) * 0.3::DOUBLE AS weighted_score FROM (
   SELECT call_id, count(*) AS total_segments, count(*) FILTER (WHERE is_critical) AS high_priority_segments,
    first(intent ORDER BY {_ISEV} DESC, turn_index) AS overall_intent,
-   sum(round(importance_score * 1000000)) FILTER (WHERE speaker = 'customer') AS c, nullif(count(*) FILTER (WHERE speaker = 'customer'), 0) AS nc,
-   sum(round(importance_score * 1000000)) FILTER (WHERE speaker = 'agent') AS a, nullif(count(*) FILTER (WHERE speaker = 'agent'), 0) AS na
+   {exact_total('importance_score', "speaker = 'customer'")} AS c, nullif(count(*) FILTER (WHERE speaker = 'customer'), 0) AS nc,
+   {exact_total('importance_score', "speaker = 'agent'")} AS a, nullif(count(*) FILTER (WHERE speaker = 'agent'), 0) AS na
   FROM timed GROUP BY call_id HAVING max(event_time) + INTERVAL '5' MINUTE <= (SELECT max(event_time) FROM timed) - INTERVAL '10' MINUTE)))""",
            "timed"))
 def stream_call_rollup(t):

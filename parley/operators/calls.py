@@ -44,12 +44,24 @@ def micro(score: Column) -> Column:
     return F.round(score * 1_000_000).cast("bigint")
 
 
+def units(score: Column) -> Column:
+    """A score in [0, 1] as whole units of 2^-60, which doubles from 2^-8 on are made of.
+
+    Sums of units are exact in any order and at any length; `mean_score` rounds once.
+    """
+    return (score * F.lit(2.0 ** 60)).cast("bigint").cast("decimal(20,0)")
+
+
+def mean_score(total: Column, n: Column) -> Column:
+    """The mean of scores from their sum in `units`; NULL without scores."""
+    return F.try_divide(total.cast("double") / F.lit(2.0 ** 60), n)
+
+
 def weighted_score(customer: Column, n_customer: Column, agent: Column,
                    n_agent: Column) -> Column:
-    """The two sides' mean scores by their shares, from sums of millionths."""
-    mean = lambda total, n: F.coalesce(F.try_divide(total, n), F.lit(0.0)) / 1_000_000.0
-    return F.round(mean(customer, n_customer) * F.lit(K.CUSTOMER_SHARE)
-                   + mean(agent, n_agent) * F.lit(K.AGENT_SHARE), 6)
+    """The two sides' mean scores by their shares, from sums of units; not rounded, as levels are compared with it."""
+    mean = lambda total, n: F.coalesce(mean_score(total, n), F.lit(0.0))
+    return mean(customer, n_customer) * F.lit(K.CUSTOMER_SHARE) + mean(agent, n_agent) * F.lit(K.AGENT_SHARE)
 
 
 def _worst(severity: Column, label: Column, labels) -> Column:
@@ -70,7 +82,7 @@ def roll_up_calls(segments: DataFrame, *also: Column) -> DataFrame:
     combined per task before the shuffle, and the result does not depend on
     their order or number.  The stream uses the same arithmetic.
     """
-    speaker, score = F.lower("speaker"), micro(F.col("importance_score"))
+    speaker, score = F.lower("speaker"), units(F.col("importance_score"))
     side = lambda who: F.when(speaker == who, score)
     calls = segments.groupBy("call_id", *also).agg(
         F.max(_worst(T.intent_severity(F.col("intent")), F.col("intent"), K.INTENTS)).alias("i"),
@@ -89,7 +101,7 @@ def roll_up_calls(segments: DataFrame, *also: Column) -> DataFrame:
         F.col("overall_importance"), F.col("n_critical")))
     return calls.select(
         "call_id", "overall_intent", "overall_sentiment", "overall_importance",
-        (F.col("all") / F.col("n_all") / 1_000_000.0).alias("importance_score"),
+        mean_score(F.col("all"), F.col("n_all")).alias("importance_score"),
         "weighted_score", "requires_enrichment",
         enrichment_reason(F.col("overall_importance"), F.col("overall_intent"),
                           F.col("n_critical")).alias("enrichment_reason"),

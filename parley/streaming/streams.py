@@ -14,7 +14,7 @@ from pyspark.sql import types as ST
 
 from parley import constants as K
 from parley.operators.calls import (
-    analyze_segments, micro, requires_enrichment, roll_up_calls, weighted_score)
+    analyze_segments, requires_enrichment, roll_up_calls, units, weighted_score)
 from parley.functions import triage as T
 from parley.plans.workspace import new_path
 from parley.sources.stored import StoredTable
@@ -141,11 +141,11 @@ def stream_call_rollup(turns: DataFrame, ts: str = "event_time", gap: str = "5 m
                        delay: str = "10 minutes") -> DataFrame:
     """Roll up a call once it has been silent for `gap`.
 
-    Scores are summed in micro-units, so the state is a handful of integers per
+    Scores are summed in whole units, so the state is a handful of integers per
     open call and the order of arrival does not matter.
     """
     scored = analyze_segments_with(turns, ts)
-    speaker, score = F.lower("speaker"), micro(F.col("importance_score"))
+    speaker, score = F.lower("speaker"), units(F.col("importance_score"))
     side = lambda who: F.when(speaker == who, score)
     rolled = (scored.withWatermark(ts, delay)
               .groupBy("call_id", F.session_window(ts, gap).alias("w"))
