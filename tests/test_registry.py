@@ -16,7 +16,9 @@ query_calls related_calls previous_calls_30d evaluate_thresholds upsert_calls sc
 assemble_transcript remove_repetitions_lag speaker_runs extractive_select topic_label
 noise_filter_full turn_salience_multi extractive_summary_tight rouge_2 hybrid_search rrf_search
 assemble_enrichment answer_analytics_questions dedupe_queries answer_table metric_counters
-alert_rules language_report stream_call_rollup stream_volume_sliding volume_spikes""".split()
+alert_rules language_report stream_call_rollup stream_volume_sliding volume_spikes
+language_ngrams latency_sketch_days distinct_users_weeks stream_operation_alerts stream_calls live_summaries
+ann_quantized_recall""".split()
 NAMES = [n for n, e in REGISTRY.items() if e.sql] if os.environ.get("PARLEY_ALL") else DEFAULT
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
