@@ -152,6 +152,41 @@ def volume_spikes(t):
     return R.volume_spikes(rows, "call_timestamp", "overall_intent")
 
 
+def _calendar_sql(closed=""):
+    """Spikes per product among all days from its first to its last, days without calls as zeros."""
+    return f"""SELECT series, period, n_rows, {r('mean')} AS mean, {r('sqrt(greatest(sq - mean * mean, 0))')} AS spread, dominant FROM (
+ SELECT *, count(*) OVER w AS nb, sum(n_rows) OVER w / 7 AS mean, sum(n_rows * n_rows) OVER w / 7 AS sq FROM (
+  SELECT series, period, coalesce(n_rows, 0)::BIGINT AS n_rows, dominant
+  FROM (SELECT series, unnest(generate_series(min(period), max(period), INTERVAL '1' DAY)) AS period FROM per_day GROUP BY 1) LEFT JOIN per_day USING (series, period))
+ WINDOW w AS (PARTITION BY series ORDER BY period ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+WHERE nb >= 7 AND n_rows > mean + 2 * sqrt(greatest(sq - mean * mean, 0)){closed}"""
+
+
+view("per_day", """SELECT series, period, sum(n)::BIGINT AS n_rows, first(label ORDER BY n DESC, label) AS dominant FROM (
+ SELECT product AS series, date_trunc('day', call_timestamp)::TIMESTAMP AS period, overall_intent AS label, count(*) AS n
+ FROM both_calls GROUP BY ALL) GROUP BY 1, 2""", "both_calls")
+
+
+def _scored_calls(t):
+    return t.calls.join(t.pc.select("call_id", "overall_intent"), "call_id").select(
+        F.col("call_timestamp").cast("timestamp").alias("at"), "product", "overall_intent")
+
+
+@query(sql(_calendar_sql(), "per_day"))
+def calendar_spikes(t):
+    """Days with far more calls on a product than its last seven, days without calls included."""
+    return R.calendar_spikes(_scored_calls(t), "at", "overall_intent", "product")
+
+
+@query(sql(_calendar_sql("""
+ AND period + INTERVAL '1' DAY <= (SELECT max(call_timestamp)::TIMESTAMP FROM both_calls) - INTERVAL '10' MINUTE"""), "per_day", "both_calls"))
+def stream_spikes(t):
+    """The same from a stream of scored calls in time order, for the days that are closed."""
+    rows, path = _scored_calls(t), new_path(t.spark, "call-files")
+    rows.repartitionByRange(4, "at").sortWithinPartitions("at").write.parquet(path)
+    stream = R.read_table(t.spark, path, rows.schema)
+    return R.stream_spikes(stream, "at", "overall_intent", "product", new_path(t.spark, "spikes")).spikes.read()
+
 _CLOSED = """SELECT call_id FROM timed GROUP BY call_id
  HAVING max(event_time) + INTERVAL '5' MINUTE <= (SELECT max(event_time) FROM timed) - INTERVAL '10' MINUTE"""
 

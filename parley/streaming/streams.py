@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -17,7 +17,7 @@ from parley.operators.calls import (
     analyze_segments, requires_enrichment, roll_up_calls, units, weighted_score)
 from parley.functions import triage as T
 from parley.plans.workspace import new_path
-from parley.sources.stored import StoredTable
+from parley.sources.stored import StoredTable, hashed_part
 from parley.sources.transcripts import SCHEMA, call_metadata, explode_turns, reject_reason, split_valid
 
 
@@ -350,7 +350,7 @@ def live_summaries(turns: DataFrame, ts: str = "event_time", every_seconds: int
         step, LIVE, LIVE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-# --- spikes (batch over windowed counts) ------------------------------------
+# --- spikes ------------------------------------
 def volume_spikes(rows: DataFrame, ts: str, label: str, sigmas: float = 2.0, back: int = 7,
                   unit: str = "day") -> DataFrame:
     """Periods whose count exceeds the trailing mean by `sigmas` deviations,
@@ -376,3 +376,104 @@ def volume_spikes(rows: DataFrame, ts: str, label: str, sigmas: float = 2.0, bac
                           & (F.col("n_rows") > F.col("mean") + F.lit(sigmas) * F.col("spread")))
             .select("period", "n_rows", F.round("mean", 6).alias("mean"),
                                           F.round("spread", 6).alias("spread"), "dominant"))
+
+
+def _period_counts(rows: DataFrame, period: Column, label: str, series: str, hours: int) -> DataFrame:
+    """(series, no, label, n): rows per series, numbered period of `hours` and label."""
+    text = lambda c, name: F.col(c).cast("string").alias(name)
+    return (rows.groupBy(text(series, "series"), period.alias("w"), text(label, "label")).agg(F.count(F.lit(1)).alias("n"))
+            .select("series", F.expr(f"unix_seconds(cast(w.start AS timestamp)) div {hours * 3600}").alias("no"), "label", "n"))
+
+
+def _periods(counts: DataFrame) -> DataFrame:
+    """(series, no, n_rows, dominant): one row per series and period with rows."""
+    return counts.groupBy("series", "no").agg(
+        F.sum("n").alias("n_rows"), F.min(F.struct(-F.col("n"), "label"))["label"].alias("dominant"))
+
+
+def _spikes_among(periods: DataFrame, sigmas: float, back: int, hours: int) -> DataFrame:
+    """The periods above the last `back` before them, which are zeros where they have no row."""
+    w = Window.partitionBy("series").orderBy("no").rangeBetween(-back, -1)
+    over = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0)) / F.lit(back)
+    scored = periods.withColumn("mean", over(F.col("n_rows"))).withColumn("square", over(F.col("n_rows") * F.col("n_rows")))
+    spread = F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    return (scored.withColumn("spread", spread)
+            .filter((F.col("no") - F.col("first") >= back) & (F.col("n_rows") > F.col("mean") + F.lit(sigmas) * F.col("spread")))
+            .withColumn("period", F.timestamp_seconds(F.col("no") * (hours * 3600))))
+
+
+def calendar_spikes(rows: DataFrame, ts: str, label: str, series: str, sigmas: float = 2.0, back: int = 7,
+                    hours: int = 24) -> DataFrame:
+    """Spikes of each series against its last `back` periods, of which those without rows count as zeros.
+
+    A period of `hours` can be a spike once `back` periods lie behind the first of its series.  The
+    dominant label has the most rows (ties: first by name, null first).  Rows without a time are left
+    out; null is a series of its own.  The windows run over one row per series and period.
+    """
+    timed = rows.filter(F.col(ts).isNotNull())
+    periods = _periods(_period_counts(timed, F.window(ts, f"{hours} hours"), label, series, hours))
+    first = F.min("no").over(Window.partitionBy("series"))
+    return _spikes_among(periods.withColumn("first", first), sigmas, back, hours).select(*SPIKES)
+
+
+SPIKES = ["series", "period", "n_rows", "mean", "spread", "dominant"]
+RING = "series string, no long, n_rows long, first long"
+
+
+class SpikeTables:
+    """Spikes of a stream, and for each series its last periods and the number of its first one.
+
+    Both tables commit a batch under its number, the spikes first: a batch that is delivered again, or one
+    that died between the two, leaves them as one delivery does.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, sigmas: float = 2.0, back: int = 7, hours: int = 24) -> None:
+        self.sigmas, self.back, self.hours = sigmas, back, hours
+        self.ring = StoredTable(spark, f"{path}/ring", RING)
+        self.spikes = StoredTable(spark, f"{path}/spikes", "series string, period timestamp, n_rows long, "
+                                                           "mean double, spread double, dominant string")
+
+    def take(self, counts: DataFrame, batch: int, name: str = "spikes") -> None:
+        """One batch of closed periods (series, no, label, n); a period comes whole, and after earlier ones of its series."""
+        key = f"{name}-{batch}"
+        if self.ring.has(key):
+            return
+        fresh = _periods(counts).persist()
+        try:
+            part = hashed_part("series")
+            touched = [r[0] for r in fresh.select(part).distinct().collect()]       # the number of parts at most
+            if not touched:
+                return
+            kept = self.ring.read(touched).withColumn("dominant", F.lit(None).cast("string")).withColumn("new", F.lit(False))
+            own = Window.partitionBy("series")
+            rows = (fresh.withColumn("first", F.col("no")).withColumn("new", F.lit(True)).unionByName(kept)
+                    .withColumn("first", F.min("first").over(own)))
+            self.spikes.append(_spikes_among(rows, self.sigmas, self.back, self.hours).filter("new"), key)
+            latest = rows.withColumn("last", F.max("no").over(own)).filter(F.col("no") > F.col("last") - self.back)
+            self.ring.replace(latest, part, key, touched)
+        finally:
+            fresh.unpersist()
+
+
+def closed_periods(rows: DataFrame, ts: str, label: str, series: str, hours: int = 24, delay: str = "10 minutes") -> DataFrame:
+    """(series, no, label, n) of a stream, once the watermark has passed a period.
+
+    Rows without a time, and those that the watermark refuses, are left out.
+    """
+    timed = rows.withWatermark(ts, delay).filter(F.col(ts).isNotNull())
+    return _period_counts(timed, F.window(ts, f"{hours} hours"), label, series, hours)
+
+
+def stream_spikes(rows: DataFrame, ts: str, label: str, series: str, path: str, sigmas: float = 2.0, back: int = 7,
+                  hours: int = 24, delay: str = "10 minutes") -> SpikeTables:
+    """`calendar_spikes` of a stream, into stored tables under `path`; it can be stopped and started again.
+
+    Rows are counted per series, period and label, combined per task, so a series is advanced by a few
+    numbers per period however many rows it has, and only its last `back` periods are read again.
+    """
+    tables = SpikeTables(rows.sparkSession, path, sigmas, back, hours)
+    query = (closed_periods(rows, ts, label, series, hours, delay).writeStream.outputMode("append")
+             .foreachBatch(lambda counts, n: tables.take(counts, n))
+             .option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return tables

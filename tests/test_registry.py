@@ -17,6 +17,7 @@ assemble_transcript remove_repetitions_lag speaker_runs extractive_select topic_
 noise_filter_full turn_salience_multi extractive_summary_tight rouge_2 hybrid_search rrf_search
 assemble_enrichment answer_analytics_questions dedupe_queries answer_table metric_counters
 alert_rules language_report stream_call_rollup stream_volume_sliding volume_spikes
+calendar_spikes stream_spikes
 language_ngrams latency_sketch_days distinct_users_weeks stream_operation_alerts stream_calls live_summaries
 ann_quantized_recall""".split()
 NAMES = [n for n, e in REGISTRY.items() if e.sql] if os.environ.get("PARLEY_ALL") else DEFAULT
