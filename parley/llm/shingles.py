@@ -20,6 +20,8 @@ from parley.plans.workspace import written
 RADIUS = 72
 #: Sets of a block, on average; two blocks of a group of candidates are compared by one call.
 BLOCK = 1024
+#: Shingles of a block, on average: 32 MB, so that long texts make more blocks of fewer sets.
+ITEMS = 1 << 22
 #: Pairs checked in the first round of a step, twice as many in each further one.
 FIRST = 32
 NAMES = [f"w{k}" for k in range(PARTS)]
@@ -133,17 +135,19 @@ def checked_links(rows: pa.Table, radius: int, similarity: float) -> pa.Table:
 
 
 def shingle_links(docs: DataFrame, classes: DataFrame, words: int = WORDS, similarity: float = SIMILARITY,
-                  radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+                  radius: int = RADIUS, block: int = BLOCK, items: int = ITEMS) -> DataFrame:
     """(a, b): links that join all sets that share `similarity` of their union or more.
 
     classes: id, n, w0..w3 and `first`, the (d, t) of a row with that set.  Fingerprints within
     `radius` bits make groups of candidates.  The sets of these are made again from their texts
-    and dealt into blocks of about `block` of a group; each two blocks are one call, which
-    compares every pair within the radius.  A row is copied once per block of its group.
+    and dealt into blocks of about `block` sets of a group, or fewer of about `items` shingles in
+    all; each two blocks are one call, which compares every pair within the radius.  A row is
+    copied once per block of its group.
     """
     near = components(similar_links(classes.drop("first"), similarity, radius=radius))
     members = written(classes.join(near.withColumnRenamed("node", "id"), "id"), "candidates")
-    of = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("of"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / items))
+    of = members.groupBy("root").agg(blocks.cast("int").alias("of"))
     placed = members.join(of, "root").select(
         F.col("first.d").alias("d"), F.col("first.t").alias("t"), "id", "root", "of",
         F.pmod(F.xxhash64("id", F.lit("block")), F.col("of")).cast("int").alias("no"), *NAMES)
