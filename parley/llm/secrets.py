@@ -95,8 +95,9 @@ def _rows(spark: SparkSession, ledger: str) -> DataFrame:
 def findings(versions: DataFrame, ledger: str, rules: dict = RULES) -> DataFrame:
     """(row, blob, spans): the current rules' spans of each version, by start, then kind.
 
-    Every path of a blob gets its spans; rows without any get an empty list.  A blob with
-    very many paths is a skewed join on its hash, which Spark splits.
+    Every path of a blob gets its spans; rows without any get an empty list.  A blob that two
+    scans at once, or one repeated after its commit, put into the ledger twice counts once.  A
+    blob with very many paths is a skewed join on its hash, which Spark splits.
     """
     spark = versions.sparkSession
     current, place = F.array(*map(F.lit, rule_versions(rules))), F.array(*map(F.lit, rules))
@@ -105,7 +106,7 @@ def findings(versions: DataFrame, ledger: str, rules: dict = RULES) -> DataFrame
     known = (_rows(spark, ledger).filter(F.arrays_overlap("rules", current))
              .select("blob", valid.alias("valid"), "spans")
              .select("blob", F.filter("spans", lambda s: F.array_contains(F.col("valid"), s["kind"])).alias("spans"))
-             .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("all")))
+             .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("all")))
     ordered = F.array_sort(F.transform("all", lambda s: F.struct(
         s["start"].alias("start"), F.array_position(place, s["kind"]).alias("place"),
         s["end"].alias("end"), s["kind"].alias("kind"))))

@@ -354,6 +354,10 @@ def test_new_rule_version_scans_for_it_alone(spark, docs):
     runs = sorted((tuple(r.rules) for r in spark.read.parquet(ledger).collect()), key=len)
     assert runs == [("access@2",), tuple(secrets.rule_versions(secrets.RULES))]
     assert [len(r.spans) for r in secrets.findings(table, ledger, newer).collect()] == [1]
+    # the same pairs a second time, as two scans at once leave them
+    spark.read.parquet(ledger).write.mode("append").parquet(again := new_path(spark, "ledger"))
+    spark.read.parquet(ledger).write.mode("append").parquet(again)
+    assert [len(r.spans) for r in secrets.findings(table, again, newer).collect()] == [1]
 
 
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
@@ -546,8 +550,8 @@ def test_runs_of_one_token_neither_link_nor_part(docs):
     assert kept.columns == docs(rows).columns and sorted(r.doc_id for r in kept.collect()) == want
 
 
-@pytest.mark.parametrize("block", [8, 1024])
-def test_shingle_sets_are_compared_exactly(docs, odd, block):
+@pytest.mark.parametrize("how", [{"block": 8}, {"items": 2000}, {}])
+def test_shingle_sets_are_compared_exactly(docs, odd, how):
     """The groups of all pairs with a similarity of 0.8, in one block and in many."""
     rng = np.random.default_rng(8)
     texts = [t for _, t, _ in odd]
@@ -562,7 +566,7 @@ def test_shingle_sets_are_compared_exactly(docs, odd, block):
     want = roots(range(len(texts)), [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
                                      if len(sets[a] & sets[b]) >= .8 * len(sets[a] | sets[b])])
     got = {r.d: r.first.d for r in shingles.shingle_groups(
-        docs([(k, t, "s") for k, t in enumerate(texts)]), block=block).collect()}
+        docs([(k, t, "s") for k, t in enumerate(texts)]), **how).collect()}
     assert got == want and len(set(want.values())) > 60
 
 
