@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,12 +75,18 @@ def _inside(turns: DataFrame, bounds: DataFrame, first: Column, last: Column) ->
 
 
 # --- repetitions ------------------------------------------------------------
+@lru_cache(maxsize=16)
 def _trigram_set(text):
-    return {text[i:i + 3] for i in range(len(text) - 2)}
+    """Kept for the last texts, as a turn meets the ones kept before it."""
+    return frozenset(text[i:i + 3] for i in range(len(text) - 2))
 
 
-def _alike(a, b):
-    return len(a & b) / len(a | b) if a and b else 0.0
+def _alike(a, b, threshold):
+    """Whether the Jaccard similarity is above the threshold; the sizes alone may rule it out."""
+    if not a or not b or min(len(a), len(b)) / max(len(a), len(b)) <= threshold:
+        return False
+    shared = len(a & b)
+    return shared / (len(a) + len(b) - shared) > threshold
 
 
 def remove_repetitions(turns: DataFrame, threshold: float = 0.85, look_back: int = 3,
@@ -90,7 +98,7 @@ def remove_repetitions(turns: DataFrame, threshold: float = 0.85, look_back: int
     """
     def step(kept, text):
         grams = _trigram_set(text)
-        if any(_alike(grams, _trigram_set(k)) > threshold for k in kept):
+        if any(_alike(grams, _trigram_set(k), threshold) for k in kept):
             return kept, False
         return [*kept, text][-look_back:], True
 
