@@ -160,3 +160,16 @@ def test_call_lookup(spark, turns):
         assert [x["text"] for x in got["a"]["segments"]] == ["hello", "fraud on my card"]
         assert got["a"]["num_segments"] == 2 and got["a"]["overall_importance"] is not None
         assert got["c"]["segments"] is None and got["c"]["num_segments"] == 0
+
+
+def test_tables_of_calls_are_not_broadcast(spark, turns):
+    """Ids and repeated texts are small in files, so sizes alone would send them through the driver."""
+    from parley.operators import enrichment as N
+    rows = turns({"A": [("customer", "I want a refund for the card"), ("agent", "It has been resolved today")],
+                  "B": [("customer", "My address has changed again")]})
+    plan = spark.createDataFrame([("A", "m")], "call_id string, model string")
+    out = N.model_outputs(rows, plan)
+    assert out.count() == 4 and {r["call_id"] for r in out.collect()} == {"A"}
+    from parley.operators.summaries import turn_salience
+    for df in (out, turn_salience(rows), N.assemble_enrichment(out)):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
