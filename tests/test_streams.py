@@ -78,3 +78,17 @@ def test_spikes(spark):
         "ts", F.col("ts").cast("timestamp_ntz"))
     got = R.volume_spikes(df, "ts", "label").collect()
     assert [(r["period"].day, r["n_rows"], r["dominant"]) for r in got] == [(9, 17, "a")]
+
+
+def test_calls_of_one_group_keep_their_own_state(spark, files, monkeypatch):
+    """Python is called per group of calls, not per call; a call's rows don't depend on the group's others."""
+    monkeypatch.setattr(R, "CALL_GROUPS", 1)
+    stream = files([turn("A", 0, 0), turn("B", 0, 0), turn("A", 1, 10)], [turn("B", 1, 250)], [turn("Y", 0, 1100)],
+                   [turn("Z", 0, 9000)], [turn("Z", 1, 9010)])
+    got = sorted((r["call_id"], r["part"], r["n_turns"], r["is_final"])
+                 for r in R.run_to_table(R.progressive_summary_final(stream), "final").collect())
+    assert got == [("A", 1, 2, False), ("A", 2, 2, True), ("B", 1, 1, False), ("B", 2, 2, False), ("B", 3, 2, True),
+                   ("Y", 1, 1, False), ("Y", 2, 1, True), ("Z", 1, 1, False), ("Z", 2, 2, False)]
+    live = sorted((r["call_id"], r["part"], r["n_turns"], r["is_final"])
+                  for r in R.run_to_table(R.live_summaries(stream), "live").collect())
+    assert live == [("A", 1, 2, True), ("B", 1, 2, True), ("Y", 1, 1, True)]
