@@ -187,3 +187,35 @@ def test_stored_index(spark):
     used = {f.split("bucket=")[1].split("/")[0] for f in index.matching(
         spark.createDataFrame([("zebra",)], "term string")).select("_metadata.file_path").distinct().toPandas().file_path}
     assert len(used) == 1
+
+
+def test_equal_documents_are_scored_once(spark, monkeypatch):
+    """Hybrid results over documents with copies equal those of scoring every document; texts are scored once."""
+    words = ["refund card fee", "card error fee", "loan rate", "fee card refund", "refund card fee | Summary: loan"]
+    rows = [(f"S{i:03}", words[i * 7 % 5]) for i in range(60)] + [("T1", "refund"), ("T2", "loan fee loan")]
+    docs = spark.createDataFrame(rows, "segment_id string, document string")
+    asked = S.embed_texts(spark.createDataFrame(
+        [("a", "refund of a card fee"), ("b", "loan"), ("c", "nothing known")],
+        "query_id string, query_text string"), "query_text", "query_vec")
+    every = S.hybrid_search(asked, "query_id", "query_text", "query_vec", S.embed_texts(docs, "document"),
+                            "segment_id", "document", "embedding", 4)
+    scored = []
+    whole = S.vector_search
+    monkeypatch.setattr(S, "vector_search", lambda *a: scored.append(a[3].count()) or whole(*a))
+    once = S.hybrid_text_search(asked, "query_id", "query_text", "query_vec", docs, "segment_id", "document",
+                                S.embed_texts, 4)
+    rows = lambda df: sorted(tuple(r) for r in df.select("query_id", "segment_id", "keyword_score",
+                                                         "semantic_score", "score", "rank").collect())
+    assert rows(once) == rows(every)
+    assert scored == [7]
+
+
+def test_copies_of_a_segment_rank_as_rows(spark):
+    """A segment that comes twice, as under ids of two calls, takes two places; its other texts stay apart."""
+    docs = spark.createDataFrame([("S1", "refund card"), ("S1", "refund card"), ("S1", "loan rate"), ("S2", "refund fee")],
+                                 "segment_id string, document string")
+    asked = S.embed_texts(spark.createDataFrame([("a", "refund card")], "query_id string, query_text string"),
+                          "query_text", "query_vec")
+    got = S.hybrid_text_search(asked, "query_id", "query_text", "query_vec", docs, "segment_id", "document",
+                               S.embed_texts, 1).collect()
+    assert [(r.segment_id, r.keyword_score, r.semantic_score) for r in got] == [("S1", 1.0, 1.0)]
