@@ -173,3 +173,15 @@ def test_tables_of_calls_are_not_broadcast(spark, turns):
     from parley.operators.summaries import turn_salience
     for df in (out, turn_salience(rows), N.assemble_enrichment(out)):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rouge_cuts_a_text_once(spark):
+    """Bigrams come from words that are found once per text, not once per gram."""
+    from parley.operators import summaries as M
+    pairs = spark.createDataFrame([("a", "one two three two three", "two three one two"), ("b", "one", "one two")],
+                                  "call_id string, summary string, reference string")
+    out = M.rouge_n(pairs, "call_id", 2)
+    got = {r.call_id: (round(r.precision, 6), round(r.recall, 6)) for r in out.collect()}
+    assert got == {"a": (0.5, 0.666667), "b": (0.0, 0.0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2
