@@ -189,3 +189,17 @@ def test_lcs():
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1],
                                                                         table[i + 1][j])
         assert M._lcs_length(a, b) == table[-1][-1]
+
+
+def test_short_calls_are_not_computed_again(spark, monkeypatch):
+    """Where no call is beyond a block, positions and running sums need no second pass over their input."""
+    df = spark.createDataFrame([("a", i, i % 2) for i in range(4)] + [("b", 7, 1)], "k string, i int, v int")
+    passes = []
+    whole = ordered._add_block_offsets
+    monkeypatch.setattr(ordered, "_add_block_offsets", lambda *a: passes.append(1) or whole(*a))
+    for bound, n in ((df, 0), (None, 2), (df.withColumn("i", F.col("i") * 1000), 4), (df.withColumn("i", -F.col("i")), 6)):
+        numbered = ordered.dense_position(df, ["k"], "i", bound=bound)
+        summed = ordered.running_total(df, ["k"], "i", F.col("v"), "s", bound=bound)
+        assert rows(numbered.select("i", "pos")) == [(0, 0), (1, 1), (2, 2), (3, 3), (7, 0)]
+        assert rows(summed.select("i", "s")) == [(0, 0), (1, 1), (2, 1), (3, 2), (7, 1)]
+        assert len(passes) == n
