@@ -219,3 +219,25 @@ def test_copies_of_a_segment_rank_as_rows(spark):
     got = S.hybrid_text_search(asked, "query_id", "query_text", "query_vec", docs, "segment_id", "document",
                                S.embed_texts, 1).collect()
     assert [(r.segment_id, r.keyword_score, r.semantic_score) for r in got] == [("S1", 1.0, 1.0)]
+
+
+def test_terms_are_counted_in_place(spark, monkeypatch):
+    """Counting terms shuffles nothing; the index is the same however many tasks sort its rows."""
+    rows = [(i, " ".join(f"word{(i * j) % 7} card" for j in range(i % 9))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    counts = S.term_counts(docs, "doc_id", "text")
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    index = lambda: sorted((r.doc_id, r.term, r.tf, round(r.weight, 9)) for r in S.tfidf_index(docs, "doc_id", "text").collect())
+    whole = index()
+    assert sum(r[2] for r in whole if r[1] == "card") == sum(t.split().count("card") for _, t in rows)
+    monkeypatch.setattr(S, "PART_ROWS", 2)
+    assert index() == whole
+
+
+def test_turns_of_a_shared_id_are_one_document(spark):
+    """Turns of calls that share an id are scored as one text, as the SQL groups them."""
+    from parley.operators import summaries as M
+    rows = spark.createDataFrame([("C1", 0, "refund card"), ("C1", 0, "loan rate"), ("C2", 0, "refund card")],
+                                 "call_id string, turn_index int, text string")
+    got = {(r.call_id, r.turn_index): r.score for r in M.query_focused_turns(rows, "refund card").collect()}
+    assert set(got) == {("C1", 0), ("C2", 0)} and got["C2", 0] == 1.0 and 0 < got["C1", 0] < 1
