@@ -46,3 +46,17 @@ def test_save_table(spark, tmp_path):
     S.save_table(rows, str(tmp_path / "t"), ["part"])
     assert sorted(p.name for p in (tmp_path / "t").glob("part=*")) == ["part=m", "part=n"]
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_turns_of_one_number_are_nested_by_a_flat_order(spark, turns):
+    """A struct inside the sorted one, or a comparing lambda, made long calls of equal numbers slow."""
+    rows = turns({"A": [("agent", f"text {i % 7}") for i in range(30)]}).withColumn(
+        "turn_index", (F.col("turn_index") % 3).cast("int"))
+    nested = S.nest_turns(rows)
+    plan = nested._jdf.queryExecution().analyzed().toString()
+    assert "sort_array" in plan and "array_sort" not in plan
+    assert "struct(turn_index, turn_index" in plan and "struct(speaker, speaker" not in plan.split("collect_list")[1].split(" AS l#")[0]
+    got = [(t["speaker"], t["text"], t["start_time"], t["end_time"], t["duration"])
+           for t in nested.collect()[0]["transcript"]]
+    want = sorted(rows.collect(), key=lambda r: (r["turn_index"], r["speaker"], r["text"], r["start_time"]))
+    assert got == [(r["speaker"], r["text"], r["start_time"], r["end_time"], 5.0) for r in want]
