@@ -117,3 +117,29 @@ def test_failed_prompts_leave_the_call_pending(spark, turns):
     failed = N.failed_outputs(outputs).collect()
     assert {(r.call_id, r.error) for r in failed} == {("bad", "refused")} and len(failed) == 4
     assert outputs.filter("error IS NOT NULL").agg({"cost": "sum"}).first()[0] == 0
+
+
+def test_long_prompts_are_sent_in_pieces(spark):
+    """A whole Arrow batch of long prompts was held as Python objects, twice."""
+    from parley.operators import enrichment as N
+    prompts = spark.range(3, numPartitions=1).selectExpr(
+        "string(id) AS call_id", "repeat('x', 3000000) AS prompt", "'gpt-4' AS model", "50 AS max_tokens")
+    out = N.apply_model(prompts, lambda texts, models, limits: [str(len(texts))] * len(texts))
+    assert sorted((r["call_id"], r["output"], r["error"]) for r in out.select("call_id", "output", "error").collect()) == [
+        (str(i), "1", None) for i in range(3)]
+
+
+def test_slots_of_many_tokens_are_counted_in_pieces():
+    """Two lists of places as long as all tokens of a batch were made."""
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from parley.functions import vectors as V
+    rows = [np.full(200_000, i % 8, "int32") for i in range(40)] + [None]
+    tracemalloc.start()
+    got = V.slot_vectors(pd.Series(rows), 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6 and all((got[i] == np.eye(8)[i % 8]).all() for i in range(40)) and not got[40].any()
