@@ -241,3 +241,11 @@ def test_turns_of_a_shared_id_are_one_document(spark):
                                  "call_id string, turn_index int, text string")
     got = {(r.call_id, r.turn_index): r.score for r in M.query_focused_turns(rows, "refund card").collect()}
     assert set(got) == {("C1", 0), ("C2", 0)} and got["C2", 0] == 1.0 and 0 < got["C1", 0] < 1
+
+
+def test_a_text_is_cut_into_terms_once(spark):
+    """A filter on the number of terms cut every text a second time."""
+    docs = spark.createDataFrame([(1, "loan fee loan"), (2, "the"), (3, None), (4, "")], "id int, text string")
+    counts = S.exploded_counts(docs, "text", False, "id")
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(map(tuple, counts.collect())) == [(1, "fee", 1), (1, "loan", 2)]
