@@ -19,13 +19,14 @@ FROM turns JOIN calls USING (call_id) JOIN truth USING (call_id) GROUP BY ALL"""
 def scan_transcripts(t):
     """Write the documents as JSON, scan them back, and count their turns."""
     path = new_path(t.spark, "documents")
-    S.write_documents(_documents(t).drop("part"), path)
-    raw = S.scan_transcripts(t.spark, path, one_per_file=False)
+    S.write_documents(S.as_documents(t.turns, t.calls, t.truth, count_copies=True).drop("part"), path)
+    raw = S.scan_transcripts(t.spark, path, one_per_file=False, more="copies long")
+    copies = F.coalesce("copies", F.lit(1))             # no label, one document
     docs = raw.select("call_id", F.col("metadata.product").alias("product"),
                       (F.col("ground_truth_importance") == "high").alias("is_important"),
-                      F.explode("transcript").alias("turn"))
+                      copies.alias("copies"), F.explode("transcript").alias("turn"))
     return docs.groupBy("call_id", "product", "is_important").agg(
-        F.count(F.lit(1)).alias("n_turns"), F.sum(F.length("turn.text")).alias("n_chars"),
+        F.sum("copies").alias("n_turns"), F.sum(F.length("turn.text") * F.col("copies")).alias("n_chars"),
         F.max("turn.end_time").alias("last_second"))
 
 

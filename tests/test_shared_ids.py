@@ -45,3 +45,14 @@ def test_each_call_is_delivered_with_its_turns(spark, shared, monkeypatch):
     sql = con.execute(REGISTRY["stream_upsert_calls"].sql).df()
     assert got["call_id"].is_unique and len(got.merge(sql, on=list(got.columns))) == len(got)
     assert dict(zip(got["call_id"], got["call_timestamp"])) == sql.groupby("call_id")["call_timestamp"].max().to_dict()
+
+
+def test_equal_documents_are_written_once(spark, shared, monkeypatch):
+    """Documents that differ in nothing were written as often as an id has the same label."""
+    turns, write = [], S.write_documents
+    monkeypatch.setattr(S, "write_documents", lambda docs, path: (
+        write(docs, path), turns.append(docs.agg(F.sum(F.size("transcript"))).first()[0])))
+    matches_sql(spark, shared, "scan_transcripts")
+    pairs = connect(shared).execute("""SELECT count(*) FROM lineitem JOIN orders o ON l_orderkey // 10 = o.o_orderkey // 10
+      JOIN (SELECT DISTINCT o_orderkey // 10 AS id, o_orderpriority IN ('1-URGENT', '2-HIGH') FROM orders) ON id = l_orderkey // 10""").fetchone()[0]
+    assert turns == [pairs]
