@@ -61,3 +61,8 @@ def test_equal_documents_are_written_once(spark, shared, monkeypatch):
 def test_each_turn_is_ingested_once(spark, shared):
     """Turns of a shared id came a hundred times, numbered anew."""
     matches_sql(spark, shared, "stream_ingest")
+
+
+def test_rejects_of_an_id_count_once(spark, shared):
+    """They were counted once per call and label of the id."""
+    matches_sql(spark, shared, "stream_rejects")
