@@ -71,3 +71,22 @@ def test_rejects_of_an_id_count_once(spark, shared):
 def test_each_turn_is_triaged_once(spark, shared):
     """Turns came as alerts once per call of their id, and not at all without one."""
     matches_sql(spark, shared, "stream_triage")
+
+
+def test_turns_are_written_once_for_all_calls_of_an_id(spark, shared):
+    """They were written, and scored, once per call of the id."""
+    from parley.catalog import streams as CS
+    from parley.catalog.base import Inputs
+    path, schema = CS._turn_files(Inputs(spark, shared))
+    rows = spark.read.schema(schema).parquet(path)
+    con = connect(shared)
+    pairs = con.execute("SELECT count(*) FROM lineitem JOIN orders ON o_orderkey // 10 = l_orderkey // 10").fetchone()[0]
+    assert rows.count() == con.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    assert rows.agg(F.sum(F.size("event_time"))).first()[0] == pairs
+
+
+def test_late_turns_of_a_shared_id(spark, shared):
+    """Turns came once per call of the id and were compared with their number, so that some came less than not late."""
+    got = {tuple(r) for r in REGISTRY["stream_late_turns"].run(spark, shared).collect()}
+    want = connect(shared).execute(REGISTRY["stream_late_turns"].sql).fetchall()
+    assert want and set(want) <= got and all(late >= 0 for *_, late in got)

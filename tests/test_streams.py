@@ -92,3 +92,25 @@ def test_calls_of_one_group_keep_their_own_state(spark, files, monkeypatch):
     live = sorted((r["call_id"], r["part"], r["n_turns"], r["is_final"])
                   for r in R.run_to_table(R.live_summaries(stream), "live").collect())
     assert live == [("A", 1, 2, True), ("B", 1, 2, True), ("Y", 1, 1, True)]
+
+
+def test_a_list_of_times_is_as_many_turns(spark, tmp_path, monkeypatch):
+    """Turns of an id that several calls share are scored once, and counted as if they came at the time of each call."""
+    monkeypatch.setattr(R, "COUNTED_TIMES", 3)
+    said = ["I want a refund, this is fraud and terrible", "ok fine", "great, thank you", "I hate this error"]
+    starts = {"A": [0, 0, 250, 4000], "B": [100], "C": [0, 590, 1200], "Z": [9000, 9000]}
+    rows = [(c, i, "customer" if i % 2 else "agent", said[(i + ord(c)) % 4], 10.0 * i, 10.0 * i + 5,
+             [T0 + dt.timedelta(seconds=at + 10 * i) for at in ats]) for c, ats in starts.items() for i in [0, 1, 1, 2, 3]]
+    listed = spark.createDataFrame(rows, SCHEMA.replace("event_time timestamp", "event_time array<timestamp>"))
+    single = listed.withColumn("event_time", F.explode("event_time"))
+    streams = []
+    for name, df in (("listed", listed), ("single", single)):
+        df.coalesce(2).write.parquet(str(tmp_path / name))
+        streams.append(lambda name=name, df=df: R.read_table(spark, str(tmp_path / name), df.schema))
+    drained = lambda f, out: sorted(map(tuple, R.run_to_table(f, out).collect()), key=repr)
+    for operator in (R.stream_call_rollup, R.stream_calls, R.progressive_summary_final, R.live_summaries):
+        got, want = (drained(operator(stream()), operator.__name__) for stream in streams)
+        assert want and got == want
+    got, want = (sorted(map(tuple, R.run_latest(R.progressive_summary(stream()), "p", ["call_id", "window_start"]).collect()))
+                 for stream in streams)
+    assert want and got == want
