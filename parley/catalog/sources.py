@@ -63,13 +63,11 @@ WHERE r = 1""", "calls"))
 def upsert_calls(t):
     """Every shipped line re-delivers its call with a later or earlier timestamp."""
     cols = ["call_id", "product", "call_outcome", "call_timestamp"]
-    again = (t.table("lineitem").select(
+    again = t.table("lineitem").select(
         F.concat(F.lit("CALL_"), F.lpad(F.col("l_orderkey").cast("string"), 6, "0"))
-        .alias("call_id"), F.col("l_shipdate").alias("call_timestamp"))
-        .join(t.calls.select("call_id", "product"), "call_id")
-        .withColumn("call_outcome", F.lit("followed_up")))
-    return S.latest_by_key(t.calls.select(*cols), again.select(*cols), ["call_id"],
-                           [F.desc("call_timestamp"), "call_outcome"])
+        .alias("call_id"), F.col("l_shipdate").alias("call_timestamp"), F.lit("followed_up").alias("call_outcome"))
+    return S.latest_by_key(t.calls.select(*cols), again, ["call_id"], [F.desc("call_timestamp"), "call_outcome"],
+                           details=t.calls.select("call_id", "product"))
 
 
 @query(sql("SELECT call_id, product FROM calls ORDER BY call_id LIMIT 100", "calls"))

@@ -90,3 +90,15 @@ def test_late_turns_of_a_shared_id(spark, shared):
     got = {tuple(r) for r in REGISTRY["stream_late_turns"].run(spark, shared).collect()}
     want = connect(shared).execute(REGISTRY["stream_late_turns"].sql).fetchall()
     assert want and set(want) <= got and all(late >= 0 for *_, late in got)
+
+
+def test_the_newest_delivery_meets_the_calls(spark, shared):
+    """Every delivered line met every call of its id before the newest one was chosen."""
+    got = REGISTRY["upsert_calls"].run(spark, shared)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Join Inner" in line and "call_id" in line]
+    below = plan.split(lines[0])[1]
+    assert len(lines) == 1 and "Window" in below.split("Join Inner")[0]
+    rows = got.drop("product").collect()
+    want = connect(shared).execute("SELECT * EXCLUDE (product) FROM (" + REGISTRY["upsert_calls"].sql + ")").fetchall()
+    assert sorted(map(tuple, rows)) == sorted(want)
