@@ -102,3 +102,12 @@ def test_the_newest_delivery_meets_the_calls(spark, shared):
     rows = got.drop("product").collect()
     want = connect(shared).execute("SELECT * EXCLUDE (product) FROM (" + REGISTRY["upsert_calls"].sql + ")").fetchall()
     assert sorted(map(tuple, rows)) == sorted(want)
+
+
+def test_documents_are_put_together_once(spark, shared, monkeypatch):
+    """They were once for each of their three deliveries."""
+    plans, write = [], S.write_documents
+    monkeypatch.setattr(S, "write_documents", lambda docs, path: (
+        write(docs, path), plans.append(docs._jdf.queryExecution().optimizedPlan().toString())))
+    assert REGISTRY["stream_rejects"].run(spark, shared).collect()
+    assert [plan.count("collect_list") for plan in plans] == [1]
